@@ -20,5 +20,6 @@ def catalog_sources(
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    """The tables of a namespace."""
-    return spark.sql("SHOW TABLES IN IDENTIFIER(:namespace)", args={"namespace": namespace})
+    """The tables of a namespace, without the session's temporary views."""
+    listed = spark.sql("SHOW TABLES IN IDENTIFIER(:namespace)", args={"namespace": namespace})
+    return listed.where("NOT isTemporary")

@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+import uuid
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         shuffle_partitions=4,
         conf={
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
             "spark.checkpoint.dir": f"{scratch}/shared",
@@ -42,10 +44,5 @@ def small() -> str:
 
 @pytest.fixture
 def new_name():
-    """Names for namespaces and folders that no other test uses."""
-    counter = iter(range(10**6))
-
-    def make(prefix: str = "ns") -> str:
-        return f"{prefix}_{os.getpid()}_{id(counter)}_{next(counter)}"
-
-    return make
+    """Makes names for namespaces that no other test uses."""
+    return lambda prefix="ns": f"{prefix}_{uuid.uuid4().hex}"

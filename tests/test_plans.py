@@ -1,0 +1,144 @@
+"""Plans: what reaches the scan, how often data is shuffled, what skew does."""
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakemart import fixtures, operators, plans, sinks
+from lakemart.sources import catalog_sources, file_lengths
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, small, tmp_path_factory):
+    """The tables in the declared types, as the load leaves them."""
+    root = str(tmp_path_factory.mktemp("lake"))
+    given = fixtures.given_tables(spark, small)
+    sinks.create_namespace(spark, "plans_lake")
+    names = ("customer", "orders", "lineitem", "nation", "region")
+    for table in names:
+        sinks.create_or_replace(given[table], f"plans_lake.{table}", root)
+    return catalog_sources(spark, "plans_lake", names)
+
+
+def plan(df, mode="formatted"):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+@pytest.fixture
+def settings(spark):
+    changed = {}
+
+    def use(**values):
+        for key, value in values.items():
+            name = key.replace("__", ".")
+            changed.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield use
+    for name, value in changed.items():
+        spark.conf.unset(name)
+        if value is not None:
+            spark.conf.set(name, value)
+
+
+def test_discount_revenue_pushes_every_test_and_prunes_columns(loaded):
+    text = plan(plans.promotional_discount(loaded, dt.date(1996, 1, 1), dt.date(1997, 1, 1)))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text)[1]
+    for test in (
+        "GreaterThanOrEqual(l_shipdate,1996-01-01)", "LessThan(l_shipdate,1997-01-01)",
+        "GreaterThanOrEqual(l_discount,0.05)", "LessThanOrEqual(l_discount,0.07)",
+        "LessThan(l_quantity,24.00)",
+    ):
+        assert test in pushed
+    assert re.search(r"ReadSchema: struct<(.*)>", text)[1].count(":") == 4
+
+
+def test_pricing_summary_reads_five_columns(loaded):
+    text = plan(plans.pricing_summary(loaded))
+    columns = re.search(r"ReadSchema: struct<(.*)>", text)[1]
+    assert re.findall(r"(\w+):", columns) == [
+        "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"
+    ]
+
+
+def test_raw_scan_prunes_columns(spark, tiny, tmp_path):
+    from lakemart.sources import raw_sources
+
+    raw = raw_sources(spark, fixtures.write_raw(fixtures.given_tables(spark, tiny), str(tmp_path), ["lineitem"]))
+    text = plan(plans.pricing_summary(raw))
+    assert re.search(r"ReadSchema: struct<(.*)>", text)[1].count(":decimal") == 3
+    assert "_trailing" not in re.search(r"ReadSchema: struct<(.*)>", text)[1]
+
+
+def test_dates_reach_the_scan_of_the_given_tables(spark, small):
+    text = plan(plans.top_unshipped_orders(fixtures.given_tables(spark, small)))
+    assert "GreaterThanOrEqual(l_shipdate,1995-03-16T00:00)" in text
+    assert "LessThan(o_orderdate,1995-03-15T00:00)" in text
+    assert "EqualTo(c_mktsegment,BUILDING)" in text
+
+
+def test_top_orders_use_top_k_and_shuffle_lineitem_once(loaded, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(plans.top_unshipped_orders(loaded), "simple")
+    assert "TakeOrderedAndProject(limit=10" in text
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
+    assert sorted(exchanges) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+
+
+def test_mart_shuffles_facts_once_per_key(loaded, settings):
+    """Past the fact join only partial mart rows move, in spite of the distinct."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(plans.sales_summary(loaded), "simple")
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
+    for key in ("l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "r_name"):
+        assert exchanges.count(key) == 1
+    assert "count(distinct o_orderkey" in text
+
+
+def test_no_join_is_a_product_or_forced_broadcast(loaded, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    for query in plans.NAMED_QUERIES.values():
+        text = plan(query(loaded), "simple")
+        assert "BroadcastHashJoin" not in text and "Cartesian" not in text
+        assert "NestedLoop" not in text
+
+
+def test_a_hot_customer_is_split(loaded, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+    )
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
+    orders = loaded["orders"].withColumn("o_custkey", hot).repartition(8)
+    mart = plans.sales_summary(dict(loaded, orders=orders))
+    assert mart.agg(F.sum("order_count")).first()[0] == 14743
+    mart.collect()
+    assert "skew=true" in mart._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_order_leaves_each_map_task_as_one_row(loaded):
+    hot = F.when(F.col("l_partkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey"))
+    tables = dict(loaded, lineitem=loaded["lineitem"].withColumn("l_orderkey", hot))
+    for query in (plans.sales_summary, plans.top_unshipped_orders):
+        text = plan(query(tables), "simple")
+        assert re.search(
+            r"Exchange hashpartitioning\(l_orderkey#[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text
+        )
+
+
+def test_file_sizes_read_no_content(spark, small):
+    text = plan(file_lengths(spark, small))
+    assert re.search(r"ReadSchema: struct<(.*)>", text)[1] == "length:bigint"
+
+
+def test_statistics_are_combined_before_the_shuffle(spark, small):
+    metrics = fixtures.run_metrics(spark, small)
+    for report in (operators.run_summary(metrics), operators.paired_report(metrics)):
+        text = plan(report, "simple")
+        assert text.count("Exchange") == 1 and "partial_avg" in text
+        assert "collect_list" not in text
