@@ -131,10 +131,10 @@ def run_record(
     if meta:
         settings = metrics.sparkSession.createDataFrame(
             [("meta", None, None, key, None, str(value)) for key, value in meta.items()],
-            record.schema,
+            "section string, name string, variant string, metric string, run bigint, value string",
         )
         record = record.unionByName(settings)
-    return record
+    return record.select("section", "name", "variant", "metric", "run", "value")
 
 
 def _long(
