@@ -14,14 +14,21 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import DateType, DecimalType  # noqa: E402
 
 from lakemart import fixtures, operators, plans, sinks, sources  # noqa: E402
 from lakemart.functions import readable_size  # noqa: E402
 from lakemart.plans.mart import NOT_NULL_COLUMNS  # noqa: E402
-from lakemart.schemas import SCHEMAS, TABLES  # noqa: E402
+from lakemart.schemas import (  # noqa: E402
+    ACCEPTED_RANGES,
+    ACCEPTED_VALUES,
+    FOREIGN_KEYS,
+    PRIMARY_KEYS,
+    SCHEMAS,
+    TABLES,
+)
 from lakemart.session import shared_folder  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +39,7 @@ Q3_PARAMS = {"segment": "BUILDING", "cutoff": dt.date(1995, 3, 15)}
 YEAR_1994 = {"start": dt.date(1994, 1, 1), "end": dt.date(1995, 1, 1)}
 YEAR_1996 = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
 
-# The average of decimals has another type in each engine, so it is rebuilt
-# from its sum and count for the comparison.
+# The pricing summary as inline text over any one table.
 N6_TEXT = """
     SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS sum_qty,
            SUM(l_extendedprice) AS sum_base_price, AVG(l_discount) AS avg_disc,
@@ -44,14 +50,16 @@ N6_TEXT = """
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as DOUBLE; averages, the only ones of scale 6, rounded to 6."""
-
-    def column(name: str, kind: object) -> Column:
-        if not isinstance(kind, DecimalType):
-            return F.col(name)
-        return F.col(name).cast("double").alias(name)
+    """Decimals as DOUBLE; an average of decimals already has 6 digits."""
 
-    return df.select(*[column(field.name, field.dataType) for field in df.schema.fields])
+    return df.select(
+        *[
+            F.col(field.name).cast("double").alias(field.name)
+            if isinstance(field.dataType, DecimalType)
+            else F.col(field.name)
+            for field in df.schema.fields
+        ]
+    )
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -70,32 +78,41 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, folder: str, what: str, write: Callable[[str], None]) -> str:
-    """The folder that holds ``what``; written into a new folder at first use."""
+def _once(spark: SparkSession, folder: str, what: str, write: Callable[[], str]) -> str:
+    """The place of ``what``, written at its first use."""
     key = (spark.sparkContext.applicationId, folder, what)
     if key not in _written:
-        path = shared_folder(spark)
-        write(path)
-        _written[key] = path
+        _written[key] = write()
     return _written[key]
 
 
-def _raw_tables(spark: SparkSession, folder: str) -> sources.Sources:
-    """The given tables as raw files, each written when first asked for."""
-    given = fixtures.given_tables(spark, folder)
+def _folder_once(
+    spark: SparkSession, folder: str, what: str, write: Callable[[str], None]
+) -> str:
+    """A new shared folder that holds ``what``."""
+
+    def fill() -> str:
+        path = shared_folder(spark)
+        write(path)
+        return path
 
-    def scan(table: str) -> DataFrame:
-        base = _raw_base(spark, folder, given, table)
-        return sources.scan_raw(spark, base, table)
+    return _once(spark, folder, what, fill)
 
-    return sources.Sources(TABLES, scan)
 
+def _raw_base(spark: SparkSession, folder: str, *tables: str) -> str:
+    """The folder of the raw files, with at least these tables in it."""
+    base = _once(spark, folder, "raw", lambda: shared_folder(spark))
+    given = fixtures.given_tables(spark, folder)
+    for table in tables:
+        _once(spark, folder, f"raw {table}", lambda: fixtures.write_raw(given, base, [table]))
+    return base
 
-def _raw_base(
-    spark: SparkSession, folder: str, given: sources.Sources, table: str
-) -> str:
-    return _once(
-        spark, folder, f"raw {table}", lambda base: fixtures.write_raw(given, base, [table])
+
+def _raw_tables(spark: SparkSession, folder: str) -> sources.Sources:
+    """The given tables as raw files, each written when first asked for."""
+    return sources.Sources(
+        TABLES,
+        lambda table: sources.scan_raw(spark, _raw_base(spark, folder, table), table),
     )
 
 
@@ -159,7 +176,7 @@ def _raw_scan(table: str) -> Query:
 
 
 def _raw_view(spark: SparkSession, folder: str) -> DataFrame:
-    base = _raw_base(spark, folder, fixtures.given_tables(spark, folder), "orders")
+    base = _raw_base(spark, folder, "orders")
     (view,) = sources.register_raw_views(spark, base, ["orders"])
     return _plain(
         spark.sql(
@@ -178,24 +195,30 @@ def _by_variant(query: Callable[[sources.Sources], DataFrame]) -> Query:
     return run
 
 
-def _load_tables(spark: SparkSession, folder: str) -> tuple[sources.Sources, str]:
-    """All eight tables loaded from raw files; the namespace's name as well."""
-    given = fixtures.given_tables(spark, folder)
-    base = _once(spark, folder, "raw all", lambda path: fixtures.write_raw(given, path))
-    namespace, root = _new_namespace(spark, "load")
-    sinks.load_raw(spark, base, namespace, root=root)
-    return sources.catalog_sources(spark, namespace), namespace
+def _loaded_namespace(spark: SparkSession, folder: str) -> str:
+    """The namespace of all eight tables, loaded from raw files."""
 
+    def load() -> str:
+        namespace, root = _new_namespace(spark, "load")
+        sinks.load_raw(spark, _raw_base(spark, folder, *TABLES), namespace, root=root)
+        return namespace
+
+    return _once(spark, folder, "loaded", load)
+
+
+def _on_loaded(query: Callable[[sources.Sources], DataFrame]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return _plain(query(sources.catalog_sources(spark, _loaded_namespace(spark, folder))))
 
-def _loaded_top_orders(spark: SparkSession, folder: str) -> DataFrame:
-    loaded, _ = _load_tables(spark, folder)
-    return _plain(plans.top_unshipped_orders(loaded))
+    return run
 
 
 def _reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    loaded, namespace = _load_tables(spark, folder)
+    namespace = _loaded_namespace(spark, folder)
     listed = sources.list_tables(spark, namespace).select("tableName")
-    counts = operators.reconcile_counts(fixtures.given_tables(spark, folder), loaded, TABLES)
+    counts = operators.reconcile_counts(
+        _raw_tables(spark, folder), sources.catalog_sources(spark, namespace), TABLES
+    )
     return counts.join(listed, F.col("table_name") == F.col("tableName")).drop("tableName")
 
 
@@ -208,30 +231,31 @@ def _table_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _replace_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Loads all orders, then rebuilds the table from its own finished orders."""
+    """Loads the orders, then rebuilds the table from itself with a new column."""
     namespace, root = _new_namespace(spark, "replace")
     name = f"{namespace}.orders"
     sinks.create_or_replace(fixtures.given_tables(spark, folder)["orders"], name, root)
-    finished = sources.scan_table(spark, name).where("o_orderstatus = 'F'")
-    sinks.create_or_replace(finished, name, root)
-    return _plain(sources.scan_table(spark, name).select(*_given_columns("orders")))
+    dated = sources.scan_table(spark, name).withColumn("order_year", F.year("o_orderdate"))
+    sinks.create_or_replace(dated, name, root)
+    replaced = sources.scan_table(spark, name)
+    return _plain(replaced.select(*_given_columns("orders"), "order_year"))
 
 
 def _append_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Creates an empty table and adds the orders in two steps."""
+    """Creates an empty table and adds all orders in two steps."""
     namespace, root = _new_namespace(spark, "append")
     name = f"{namespace}.orders"
     sinks.create_table(spark, name, SCHEMAS["orders"], root)
     orders = fixtures.given_tables(spark, folder)["orders"]
-    for step in ("o_orderstatus = 'O'", "o_orderstatus <> 'O'"):
+    for step in ("o_orderstatus <=> 'O'", "NOT o_orderstatus <=> 'O'"):
         sinks.append_rows(orders.where(step), name)
     return _plain(sources.scan_table(spark, name).select(*_given_columns("orders")))
 
 
 def _parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     given = fixtures.given_tables(spark, folder)
-    path = _once(
-        spark, folder, "parquet lineitem", lambda to: sinks.write_parquet(given["lineitem"], to)
+    path = _folder_once(
+        spark, folder, "lineitem", lambda to: sinks.write_parquet(given["lineitem"], to)
     )
     return _plain(sources.scan_parquet(spark, path).select(*_given_columns("lineitem")))
 
@@ -252,7 +276,7 @@ def _on_metrics(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _written_summary(spark: SparkSession, folder: str) -> DataFrame:
     report = operators.paired_report(fixtures.run_metrics(spark, folder))
-    path = _once(spark, folder, "summary", lambda to: sinks.write_summary_csv(report, to))
+    path = _folder_once(spark, folder, "summary", lambda to: sinks.write_summary_csv(report, to))
     return _rounded(operators.two_series(sources.read_summary_csv(spark, path)))
 
 
@@ -260,7 +284,7 @@ def _written_record(spark: SparkSession, folder: str) -> DataFrame:
     given = fixtures.given_tables(spark, folder)
     counts = operators.reconcile_counts(given, given, ["orders", "lineitem"])
     record = operators.run_record(fixtures.run_metrics(spark, folder), counts)
-    path = _once(spark, folder, "record", lambda to: sinks.write_json(record, to))
+    path = _folder_once(spark, folder, "record", lambda to: sinks.write_json(record, to))
     rows = spark.read.schema(record.schema).json(path)
     return rows.select(
         "section", "name", "variant", "metric", "run",
@@ -269,9 +293,9 @@ def _written_record(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _storage(spark: SparkSession, folder: str) -> DataFrame:
-    given = fixtures.given_tables(spark, folder)
     names = ("orders", "lineitem")
-    raw = [f"{_raw_base(spark, folder, given, name)}/{name}.tbl" for name in names]
+    base = _raw_base(spark, folder, *names)
+    raw = [f"{base}/{name}.tbl" for name in names]
     return operators.storage_report(spark, raw, [f"{folder}/{name}.parquet" for name in names])
 
 
@@ -312,7 +336,8 @@ def queries() -> dict[str, Query]:
         "tbl_sales_summary": _on_raw(plans.sales_summary),
         "q1_by_variant": _by_variant(plans.pricing_summary),
         # tables and files
-        "loaded_q3_top10": _loaded_top_orders,
+        "loaded_q3_top10": _on_loaded(plans.top_unshipped_orders),
+        "loaded_sales_summary": _on_loaded(plans.sales_summary),
         "table_replace_orders": _replace_table,
         "table_append_orders": _append_rows,
         "parquet_round_trip_lineitem": _parquet_round_trip,
@@ -501,8 +526,6 @@ _NOT_NULL = " UNION ALL ".join(
 
 
 def _contract() -> str:
-    from lakemart.schemas import ACCEPTED_RANGES, ACCEPTED_VALUES, FOREIGN_KEYS, PRIMARY_KEYS
-
     def row(table: str, column: str, rule: str, failures: str) -> str:
         return (
             f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
@@ -524,7 +547,10 @@ def _contract() -> str:
         )
         rows.append(row(table, key, "unique", broken))
     for child, key, parent, target in FOREIGN_KEYS:
-        broken = f"SELECT COUNT(*) FROM {child} ANTI JOIN {parent} ON {key} = {target} WHERE {key} IS NOT NULL"
+        broken = (
+            f"SELECT COUNT(*) FROM {child} ANTI JOIN {parent} ON {key} = {target} "
+            f"WHERE {key} IS NOT NULL"
+        )
         rows.append(row(child, key, "relationship", broken))
     return " UNION ALL ".join(rows)
 
@@ -534,14 +560,14 @@ _SIZE = "strlen(text)"
 
 def _readable(size: str) -> str:
     steps = " ".join(
-        f"WHEN {size} < {1024 ** (power + 1)} THEN printf('%.2f {unit}', {size} / {1024 ** power}.0::DOUBLE)"
+        f"WHEN {size} < {1024 ** (power + 1)} "
+        f"THEN printf('%.2f {unit}', {size} / CAST({1024 ** power} AS DOUBLE))"
         for power, unit in enumerate(("B", "KB", "MB", "GB"))
     )
-    return f"CASE {steps} ELSE printf('%.2f TB', {size} / {1024 ** 4}.0::DOUBLE) END"
+    return f"CASE {steps} ELSE printf('%.2f TB', {size} / CAST({1024 ** 4} AS DOUBLE)) END"
 
 
 def oracle_sql() -> dict[str, str]:
-    finished = f"{_all_rows('orders')} WHERE o_orderstatus = 'F'"
     return {
         "q1_groupby": _Q1,
         "q1_groupby_df": _Q1,
@@ -569,7 +595,11 @@ def oracle_sql() -> dict[str, str]:
             CROSS JOIN (VALUES ('csv'), ('iceberg')) AS v(variant)
         """,
         "loaded_q3_top10": _Q3,
-        "table_replace_orders": finished,
+        "loaded_sales_summary": _MART,
+        "table_replace_orders": f"""
+            SELECT *, CAST(YEAR(o_orderdate) AS INTEGER) AS order_year
+            FROM ({_all_rows('orders')})
+        """,
         "table_append_orders": _all_rows("orders"),
         "parquet_round_trip_lineitem": _all_rows("lineitem"),
         "top_orders_preview": f"{_all_rows('orders')} ORDER BY o_orderkey LIMIT 5",

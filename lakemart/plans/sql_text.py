@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Mapping
+from importlib.resources import files
+from importlib.resources.abc import Traversable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +31,18 @@ def run_sql(
     return spark.sql(text, args=dict(params or {}), **bound)
 
 
-def load_queries(folder: str | Path) -> dict[str, str]:
+def load_queries(folder: str | Path | Traversable) -> dict[str, str]:
     """The ``*.sql`` files of a folder as name -> text, sorted by name."""
-    files = sorted(Path(folder).glob("*.sql"))
-    return {file.stem: file.read_text(encoding="utf-8").strip() for file in files}
+    if isinstance(folder, str):
+        folder = Path(folder)
+    texts = {
+        file.name.removesuffix(".sql"): file.read_text(encoding="utf-8").strip()
+        for file in folder.iterdir()
+        if file.name.endswith(".sql")
+    }
+    return dict(sorted(texts.items()))
 
 
 def packaged_queries() -> dict[str, str]:
     """The query set that comes with this package, in SQL form."""
-    return load_queries(Path(__file__).with_name("sql"))
+    return load_queries(files("lakemart.plans") / "sql")
