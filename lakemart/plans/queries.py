@@ -41,24 +41,24 @@ def top_unshipped_orders(
 ) -> DataFrame:
     """Open orders of a segment with the most revenue yet to ship.
 
-    Line items are summed per order before the join. The sums of an order with
-    very many lines leave the map side as one row per task, the lineitem
-    shuffle shrinks, and both the join and the last grouping reuse it. Order
-    keys break ties, so the result is one and the same on every run.
+    Few lines survive the join, so they are joined as they are and summed
+    afterwards. The join's own partitioning by order would serve the sums, but
+    then Spark may not split the join of an order with very many lines, as that
+    breaks the partitioning. Spreading the few joined rows anew lifts this tie:
+    adaptive execution splits such an order over many tasks, whose rows are
+    summed task by task before they meet. Order keys break ties, so the result
+    is one and the same on every run.
     """
-    unshipped = (
-        tables["lineitem"]
-        .where(F.col("l_shipdate") > F.lit(cutoff))
-        .groupBy("l_orderkey")
-        .agg(F.sum(net_revenue(F.col("l_extendedprice"), F.col("l_discount"))).alias("due"))
-    )
     customers = tables["customer"].where(F.col("c_mktsegment") == segment)
     orders = tables["orders"].where(F.col("o_orderdate") < F.lit(cutoff))
+    unshipped = tables["lineitem"].where(F.col("l_shipdate") > F.lit(cutoff))
+    due = net_revenue(F.col("l_extendedprice"), F.col("l_discount"))
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(unshipped, F.col("o_orderkey") == F.col("l_orderkey"))
+        .repartition("l_orderkey", F.spark_partition_id())
         .groupBy("l_orderkey", "o_orderdate", "o_shippriority")
-        .agg(F.sum("due").alias("revenue"))
+        .agg(F.sum(due).alias("revenue"))
         .select(
             F.col("l_orderkey").alias("orderkey"),
             "revenue",

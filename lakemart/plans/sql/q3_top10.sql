@@ -1,21 +1,18 @@
+-- The joined lines are spread anew before they are summed, which lets adaptive
+-- execution split the join of an order with very many lines.
 WITH unshipped AS (
-  SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS due
-  FROM {lineitem}
-  WHERE l_shipdate > :cutoff
-  GROUP BY l_orderkey
-),
-segment_orders AS (
-  SELECT o_orderkey, o_orderdate, o_shippriority
+  SELECT l_orderkey, o_orderdate, o_shippriority, l_extendedprice, l_discount
   FROM {orders}
   JOIN {customer} ON o_custkey = c_custkey
-  WHERE c_mktsegment = :segment AND o_orderdate < :cutoff
+  JOIN {lineitem} ON o_orderkey = l_orderkey
+  WHERE c_mktsegment = :segment AND o_orderdate < :cutoff AND l_shipdate > :cutoff
+  DISTRIBUTE BY l_orderkey, spark_partition_id()
 )
-SELECT o_orderkey     AS orderkey,
-       sum(due)       AS revenue,
-       o_orderdate    AS orderdate,
-       o_shippriority AS shippriority
-FROM segment_orders
-JOIN unshipped ON o_orderkey = l_orderkey
-GROUP BY o_orderkey, o_orderdate, o_shippriority
+SELECT l_orderkey                              AS orderkey,
+       sum(l_extendedprice * (1 - l_discount)) AS revenue,
+       o_orderdate                             AS orderdate,
+       o_shippriority                          AS shippriority
+FROM unshipped
+GROUP BY l_orderkey, o_orderdate, o_shippriority
 ORDER BY revenue DESC, orderdate, orderkey
 LIMIT 10

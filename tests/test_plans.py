@@ -79,12 +79,16 @@ def test_dates_reach_the_scan_of_the_given_tables(spark, small):
     assert "EqualTo(c_mktsegment,BUILDING)" in text
 
 
-def test_top_orders_use_top_k_and_shuffle_lineitem_once(loaded, settings):
+def test_top_orders_use_top_k_and_shuffle_each_side_once(loaded, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     text = plan(plans.top_unshipped_orders(loaded), "simple")
     assert "TakeOrderedAndProject(limit=10" in text
-    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
-    assert sorted(exchanges) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+    joins = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, \d+\)", text)
+    assert sorted(joins) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+    (lineitem,) = re.findall(r"FileScan parquet [^\[]*\[(l_orderkey[^\]]*)\]", text)
+    assert re.findall(r"l_\w+", lineitem) == [
+        "l_orderkey", "l_extendedprice", "l_discount", "l_shipdate"
+    ]
 
 
 def test_mart_shuffles_facts_once_per_key(loaded, settings):
@@ -105,30 +109,63 @@ def test_no_join_is_a_product_or_forced_broadcast(loaded, settings):
         assert "NestedLoop" not in text
 
 
+SPLIT_SMALL_PARTITIONS = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "10KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10KB",
+}
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_hot_customer_is_split(loaded, settings):
-    settings(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
-    )
+    settings(**SPLIT_SMALL_PARTITIONS)
     hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
     orders = loaded["orders"].withColumn("o_custkey", hot).repartition(8)
     mart = plans.sales_summary(dict(loaded, orders=orders))
-    assert mart.agg(F.sum("order_count")).first()[0] == 14743
-    mart.collect()
-    assert "skew=true" in mart._jdf.queryExecution().executedPlan().toString()
-
-
-def test_a_hot_order_leaves_each_map_task_as_one_row(loaded):
-    hot = F.when(F.col("l_partkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey"))
-    tables = dict(loaded, lineitem=loaded["lineitem"].withColumn("l_orderkey", hot))
-    for query in (plans.sales_summary, plans.top_unshipped_orders):
-        text = plan(query(tables), "simple")
-        assert re.search(
-            r"Exchange hashpartitioning\(l_orderkey#[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text
-        )
+    assert sum(row.order_count for row in mart.collect()) == 14743
+    assert "skew=true" in executed(mart)
+
+
+def hot_order(loaded):
+    """A third of all lines in one order, which the query's filters keep."""
+    key = F.when(F.col("l_partkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey"))
+    chosen = F.col("o_orderkey") == 7
+    builder = loaded["customer"].where("c_mktsegment = 'BUILDING'").agg(F.min("c_custkey"))
+    orders = loaded["orders"].select(
+        "o_orderkey", "o_orderstatus", "o_shippriority",
+        F.when(chosen, builder.first()[0]).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.when(chosen, dt.date(1995, 1, 5)).otherwise(F.col("o_orderdate")).alias("o_orderdate"),
+    )
+    lines = loaded["lineitem"].withColumn("l_orderkey", key).repartition(8)
+    return dict(loaded, orders=orders, lineitem=lines)
+
+
+@pytest.mark.parametrize("form", ["frame", "text"])
+def test_the_join_of_a_hot_order_is_split(spark, loaded, settings, form):
+    tables = hot_order(loaded)
+    cutoff = dt.date(1995, 3, 15)
+    late = tables["lineitem"].where((F.col("l_orderkey") == 7) & (F.col("l_shipdate") > F.lit(cutoff)))
+    due = late.agg(F.sum(F.expr("l_extendedprice * (1 - l_discount)"))).first()[0]
+    settings(**SPLIT_SMALL_PARTITIONS)
+    if form == "frame":
+        top = plans.top_unshipped_orders(tables)
+    else:
+        params = {"segment": "BUILDING", "cutoff": cutoff}
+        top = plans.run_sql(spark, plans.packaged_queries()["q3_top10"], tables, params)
+    assert tuple(top.collect()[0])[:2] == (7, due)
+    assert "skew=true" in executed(top)
+
+
+def test_a_hot_order_reaches_the_mart_join_as_one_row_per_task(loaded):
+    text = plan(plans.sales_summary(hot_order(loaded)), "simple")
+    assert re.search(
+        r"Exchange hashpartitioning\(l_orderkey#[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text
+    )
 
 
 def test_file_sizes_read_no_content(spark, small):
