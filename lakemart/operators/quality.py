@@ -64,7 +64,8 @@ def _orphans(child: DataFrame, key: str, parent: DataFrame, target: str) -> Data
     references = child.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    orphans = references.join(parent, F.col(key) == F.col(target), "left_anti")
+    known = parent.select(target).distinct()
+    orphans = references.join(known, F.col(key) == F.col(target), "left_anti")
     return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")).select(
         F.lit(key).alias("column_name"), "failures"
     )

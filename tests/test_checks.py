@@ -11,7 +11,6 @@ from lakemart import fixtures, operators, plans, sinks
 from lakemart.plans.mart import NOT_NULL_COLUMNS
 from lakemart.schemas import TABLES
 from lakemart.session import DEFAULTS, build_spark, drop_cached, shared_folder
-from lakemart.sources import scan_table
 from tables import customer, line, make, nation, order, region
 
 
@@ -51,10 +50,13 @@ def test_contract_failures_are_counted(spark):
 
     tables = {
         "region": make(spark, "region", region(1, "ASIA"), region(1, "ASIA"), region(None, "X")),
-        "nation": make(spark, "nation", nation(1, "JAPAN"), nation(2, "INDIA", 9), nation(3, "X", None)),
+        "nation": make(
+            spark, "nation", nation(1, "JAPAN"), nation(2, "INDIA", 9), nation(3, "X", None)
+        ),
         "customer": make(spark, "customer", customer(1), customer(2, None)),
         "orders": make(
-            spark, "orders", order(1, 1), order(1, 1), order(2, 8, status="X"), order(3, 8, status=None)
+            spark, "orders",
+            order(1, 1), order(1, 1), order(2, 8, status="X"), order(3, 8, status=None),
         ),
         "lineitem": make(
             spark, "lineitem",

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart import fixtures, operators, plans, sinks
-from lakemart.sources import catalog_sources, file_lengths
+from lakemart.sources import catalog_sources, file_lengths, raw_sources
 
 
 @pytest.fixture(scope="module")
@@ -64,9 +64,8 @@ def test_pricing_summary_reads_five_columns(loaded):
 
 
 def test_raw_scan_prunes_columns(spark, tiny, tmp_path):
-    from lakemart.sources import raw_sources
-
-    raw = raw_sources(spark, fixtures.write_raw(fixtures.given_tables(spark, tiny), str(tmp_path), ["lineitem"]))
+    given = fixtures.given_tables(spark, tiny)
+    raw = raw_sources(spark, fixtures.write_raw(given, str(tmp_path), ["lineitem"]))
     text = plan(plans.pricing_summary(raw))
     assert re.search(r"ReadSchema: struct<(.*)>", text)[1].count(":decimal") == 3
     assert "_trailing" not in re.search(r"ReadSchema: struct<(.*)>", text)[1]
@@ -149,7 +148,8 @@ def hot_order(loaded):
 def test_the_join_of_a_hot_order_is_split(spark, loaded, settings, form):
     tables = hot_order(loaded)
     cutoff = dt.date(1995, 3, 15)
-    late = tables["lineitem"].where((F.col("l_orderkey") == 7) & (F.col("l_shipdate") > F.lit(cutoff)))
+    lines = tables["lineitem"].where("l_orderkey = 7")
+    late = lines.where(F.col("l_shipdate") > F.lit(cutoff))
     due = late.agg(F.sum(F.expr("l_extendedprice * (1 - l_discount)"))).first()[0]
     settings(**SPLIT_SMALL_PARTITIONS)
     if form == "frame":
