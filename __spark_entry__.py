@@ -36,22 +36,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 Q3_PARAMS = {"segment": "BUILDING", "cutoff": dt.date(1995, 3, 15)}
-YEAR_1994 = {"start": dt.date(1994, 1, 1), "end": dt.date(1995, 1, 1)}
 YEAR_1996 = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
 
-# The pricing summary as inline text over any one table.
-N6_TEXT = """
-    SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS sum_qty,
-           SUM(l_extendedprice) AS sum_base_price, AVG(l_discount) AS avg_disc,
-           COUNT(*) AS count_order
-    FROM {table}
-    GROUP BY 1, 2 ORDER BY 1, 2
-"""
-
 
 def _plain(df: DataFrame) -> DataFrame:
     """Decimals as DOUBLE; an average of decimals already has 6 digits."""
-
     return df.select(
         *[
             F.col(field.name).cast("double").alias(field.name)
@@ -145,8 +134,10 @@ def _packaged(name: str, params: dict | None = None) -> Query:
 
 
 def _inline_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The pricing summary as text over any one table, here called ``table``."""
+    text = plans.packaged_queries()["q1_groupby"].replace("{lineitem}", "{table}")
     lineitem = fixtures.given_tables(spark, folder)["lineitem"]
-    return _plain(plans.run_sql(spark, N6_TEXT, {"table": lineitem}))
+    return _plain(plans.run_sql(spark, text, {"table": lineitem}))
 
 
 def _summary_table(spark: SparkSession, folder: str) -> DataFrame:
