@@ -31,6 +31,12 @@ from lakemart.schemas import (  # noqa: E402
 )
 from lakemart.session import shared_folder  # noqa: E402
 
+try:  # the operators on training text are a part that may be left out
+    import corpus_pipeline
+    from lakemart.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -305,7 +311,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    text = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
     return {
+        **text,
         # named queries, in the DataFrame API and as SQL text
         "q1_groupby": _packaged("q1_groupby"),
         "q1_groupby_df": _on_given(plans.pricing_summary),
@@ -559,7 +567,11 @@ def _readable(size: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    text = dict(llm.oracle_sql()) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        text["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {
+        **text,
         "q1_groupby": _Q1,
         "q1_groupby_df": _Q1,
         "q1_groupby_sql": _Q1,
