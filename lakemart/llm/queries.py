@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
+from lakemart.llm.id_files import id_files_round_trip
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.tokens import public_vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +19,23 @@ def _ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, folder, "documents"))
 
 
+def _best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit_packing(
+        table(spark, folder, "documents"), public_vocabulary("word_bpe_49k.json")
+    )
+
+
+def _id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return id_files_round_trip(
+        table(spark, folder, "documents"), public_vocabulary("byte_bpe_50k.json")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _ngram_jaccard,
+        "op7_best_fit_packing": _best_fit,
+        "op8_id_files": _id_files,
     }
 
 
