@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
+from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.id_files import id_files_round_trip
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
 from lakemart.llm.tokens import public_vocabulary
+from lakemart.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +21,10 @@ def _ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, folder, "documents"))
 
 
+def _divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_by_divergence(table(spark, folder, "documents"))
+
+
 def _best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing(
         table(spark, folder, "documents"), public_vocabulary("word_bpe_49k.json")
@@ -31,11 +37,17 @@ def _id_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _ngram_jaccard,
+        "op4_quality_by_divergence": _divergence,
         "op7_best_fit_packing": _best_fit,
         "op8_id_files": _id_files,
+        "op9_toxicity": _toxicity,
     }
 
 
