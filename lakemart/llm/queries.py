@@ -10,6 +10,7 @@ from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
 from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.id_files import id_files_round_trip
+from lakemart.llm.multi_index import nearest_by_multi_index
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
 from lakemart.llm.tokens import public_vocabulary
 from lakemart.llm.toxicity import toxicity
@@ -25,6 +26,10 @@ def _divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality_by_divergence(table(spark, folder, "documents"))
 
 
+def _multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_by_multi_index(table(spark, folder, "embeddings"))
+
+
 def _best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing(
         table(spark, folder, "documents"), public_vocabulary("word_bpe_49k.json")
@@ -45,6 +50,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _ngram_jaccard,
         "op4_quality_by_divergence": _divergence,
+        "op5_nearest_by_multi_index": _multi_index,
         "op7_best_fit_packing": _best_fit,
         "op8_id_files": _id_files,
         "op9_toxicity": _toxicity,
