@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lakemart.session import shared_folder
 
 #: Text handled at a time inside a task, in bytes.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

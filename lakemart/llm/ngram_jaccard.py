@@ -346,8 +346,10 @@ def ngram_jaccard_join(
     candidates = found.join(classes.select("h1", "h2", "node", "doc_id", "copies"), "node")
     candidates = steps.keep(candidates)
     texts = id_and_text(docs, id_col, text_col)
+    # candidates grow with the documents, so they aren't broadcast even where they are few
     wanted = texts.join(
-        candidates.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))
+        candidates.withColumnRenamed("doc_id", "_id").hint("merge"),
+        F.col("doc_id").eqNullSafe(F.col("_id")),
     )
     sets = wanted.select("component", "node", "copies", "h1", "h2", "text").mapInArrow(
         _texts(n), "component long, node long, copies long, grams binary"
