@@ -12,6 +12,7 @@ from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.id_files import id_files_round_trip
 from lakemart.llm.multi_index import nearest_by_multi_index
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.suffix_tree import suffix_tree_scores
 from lakemart.llm.tokens import public_vocabulary
 from lakemart.llm.toxicity import toxicity
 
@@ -22,6 +23,10 @@ def _ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, folder, "documents"))
 
 
+def _suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree_scores(table(spark, folder, "documents"))
+
+
 def _divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality_by_divergence(table(spark, folder, "documents"))
 
@@ -49,6 +54,7 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _ngram_jaccard,
+        "op2_suffix_tree_scores": _suffix_tree,
         "op4_quality_by_divergence": _divergence,
         "op5_nearest_by_multi_index": _multi_index,
         "op7_best_fit_packing": _best_fit,
