@@ -8,10 +8,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.common import Steps, table
-from lakemart.llm.stages import near_duplicates
+from lakemart.llm.stages import (
+    near_duplicates,
+    packed,
+    without_low_quality,
+    without_secrets,
+    without_toxic,
+)
 
 STAGES = [
+    ("toxicity", without_toxic),
+    ("quality rules", without_low_quality),
     ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", without_secrets),
+    ("best-fit packing", packed),
 ]
 
 #: MinHash, learned scores and tokens can't be written in SQL; tests/llm holds the stages

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
+from lakemart.llm.count_tokens import token_counts
 from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.id_files import id_files_round_trip
 from lakemart.llm.multi_index import nearest_by_multi_index
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.secrets import secret_scan
+from lakemart.llm.shared_prefix import encode_summary
 from lakemart.llm.suffix_tree import suffix_tree_scores
 from lakemart.llm.tokens import public_vocabulary
 from lakemart.llm.toxicity import toxicity
@@ -27,6 +30,10 @@ def _suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree_scores(table(spark, folder, "documents"))
 
 
+def _secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan(table(spark, folder, "documents"))
+
+
 def _divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality_by_divergence(table(spark, folder, "documents"))
 
@@ -35,6 +42,12 @@ def _multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_by_multi_index(table(spark, folder, "embeddings"))
 
 
+def _shared_prefix(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_summary(
+        table(spark, folder, "documents"), public_vocabulary("piece_bpe_32k.model")
+    )
+
+
 def _best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing(
         table(spark, folder, "documents"), public_vocabulary("word_bpe_49k.json")
@@ -51,15 +64,24 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(
+        table(spark, folder, "documents"), public_vocabulary("piece_bpe_32k.model")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _ngram_jaccard,
         "op2_suffix_tree_scores": _suffix_tree,
+        "op3_secret_scan": _secrets,
         "op4_quality_by_divergence": _divergence,
         "op5_nearest_by_multi_index": _multi_index,
+        "op6_shared_prefix_pieces": _shared_prefix,
         "op7_best_fit_packing": _best_fit,
         "op8_id_files": _id_files,
         "op9_toxicity": _toxicity,
+        "op10_token_counts": _token_counts,
     }
 
 

@@ -9,7 +9,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.llm.best_fit import best_fit_packing
+from lakemart.llm.common import table
+from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.secrets import redact_secrets
+from lakemart.llm.tokens import public_vocabulary
+from lakemart.llm.toxicity import toxicity
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drops documents that the toxicity classifier predicts to be toxic.
+
+    Rows that repeat an id go together if one of them is toxic.
+    """
+    return _without(docs, toxicity(docs, table(spark, folder, "labels")).where("predicted = 1"))
+
+
+def without_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drops documents that fail the base rules or are far from every language reference.
+
+    Rows that repeat an id go together if one of them is rejected.
+    """
+    return _without(docs, quality_by_divergence(docs).where("not kept"))
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    gone = rejected.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -23,3 +50,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     named = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_first"))
     kept = named.drop("_first").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, with a placeholder for each secret; ``n_chars`` follows the text."""
+    if "n_chars" not in docs.columns:
+        return redact_secrets(docs)
+    chars = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
+    changed = ~F.col("text").eqNullSafe(F.col("_before"))
+    return (
+        redact_secrets(docs.withColumn("_before", F.col("text")))
+        .withColumn("n_chars", F.when(changed, chars).otherwise(F.col("n_chars")))
+        .select(*docs.columns)
+    )
+
+
+def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents as pieces in sequences of 4096 tokens."""
+    return best_fit_packing(docs, public_vocabulary("word_bpe_49k.json"))
