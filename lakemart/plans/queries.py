@@ -1,6 +1,6 @@
 """The named queries in the DataFrame API.
 
-Constants are parameters; their defaults are fixed values of the query set.
+Constants are parameters; their defaults are those of the query set.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import discount_amount, net_revenue
+from lakemart.plans.defaults import DEFAULTS
 from lakemart.plans.mart import sales_summary
 
 Tables = Mapping[str, DataFrame]
@@ -23,6 +24,7 @@ def pricing_summary(tables: Tables) -> DataFrame:
 
     One pass with partial aggregation; a handful of rows are shuffled per task.
     """
+    # fixed values: the grouping columns and the output names
     flags = ["l_returnflag", "l_linestatus"]
     totals = tables["lineitem"].groupBy(*flags).agg(
         F.sum("l_quantity").alias("sum_qty"),
@@ -35,19 +37,19 @@ def pricing_summary(tables: Tables) -> DataFrame:
 
 def top_unshipped_orders(
     tables: Tables,
-    segment: str = "BUILDING",
-    cutoff: dt.date = dt.date(1995, 3, 15),
-    top: int = 10,
+    segment: str = DEFAULTS["segment"],
+    cutoff: dt.date = DEFAULTS["cutoff"],
+    top: int = DEFAULTS["top"],
 ) -> DataFrame:
     """Open orders of a segment with the most revenue yet to ship.
 
-    Few lines survive the join, so they are joined as they are and summed
-    afterwards. The join's own partitioning by order would serve the sums, but
-    then Spark may not split the join of an order with very many lines, as that
-    breaks the partitioning. Spreading the few joined rows anew lifts this tie:
-    adaptive execution splits such an order over many tasks, whose rows are
-    summed task by task before they meet. Order keys break ties, so the result
-    is one and the same on every run.
+    The joined lines are summed task by task before they move, then by order.
+    The join's own partitioning by order would serve the sums too, but then
+    Spark may not split the join of an order with very many lines, as that
+    breaks the partitioning. One struct as the key lifts this tie: it isn't the
+    join's key, so the partial sums are shuffled, and adaptive execution may
+    split such an order over many tasks. Order keys break ties, so the result is
+    one and the same on every run.
     """
     customers = tables["customer"].where(F.col("c_mktsegment") == segment)
     orders = tables["orders"].where(F.col("o_orderdate") < F.lit(cutoff))
@@ -56,14 +58,14 @@ def top_unshipped_orders(
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(unshipped, F.col("o_orderkey") == F.col("l_orderkey"))
-        .repartition("l_orderkey", F.spark_partition_id())
-        .groupBy("l_orderkey", "o_orderdate", "o_shippriority")
+        .groupBy(F.struct("l_orderkey", "o_orderdate", "o_shippriority").alias("key"))
         .agg(F.sum(due).alias("revenue"))
+        # fixed values: the output names
         .select(
-            F.col("l_orderkey").alias("orderkey"),
+            F.col("key.l_orderkey").alias("orderkey"),
             "revenue",
-            F.col("o_orderdate").alias("orderdate"),
-            F.col("o_shippriority").alias("shippriority"),
+            F.col("key.o_orderdate").alias("orderdate"),
+            F.col("key.o_shippriority").alias("shippriority"),
         )
         .orderBy(F.desc("revenue"), F.asc("orderdate"), F.asc("orderkey"))
         .limit(top)
@@ -72,11 +74,11 @@ def top_unshipped_orders(
 
 def promotional_discount(
     tables: Tables,
-    start: dt.date = dt.date(1994, 1, 1),
-    end: dt.date = dt.date(1995, 1, 1),
-    low: Decimal = Decimal("0.05"),
-    high: Decimal = Decimal("0.07"),
-    quantity: int = 24,
+    start: dt.date = DEFAULTS["start"],
+    end: dt.date = DEFAULTS["end"],
+    low: Decimal = DEFAULTS["low"],
+    high: Decimal = DEFAULTS["high"],
+    quantity: int = DEFAULTS["quantity"],
 ) -> DataFrame:
     """Price given away on small lines shipped in ``[start, end)``.
 

@@ -5,5 +5,5 @@ SELECT l_returnflag,
        avg(l_discount)      AS avg_disc,
        count(*)             AS count_order
 FROM {lineitem}
-GROUP BY ALL
-ORDER BY 1, 2
+GROUP BY l_returnflag, l_linestatus
+ORDER BY l_returnflag, l_linestatus

@@ -1,6 +1,6 @@
 SELECT sum(l_extendedprice * l_discount) AS revenue
 FROM {lineitem}
-WHERE l_quantity < 24
-  AND l_discount BETWEEN 0.05 AND 0.07
-  AND l_shipdate >= :start
+WHERE l_shipdate >= :start
   AND l_shipdate < :end
+  AND l_discount BETWEEN :low AND :high
+  AND l_quantity < :quantity

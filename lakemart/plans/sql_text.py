@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import string
 from collections.abc import Mapping
 from importlib.resources import files
 from importlib.resources.abc import Traversable
@@ -11,7 +10,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_DOUBLE_BRACES = re.compile(r"\{\{\s*(\w+)\s*\}\}")
+from lakemart.plans.defaults import DEFAULTS
+
+#: A literal or quoted name, which stays as it is, or a table's name in braces.
+_PARTS = re.compile(
+    r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|\{\{\s*(\w+)\s*\}\}|\{(\w+)\}""", re.DOTALL
+)
+
+
+class QueryText(str):
+    """Query text with values for its parameters."""
+
+    params: Mapping[str, object] = {}
 
 
 def run_sql(
@@ -24,11 +34,31 @@ def run_sql(
 
     Sources are bound as DataFrames and ``:name`` parameters as typed literals,
     so no value is ever pasted into the text. Only tables in use are opened.
+    Braces inside a literal, or around anything but a name, are left as they are.
+    ``params`` win over those that the text brings along.
     """
-    text = _DOUBLE_BRACES.sub(r"{\1}", text)
-    used = {field for _, field, _, _ in string.Formatter().parse(text) if field}
-    bound = {name: tables[name] for name in used}
-    return spark.sql(text, args=dict(params or {}), **bound)
+    used: dict[str, DataFrame] = {}
+
+    def place(found: re.Match) -> str:
+        name = found[1] or found[2]
+        if name is None:
+            return _plain(found[0])
+        used.setdefault(name, tables[name])
+        return "{" + name + "}"
+
+    parts, at = [], 0
+    for found in _PARTS.finditer(text):
+        parts += [_plain(text[at : found.start()]), place(found)]
+        at = found.end()
+    parts.append(_plain(text[at:]))
+    values = {**getattr(text, "params", {}), **(params or {})}
+    # without tables nothing is substituted, so braces need no doubling
+    query = "".join(parts) if used else str(text)
+    return spark.sql(query, args=values, **used)
+
+
+def _plain(text: str) -> str:
+    return text.replace("{", "{{").replace("}", "}}")
 
 
 def load_queries(folder: str | Path | Traversable) -> dict[str, str]:
@@ -44,5 +74,9 @@ def load_queries(folder: str | Path | Traversable) -> dict[str, str]:
 
 
 def packaged_queries() -> dict[str, str]:
-    """The query set that comes with this package, in SQL form."""
-    return load_queries(files("lakemart.plans") / "sql")
+    """The query set that comes with this package, in SQL form, ready to run."""
+    queries: dict[str, str] = {}
+    for name, text in load_queries(files("lakemart.plans") / "sql").items():
+        queries[name] = query = QueryText(text)
+        query.params = {key: value for key, value in DEFAULTS.items() if f":{key}" in text}
+    return queries

@@ -15,7 +15,7 @@ from lakemart import fixtures, plans
 from lakemart.sources import raw_sources
 from tables import customer, line, make, nation, order, region
 
-Q3_PARAMS = {"segment": "BUILDING", "cutoff": dt.date(1995, 3, 15)}
+Q3_PARAMS: dict = {}  # the defaults that come with the text
 YEAR_1996 = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
 
 
@@ -277,3 +277,34 @@ def test_variants_give_equal_rows(spark, tiny, tmp_path):
         for row in marked.collect():
             sides[row.variant].append(str(row[:-1]))
         assert sorted(sides["csv"]) == sorted(sides["iceberg"]) and sides["csv"]
+
+
+# --- query text ----------------------------------------------------------------
+
+
+def test_every_packaged_text_runs_as_it_is(spark, small):
+    tables = fixtures.given_tables(spark, small)
+    for name, text in plans.packaged_queries().items():
+        found = rows(plans.run_sql(spark, text, tables))
+        assert sorted(map(repr, found)) == sorted(map(repr, rows(plans.NAMED_QUERIES[name](tables))))
+
+
+def test_parameters_of_a_text_can_all_be_set(spark, small):
+    tables = fixtures.given_tables(spark, small)
+    text = plans.packaged_queries()["q3_top10"]
+    assert len(rows(plans.run_sql(spark, text, tables, {"top": 3}))) == 3
+    wide = {"low": Decimal("0.00"), "high": Decimal("0.10"), "quantity": 30, **YEAR_1996}
+    text = plans.packaged_queries()["q6_discount"]
+    assert rows(plans.run_sql(spark, text, tables, wide)) == rows(
+        plans.promotional_discount(tables, **wide)
+    )
+
+
+def test_braces_around_other_text_stay(spark):
+    numbers = spark.range(2)
+    text = "SELECT '{abc}' AS a, '{{word}}' AS b, '{ \"x\": {1} }' AS c, count(*) AS n FROM {t}"
+    assert rows(plans.run_sql(spark, text, {"t": numbers})) == [
+        ("{abc}", "{{word}}", '{ "x": {1} }', 2)
+    ]
+    assert rows(plans.run_sql(spark, "SELECT '{abc}' AS a", {"t": numbers})) == [("{abc}",)]
+    assert rows(plans.run_sql(spark, "SELECT count(*) AS n FROM {{ t }}", {"t": numbers})) == [(2,)]
