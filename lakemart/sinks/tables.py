@@ -3,9 +3,11 @@
 Two kinds of catalog are served. A catalog plugin that replaces tables itself
 (Iceberg) is asked to do so. Spark's own session catalog cannot, so there the
 new rows go to a new folder first and the name moves to it afterwards: a failed
-write leaves the old table whole, a table may be rebuilt from itself, and
-queries already reading the old files finish. The old folder stays on storage
-until its owner removes it.
+write leaves the old table whole and a table may be rebuilt from itself. The
+old table keeps a spare name until the new one has its own, and gets it back if
+that fails. Queries that read the old files finish if the old table has a folder
+of its own, as all tables made here have; a managed table's files go with it.
+The old folder stays on storage until its owner removes it.
 """
 
 from __future__ import annotations
@@ -57,17 +59,36 @@ def create_or_replace(df: DataFrame, name: str, root: str | None = None) -> None
             .createOrReplace()
         )
         return
-    fresh = f"{name}__{uuid.uuid4().hex}"
-    (
-        df.write.format("parquet")
-        .option("compression", "snappy")
-        .option("path", _new_folder(spark, name, root))
-        .saveAsTable(fresh)
-    )
-    drop_table(spark, name)
+    there = spark.catalog.tableExists(name)
+    if there and spark.catalog.getTable(name).tableType == "VIEW":
+        raise ValueError(f"{name} is a view, not a table")
+    unique = uuid.uuid4().hex
+    fresh, spare = f"{name}__new_{unique}", f"{name}__old_{unique}"
+    try:
+        (
+            df.write.format("parquet")
+            .option("compression", "snappy")
+            .option("path", _new_folder(spark, name, root))
+            .saveAsTable(fresh)
+        )
+        if there:
+            _rename(spark, name, spare)
+        try:
+            _rename(spark, fresh, name)
+        except BaseException:
+            if there:
+                _rename(spark, spare, name)
+            raise
+    except BaseException:
+        drop_table(spark, fresh)
+        raise
+    if there:
+        drop_table(spark, spare)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
     spark.sql(
-        "ALTER TABLE IDENTIFIER(:fresh) RENAME TO IDENTIFIER(:name)",
-        args={"fresh": fresh, "name": name},
+        "ALTER TABLE IDENTIFIER(:old) RENAME TO IDENTIFIER(:new)", args={"old": old, "new": new}
     )
 
 

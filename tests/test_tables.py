@@ -122,3 +122,36 @@ def test_a_lasting_view(spark, namespace, tmp_path):
             spark, name, f"SELECT id FROM {namespace}.t WHERE id % {divisor} = 0"
         )
     assert rows(view) == rows(spark.table(name)) == [(0,), (2,)]
+
+
+def test_a_view_is_not_replaced_by_a_table(spark, namespace, tmp_path):
+    sinks.create_or_replace(spark.range(4), f"{namespace}.t", str(tmp_path))
+    name = f"{namespace}.v"
+    sinks.create_view(spark, name, f"SELECT id FROM {namespace}.t")
+    before = sorted(tmp_path.rglob("*.parquet"))
+    with pytest.raises(ValueError, match="is a view"):
+        sinks.create_or_replace(spark.range(9), name, str(tmp_path))
+    assert scan_table(spark, name).count() == 4
+    assert sorted(tmp_path.rglob("*.parquet")) == before
+    assert {row.tableName for row in list_tables(spark, namespace).collect()} == {"t", "v"}
+
+
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_rename_that_fails_is_rolled_back(spark, namespace, tmp_path, monkeypatch, failing):
+    from lakemart.sinks import tables
+
+    name, root = f"{namespace}.t", str(tmp_path)
+    sinks.create_or_replace(spark.range(4), name, root)
+    rename, calls = tables._rename, []
+
+    def flaky(spark, old, new):
+        calls.append(new)
+        if len(calls) == failing:
+            raise OSError("lost the catalog")
+        rename(spark, old, new)
+
+    monkeypatch.setattr(tables, "_rename", flaky)
+    with pytest.raises(OSError, match="lost the catalog"):
+        sinks.create_or_replace(spark.range(9), name, root)
+    assert scan_table(spark, name).count() == 4
+    assert [row.tableName for row in list_tables(spark, namespace).collect()] == ["t"]
