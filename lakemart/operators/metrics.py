@@ -56,7 +56,7 @@ def paired_report(metrics: DataFrame, names: DataFrame | None = None) -> DataFra
 
     ``names`` lists the queries to report in a column ``query``; one without
     any run gets a row of NULLs. By default the queries of the metrics are
-    listed.
+    listed. Runs of a variant other than ``csv`` and ``iceberg`` are not shown.
     """
     sides = {side: F.col("variant") == side for side in VARIANTS}
     gathered = [
@@ -86,7 +86,10 @@ def two_series(summary: DataFrame) -> DataFrame:
 
 
 def single_query_report(metrics: DataFrame, query: str) -> DataFrame:
-    """M5: average time and row count of one query, a row per source."""
+    """M5: average time and row count of one query, a row per source.
+
+    Runs of a variant other than ``csv`` and ``iceberg`` are not shown.
+    """
     # The names of the two sources in this report.
     labels = {"csv": "CSV", "iceberg": "Iceberg"}
     summary = run_summary(metrics.where(F.col("query") == query))

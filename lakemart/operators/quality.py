@@ -13,6 +13,8 @@ from lakemart.schemas import ACCEPTED_RANGES, ACCEPTED_VALUES, FOREIGN_KEYS, PRI
 
 Tables = Mapping[str, DataFrame]
 
+_RULE = ("table_name", "column_name", "rule")
+
 
 def not_null_failures(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """V1: ``(column_name, failures)``, all columns in a single pass."""
@@ -22,8 +24,7 @@ def not_null_failures(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def contract_failures(tables: Tables) -> DataFrame:
     """Failures of the stated contract: ``(table_name, column_name, rule, failures)``.
 
-    A NULL breaks no rule here. Keys are counted per value before they are
-    compared, so a value that fills a third of a table is one row per task.
+    A NULL breaks no rule here.
     """
     value_rules: dict[str, dict[str, Column]] = {}
     for table, column, accepted in ACCEPTED_VALUES:
@@ -35,13 +36,10 @@ def contract_failures(tables: Tables) -> DataFrame:
         _labelled(_count_failures(tables[table], rules), table, "accepted_values")
         for table, rules in value_rules.items()
     ]
+    parents = {(parent, target) for _, _, parent, target in FOREIGN_KEYS}
     parts += [
-        _labelled(_repeated_keys(tables[table], key), table, "unique")
-        for table, key in PRIMARY_KEYS.items()
-    ]
-    parts += [
-        _labelled(_orphans(tables[child], key, tables[parent], target), child, "relationship")
-        for child, key, parent, target in FOREIGN_KEYS
+        _key_failures(tables, table, key)
+        for table, key in sorted(parents | set(PRIMARY_KEYS.items()))
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -51,24 +49,38 @@ def _count_failures(df: DataFrame, broken: Mapping[str, Column]) -> DataFrame:
     return counts.unpivot([], list(broken), "column_name", "failures")
 
 
-def _repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """The number of key values that occur more than once."""
-    copies = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    return copies.agg(F.count_if(F.col("count") > 1).alias("failures")).select(
-        F.lit(key).alias("column_name"), "failures"
-    )
-
+def _key_failures(tables: Tables, table: str, key: str) -> DataFrame:
+    """Repeated values of a key, and rows of other tables whose reference has no such value.
 
-def _orphans(child: DataFrame, key: str, parent: DataFrame, target: str) -> DataFrame:
-    """The number of child rows whose key has no parent."""
-    references = child.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    known = parent.select(target).distinct()
-    orphans = references.join(known, F.col(key) == F.col(target), "left_anti")
-    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")).select(
-        F.lit(key).alias("column_name"), "failures"
+    Parent and child keys are one list, counted per value: a column is shuffled
+    once, without any join, and a value sends one row per task.
+    """
+    children = [(child, column) for child, column, *to in FOREIGN_KEYS if to == [table, key]]
+    sides = [(table, key), *children]
+    keys = [
+        tables[name].select(F.col(column).alias("key"), F.lit(number).alias("side"))
+        for number, (name, column) in enumerate(sides)
+    ]
+    per_key = (
+        reduce(DataFrame.unionAll, keys)
+        .where(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(*[F.count_if(F.col("side") == k).alias(f"n{k}") for k in range(len(sides))])
     )
+    rules = {}
+    if PRIMARY_KEYS.get(table) == key:
+        rules[(table, key, "unique")] = F.count_if(F.col("n0") > 1)
+    for k, (child, column) in enumerate(children, start=1):
+        orphans = F.sum(F.when(F.col("n0") == 0, F.col(f"n{k}")))
+        rules[(child, column, "relationship")] = F.coalesce(orphans, F.lit(0))
+    failures = [
+        F.struct(
+            *[F.lit(text).alias(name) for text, name in zip(rule, _RULE)],
+            count.cast("bigint").alias("failures"),
+        )
+        for rule, count in rules.items()
+    ]
+    return per_key.agg(F.array(*failures).alias("rules")).select(F.inline("rules"))
 
 
 def _labelled(failures: DataFrame, table: str, rule: str) -> DataFrame:

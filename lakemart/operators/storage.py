@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import readable_size, safe_ratio
-from lakemart.sources.files import file_lengths
+from lakemart.sources.files import exists, file_lengths
 
 
 def root_bytes(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
-    """One row with the total ``bytes`` of the files under the roots."""
+    """One row with the total ``bytes`` of the files under the roots.
+
+    NULL if a root is not there, as a sum of the rest would mislead.
+    """
+    if not all(exists(spark, root) for root in ([roots] if isinstance(roots, str) else roots)):
+        return spark.createDataFrame([(None,)], "bytes bigint")
     total = F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
     return file_lengths(spark, roots).agg(total)
 

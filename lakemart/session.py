@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -50,12 +49,8 @@ def drop_cached(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session may do without
-    that setting, since there the driver's disk is the executors' disk.
+    It lies under ``spark.checkpoint.dir`` or, where that is unset, in the
+    warehouse, which tables are written to and read from anyway.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="lakemart-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/lakemart-{uuid.uuid4().hex}"

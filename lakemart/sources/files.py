@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,20 @@ from pyspark.sql import functions as F
 _TEXT_COLUMNS = {"query"}
 _WHOLE_COLUMNS = {"row_count"}
 
+#: What Spark calls the error when a table or a path is not there.
+MISSING = {"TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND"}
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at the path."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() not in MISSING:
+            raise
+        return False
+    return True
+
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet files at a path."""
@@ -31,6 +46,7 @@ def read_summary_csv(spark: SparkSession, path: str) -> DataFrame:
 def file_lengths(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
     """One row per file under the roots, with its length in bytes.
 
+    Hidden files, whose names start with ``_`` or ``.``, are not listed.
     Only the listing is used, file contents are pruned from the scan. The scan
     plans a task per 128 MB of file, which would be idle tasks by the hundred
     thousand on a large root, so neighbours are merged without a shuffle.

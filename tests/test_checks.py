@@ -1,13 +1,12 @@
 """Quality checks, row counts, storage and session."""
 
-import os
-import tempfile
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 
-from lakemart import fixtures, operators, plans, sinks
+from lakemart import fixtures, operators, plans, sinks, sources
 from lakemart.plans.mart import NOT_NULL_COLUMNS
 from lakemart.schemas import TABLES
 from lakemart.session import DEFAULTS, build_spark, drop_cached, shared_folder
@@ -15,7 +14,9 @@ from tables import customer, line, make, nation, order, region
 
 
 def by_key(df, width):
-    return {tuple(row)[:width]: tuple(row)[width] for row in df.collect()}
+    """The last column, or all that are left, by the first ones."""
+    rest = {tuple(row)[:width]: tuple(row)[width:] for row in df.collect()}
+    return {key: values[0] if len(values) == 1 else values for key, values in rest.items()}
 
 
 def test_mart_has_no_null(spark, small):
@@ -95,6 +96,25 @@ def test_lost_rows_show_in_the_reconciliation(spark, tiny):
     assert all(found[name][2] == 0 for name in TABLES if name not in ("orders", "region"))
 
 
+def test_the_reconciliation_tolerates_a_missing_side(spark, tiny, new_name, tmp_path):
+    given = fixtures.given_tables(spark, tiny)
+    namespace = new_name("partly")
+    sinks.create_namespace(spark, namespace)
+    sinks.create_or_replace(given["nation"], f"{namespace}.nation", str(tmp_path))
+    loaded = sources.catalog_sources(spark, namespace, ["nation", "region"])
+    report = operators.reconcile_counts(given, loaded, ["nation", "region"])
+    assert by_key(report, 1) == {("nation",): (25, 25, 0), ("region",): (5, None, None)}
+    lost = sources.raw_sources(spark, str(tmp_path / "nowhere"))
+    report = operators.reconcile_counts(lost, {"nation": given["nation"]}, ["nation", "region"])
+    assert by_key(report, 1) == {("nation",): (None, 25, None), ("region",): (None, None, None)}
+
+
+def test_other_errors_of_a_source_are_raised(spark):
+    broken = sources.Sources(["t"], lambda _: spark.sql("SELECT no_such_column"))
+    with pytest.raises(AnalysisException, match="no_such_column"):
+        operators.reconcile_counts(broken, broken, ["t"])
+
+
 def test_counts_tolerate_a_missing_table(spark, new_name, tmp_path):
     namespace = new_name("counts")
     sinks.create_namespace(spark, namespace)
@@ -129,6 +149,16 @@ def test_storage_ratio_without_tables_is_null(spark, tmp_path):
     assert tuple(row) == (2000, 0, "1.95 KB", "0.00 B", None)
 
 
+def test_storage_report_tolerates_a_missing_root(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.tbl").write_text("x" * 2000)
+    raw, absent = str(tmp_path / "raw"), str(tmp_path / "absent")
+    row = operators.storage_report(spark, raw, absent).first()
+    assert tuple(row) == (2000, None, "1.95 KB", None, None)
+    row = operators.storage_report(spark, [raw, absent], raw).first()
+    assert tuple(row) == (None, 2000, None, "1.95 KB", None)
+
+
 def test_session_settings_and_cache(spark):
     again = build_spark(shuffle_partitions=4, conf={"spark.sql.parquet.mergeSchema": "true"})
     assert again.conf.get("spark.sql.parquet.mergeSchema") == "true"
@@ -143,19 +173,41 @@ def test_session_settings_and_cache(spark):
 
 
 class _Session:
-    """Just the two things that decide where shared data goes."""
+    """Just the settings, which decide where shared data goes."""
 
-    def __init__(self, master, folder=None):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master})()
+    def __init__(self, **conf):
+        self.conf = {key.replace("__", "."): value for key, value in conf.items()}
 
 
 def test_shared_folder_follows_the_cluster(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first != second and first.startswith(f"{root}/lakemart-")
-    assert shared_folder(_Session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/lakemart-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(_Session("yarn"))
-    local = shared_folder(_Session("local[2]"))
-    assert local.startswith(tempfile.gettempdir()) and os.path.isdir(local)
+    set_folder = _Session(spark__checkpoint__dir="hdfs:///shared/", spark__sql__warehouse__dir="w")
+    assert shared_folder(set_folder).startswith("hdfs:///shared/lakemart-")
+    unset = _Session(spark__sql__warehouse__dir="hdfs:///warehouse")
+    assert shared_folder(unset).startswith("hdfs:///warehouse/lakemart-")
+
+
+def test_nothing_in_the_library_uses_a_local_temporary_folder():
+    package = Path(operators.__file__).parents[1]
+    assert not [file for file in package.rglob("*.py") if "tempfile" in file.read_text()]
+
+
+def test_a_second_call_writes_nothing(spark, tiny):
+    import __spark_entry__ as entry_point
+
+    def files():
+        root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+        return sorted(str(file) for file in root.rglob("*.parquet"))
+
+    names = ("sales_summary_table", "table_replace_orders", "table_append_orders", "table_counts")
+    queries = entry_point.queries()
+    first = {name: rows_of(queries[name](spark, tiny)) for name in names}
+    written = files()
+    assert {name: rows_of(queries[name](spark, tiny)) for name in names} == first
+    assert files() == written
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
