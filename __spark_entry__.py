@@ -41,7 +41,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
-Q3_PARAMS = {"segment": "BUILDING", "cutoff": dt.date(1995, 3, 15)}
 YEAR_1996 = {"start": dt.date(1996, 1, 1), "end": dt.date(1997, 1, 1)}
 
 
@@ -111,13 +110,19 @@ def _raw_tables(spark: SparkSession, folder: str) -> sources.Sources:
     )
 
 
-def _new_namespace(spark: SparkSession, purpose: str) -> tuple[str, str]:
-    """A namespace for one run of a query, and a new folder for its tables."""
-    root = shared_folder(spark)
-    unique = root.rsplit("-", 1)[-1].replace("/", "_").lower()
-    namespace = f"lakemart_{purpose}_{unique}"
-    sinks.create_namespace(spark, namespace)
-    return namespace, root
+def _namespace_once(
+    spark: SparkSession, folder: str, purpose: str, fill: Callable[[str, str], None]
+) -> str:
+    """A namespace whose tables ``fill(namespace, folder)`` writes at the first use."""
+
+    def write() -> str:
+        root = shared_folder(spark)
+        namespace = f"lakemart_{purpose}_{root.rsplit('-', 1)[-1].lower()}"
+        sinks.create_namespace(spark, namespace)
+        fill(namespace, root)
+        return namespace
+
+    return _once(spark, folder, f"namespace {purpose}", write)
 
 
 # --- queries ----------------------------------------------------------------
@@ -146,10 +151,26 @@ def _inline_sql(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(plans.run_sql(spark, text, {"table": lineitem}))
 
 
+def _mart_namespace(spark: SparkSession, folder: str) -> str:
+    def fill(namespace: str, root: str) -> None:
+        mart = plans.sales_summary(fixtures.given_tables(spark, folder))
+        sinks.materialize(mart, f"{namespace}.sales_summary", "table", root)
+
+    return _namespace_once(spark, folder, "mart", fill)
+
+
 def _summary_table(spark: SparkSession, folder: str) -> DataFrame:
-    namespace, root = _new_namespace(spark, "mart")
-    mart = plans.sales_summary(fixtures.given_tables(spark, folder))
-    return _plain(sinks.materialize(mart, f"{namespace}.sales_summary", "table", root))
+    name = f"{_mart_namespace(spark, folder)}.sales_summary"
+    return _plain(sources.scan_table(spark, name))
+
+
+def _lasting_view(spark: SparkSession, folder: str) -> DataFrame:
+    namespace = _mart_namespace(spark, folder)
+    text = (
+        "SELECT region_name, CAST(sum(total_revenue) AS DECIMAL(38, 4)) AS total_revenue, "
+        f"sum(order_count) AS order_count FROM {namespace}.sales_summary GROUP BY region_name"
+    )
+    return _plain(sinks.create_view(spark, f"{namespace}.by_region", text))
 
 
 def _summary_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,24 +178,26 @@ def _summary_view(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(sinks.materialize(mart, "sales_summary_view", "view"))
 
 
-def _given_columns(table: str) -> list[str]:
-    """The columns that the given tables have a value for."""
-    absent = {
-        "c_address", "c_phone", "c_comment", "o_clerk", "o_comment", "l_commitdate",
-        "l_receiptdate", "l_shipinstruct", "l_shipmode", "l_comment", "p_mfgr",
-        "p_container", "p_comment", "s_address", "s_phone", "s_comment",
-        "ps_availqty", "ps_supplycost", "ps_comment", "n_comment", "r_comment",
-    }
-    return [name for name in SCHEMAS[table].fieldNames() if name not in absent]
+def _given_columns(spark: SparkSession, folder: str, table: str) -> list[str]:
+    """The declared columns that the given tables have, and those that are derived."""
+    there = {"ps_partkey", "ps_suppkey", "o_shippriority"}
+    if table != "partsupp":
+        there |= set(sources.scan_parquet(spark, f"{folder}/{table}.parquet").columns)
+    return [name for name in SCHEMAS[table].fieldNames() if name in there]
 
 
 def _raw_scan(table: str) -> Query:
-    return _on_raw(lambda tables: tables[table].select(*_given_columns(table)))
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        raw = _raw_tables(spark, folder)[table]
+        return _plain(raw.select(*_given_columns(spark, folder, table)))
+
+    return query
 
 
 def _raw_view(spark: SparkSession, folder: str) -> DataFrame:
-    base = _raw_base(spark, folder, "orders")
-    (view,) = sources.register_raw_views(spark, base, ["orders"])
+    """One view for each raw table; the totals are those of the orders."""
+    views = sources.register_raw_views(spark, _raw_base(spark, folder, *TABLES))
+    (view,) = [name for name in views if name.endswith("_orders")]
     return _plain(
         spark.sql(
             "SELECT o_orderstatus, count(*) AS n, sum(o_totalprice) AS total "
@@ -195,12 +218,10 @@ def _by_variant(query: Callable[[sources.Sources], DataFrame]) -> Query:
 def _loaded_namespace(spark: SparkSession, folder: str) -> str:
     """The namespace of all eight tables, loaded from raw files."""
 
-    def load() -> str:
-        namespace, root = _new_namespace(spark, "load")
+    def load(namespace: str, root: str) -> None:
         sinks.load_raw(spark, _raw_base(spark, folder, *TABLES), namespace, root=root)
-        return namespace
 
-    return _once(spark, folder, "loaded", load)
+    return _namespace_once(spark, folder, "load", load)
 
 
 def _on_loaded(query: Callable[[sources.Sources], DataFrame]) -> Query:
@@ -216,37 +237,56 @@ def _reconcile(spark: SparkSession, folder: str) -> DataFrame:
     counts = operators.reconcile_counts(
         _raw_tables(spark, folder), sources.catalog_sources(spark, namespace), TABLES
     )
-    return counts.join(listed, F.col("table_name") == F.col("tableName")).drop("tableName")
+    shown = counts.join(listed, F.col("table_name") == F.col("tableName"), "left")
+    return shown.withColumn("listed", F.col("tableName").isNotNull()).drop("tableName")
+
+
+def _partly_loaded(spark: SparkSession, folder: str) -> str:
+    """A namespace with all tables but ``ABSENT``."""
+
+    def load(namespace: str, root: str) -> None:
+        names = [table for table in TABLES if table != ABSENT]
+        sinks.load_raw(spark, _raw_base(spark, folder, *TABLES), namespace, names, root)
+
+    return _namespace_once(spark, folder, "partly", load)
+
+
+def _reconcile_partly(spark: SparkSession, folder: str) -> DataFrame:
+    loaded = sources.catalog_sources(spark, _partly_loaded(spark, folder))
+    return operators.reconcile_counts(_raw_tables(spark, folder), loaded, TABLES)
 
 
 def _table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    namespace, root = _new_namespace(spark, "counts")
-    given = fixtures.given_tables(spark, folder)
-    for table in ("orders", "customer"):
-        sinks.create_or_replace(given[table], f"{namespace}.{table}", root)
-    return operators.table_counts(spark, namespace, ["orders", "customer", "lineitem"])
+    return operators.table_counts(spark, _partly_loaded(spark, folder), TABLES)
 
 
 def _replace_table(spark: SparkSession, folder: str) -> DataFrame:
     """Loads the orders, then rebuilds the table from itself with a new column."""
-    namespace, root = _new_namespace(spark, "replace")
-    name = f"{namespace}.orders"
-    sinks.create_or_replace(fixtures.given_tables(spark, folder)["orders"], name, root)
-    dated = sources.scan_table(spark, name).withColumn("order_year", F.year("o_orderdate"))
-    sinks.create_or_replace(dated, name, root)
-    replaced = sources.scan_table(spark, name)
-    return _plain(replaced.select(*_given_columns("orders"), "order_year"))
+
+    def fill(namespace: str, root: str) -> None:
+        name = f"{namespace}.orders"
+        sinks.create_or_replace(fixtures.given_tables(spark, folder)["orders"], name, root)
+        dated = sources.scan_table(spark, name).withColumn("order_year", F.year("o_orderdate"))
+        sinks.create_or_replace(dated, name, root)
+
+    namespace = _namespace_once(spark, folder, "replace", fill)
+    replaced = sources.scan_table(spark, f"{namespace}.orders")
+    return _plain(replaced.select(*_given_columns(spark, folder, "orders"), "order_year"))
 
 
 def _append_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Creates an empty table and adds all orders in two steps."""
-    namespace, root = _new_namespace(spark, "append")
-    name = f"{namespace}.orders"
-    sinks.create_table(spark, name, SCHEMAS["orders"], root)
-    orders = fixtures.given_tables(spark, folder)["orders"]
-    for step in ("o_orderstatus <=> 'O'", "NOT o_orderstatus <=> 'O'"):
-        sinks.append_rows(orders.where(step), name)
-    return _plain(sources.scan_table(spark, name).select(*_given_columns("orders")))
+
+    def fill(namespace: str, root: str) -> None:
+        name = f"{namespace}.orders"
+        sinks.create_table(spark, name, SCHEMAS["orders"], root)
+        orders = fixtures.given_tables(spark, folder)["orders"]
+        for step in ("o_orderstatus <=> 'O'", "NOT o_orderstatus <=> 'O'"):
+            sinks.append_rows(orders.where(step), name)
+
+    namespace = _namespace_once(spark, folder, "append", fill)
+    orders = sources.scan_table(spark, f"{namespace}.orders")
+    return _plain(orders.select(*_given_columns(spark, folder, "orders")))
 
 
 def _parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,7 +294,8 @@ def _parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = _folder_once(
         spark, folder, "lineitem", lambda to: sinks.write_parquet(given["lineitem"], to)
     )
-    return _plain(sources.scan_parquet(spark, path).select(*_given_columns("lineitem")))
+    lines = sources.scan_parquet(spark, path)
+    return _plain(lines.select(*_given_columns(spark, folder, "lineitem")))
 
 
 def _mart_not_null(spark: SparkSession, folder: str) -> DataFrame:
@@ -264,7 +305,8 @@ def _mart_not_null(spark: SparkSession, folder: str) -> DataFrame:
 
 def _preview(spark: SparkSession, folder: str) -> DataFrame:
     orders = fixtures.given_tables(spark, folder)["orders"]
-    return _plain(plans.preview(orders.select(*_given_columns("orders")), "o_orderkey"))
+    columns = _given_columns(spark, folder, "orders")
+    return _plain(plans.preview(orders.select(*columns), "o_orderkey"))
 
 
 def _on_metrics(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -278,9 +320,12 @@ def _written_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _written_record(spark: SparkSession, folder: str) -> DataFrame:
-    given = fixtures.given_tables(spark, folder)
-    counts = operators.reconcile_counts(given, given, ["orders", "lineitem"])
-    record = operators.run_record(fixtures.run_metrics(spark, folder), counts)
+    """Raw against loaded tables; every tenth order is missing from the loaded ones."""
+    loaded = sources.catalog_sources(spark, _loaded_namespace(spark, folder))
+    lossy = {**loaded, "orders": loaded["orders"].where("o_orderkey % 10 <> 0")}
+    counts = operators.reconcile_counts(_raw_tables(spark, folder), lossy, TABLES)
+    metrics, meta = fixtures.run_metrics(spark, folder), {"tables": len(TABLES)}
+    record = operators.run_record(metrics, counts, _storage(spark, folder), meta)
     path = _folder_once(spark, folder, "record", lambda to: sinks.write_json(record, to))
     rows = spark.read.schema(record.schema).json(path)
     return rows.select(
@@ -289,11 +334,34 @@ def _written_record(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _text_lines(spark: SparkSession, folder: str, table: str, column: str) -> str:
+    """A folder with a column as lines of text, whose sizes SQL can tell."""
+    texts = sources.scan_parquet(spark, f"{folder}/{table}.parquet").select(column)
+    return _folder_once(spark, folder, f"lines of {table}", lambda to: texts.write.text(to))
+
+
 def _storage(spark: SparkSession, folder: str) -> DataFrame:
-    names = ("orders", "lineitem")
-    base = _raw_base(spark, folder, *names)
-    raw = [f"{base}/{name}.tbl" for name in names]
-    return operators.storage_report(spark, raw, [f"{folder}/{name}.parquet" for name in names])
+    return operators.storage_report(
+        spark,
+        _text_lines(spark, folder, "documents", "text"),
+        _text_lines(spark, folder, "pages", "html"),
+    )
+
+
+def _storage_of_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All raw files against all files of the loaded tables."""
+    loaded = sources.catalog_sources(spark, _loaded_namespace(spark, folder))
+    files = [file for table in TABLES for file in loaded[table].inputFiles()]
+    roots = sorted({file.rsplit("/", 1)[0] for file in files})
+    return operators.storage_report(spark, _raw_base(spark, folder, *TABLES), roots)
+
+
+def _paired_by_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The report for the kinds of events and one that has no run."""
+    metrics = fixtures.run_metrics(spark, folder)
+    listed = metrics.select("query").distinct()
+    names = listed.union(spark.createDataFrame([("never run",)], "query string"))
+    return _rounded(operators.paired_report(metrics, names))
 
 
 def _text_sizes(spark: SparkSession, folder: str) -> DataFrame:
@@ -302,7 +370,8 @@ def _text_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return texts.select("doc_id", size.alias("bytes"), readable_size(size).alias("size"))
 
 
-RAW_SCANS = ("customer", "orders", "lineitem", "part", "supplier", "partsupp")
+#: The table that the partly loaded namespace lacks.
+ABSENT = "supplier"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -319,23 +388,29 @@ def queries() -> dict[str, Query]:
         "q1_groupby_df": _on_given(plans.pricing_summary),
         "q1_groupby_sql": _inline_sql,
         "q3_top10": _on_given(plans.top_unshipped_orders),
-        "q3_top10_sql": _packaged("q3_top10", Q3_PARAMS),
+        "q3_top10_sql": _packaged("q3_top10"),
         "q6_discount": _on_given(plans.promotional_discount),
         "q6_discount_1996": _on_given(lambda t: plans.promotional_discount(t, **YEAR_1996)),
-        "q6_discount_sql": _packaged("q6_discount", YEAR_1996),
+        "q6_discount_sql": _packaged("q6_discount"),
+        "q6_discount_sql_1996": _packaged("q6_discount", YEAR_1996),
         "sales_summary": _on_given(plans.sales_summary),
         "sales_summary_sql": _packaged("sales_summary"),
         "sales_summary_table": _summary_table,
         "sales_summary_view": _summary_view,
+        "sales_by_region_view": _lasting_view,
         # raw files
-        **{f"tbl_scan_{table}": _raw_scan(table) for table in RAW_SCANS},
+        **{f"tbl_scan_{table}": _raw_scan(table) for table in TABLES},
         "tbl_view_orders": _raw_view,
         "tbl_q3_top10": _on_raw(plans.top_unshipped_orders),
         "tbl_q6_discount_1996": _on_raw(lambda t: plans.promotional_discount(t, **YEAR_1996)),
         "tbl_sales_summary": _on_raw(plans.sales_summary),
         "q1_by_variant": _by_variant(plans.pricing_summary),
         # tables and files
+        "loaded_q1_groupby": _on_loaded(plans.pricing_summary),
         "loaded_q3_top10": _on_loaded(plans.top_unshipped_orders),
+        "loaded_q6_discount_1996": _on_loaded(
+            lambda t: plans.promotional_discount(t, **YEAR_1996)
+        ),
         "loaded_sales_summary": _on_loaded(plans.sales_summary),
         "table_replace_orders": _replace_table,
         "table_append_orders": _append_rows,
@@ -346,6 +421,7 @@ def queries() -> dict[str, Query]:
             fixtures.given_tables(spark, folder)
         ),
         "row_count_reconcile": _reconcile,
+        "row_count_reconcile_partly": _reconcile_partly,
         "table_counts": _table_counts,
         "mart_not_null": _mart_not_null,
         "contract_failures": lambda spark, folder: operators.contract_failures(
@@ -355,6 +431,7 @@ def queries() -> dict[str, Query]:
         "run_summary": _on_metrics(operators.run_summary),
         "run_times": _on_metrics(operators.run_times),
         "paired_report": _on_metrics(operators.paired_report),
+        "paired_report_by_names": _paired_by_names,
         "single_query_report": _on_metrics(
             lambda metrics: operators.single_query_report(metrics, "view")
         ),
@@ -362,6 +439,7 @@ def queries() -> dict[str, Query]:
         "run_record": _written_record,
         "readable_text_sizes": _text_sizes,
         "storage_report": _storage,
+        "storage_report_tables": _storage_of_tables,
     }
 
 
@@ -432,10 +510,21 @@ _PART_SUPPLIERS = """
 """
 
 
+# The declared columns that the given tables lack.
+_ABSENT_COLUMNS = {
+    "c_address", "c_phone", "c_comment", "o_clerk", "o_comment", "l_commitdate",
+    "l_receiptdate", "l_shipinstruct", "l_shipmode", "l_comment", "p_mfgr",
+    "p_container", "p_comment", "s_address", "s_phone", "s_comment",
+    "ps_availqty", "ps_supplycost", "ps_comment", "n_comment", "r_comment",
+}
+
+
 def _all_rows(table: str) -> str:
     """The given columns of a table in the declared types, decimals as DOUBLE."""
     columns = []
-    for name in _given_columns(table):
+    for name in SCHEMAS[table].fieldNames():
+        if name in _ABSENT_COLUMNS:
+            continue
         kind = SCHEMAS[table][name].dataType
         if name == "o_shippriority":
             columns.append("CAST(0 AS INTEGER) AS o_shippriority")
@@ -499,9 +588,23 @@ _PAIRED = f"""
     GROUP BY query
 """
 
+# A line of text takes its bytes and one more; a NULL is an empty line.
+_LINES = """
+    SELECT (SELECT CAST(SUM(COALESCE(strlen(text), 0) + 1) AS BIGINT) FROM documents)
+               AS csv_bytes,
+           (SELECT CAST(SUM(COALESCE(strlen(html), 0) + 1) AS BIGINT) FROM pages)
+               AS iceberg_bytes
+"""
+
 _RECORD = f"""
     WITH summary AS ({_SUMMARY}),
-    counts AS ({_count('orders')} UNION ALL {_count('lineitem')})
+    counts AS (
+        SELECT table_name, n,
+               CASE WHEN table_name = 'orders'
+                    THEN (SELECT COUNT(*) FROM orders WHERE o_orderkey % 10 <> 0) ELSE n
+               END AS kept
+        FROM ({_COUNTS})
+    )
     SELECT 'queries' AS section, query AS name, variant, metric,
            CAST(NULL AS BIGINT) AS run, value
     FROM (SELECT query, variant,
@@ -514,8 +617,18 @@ _RECORD = f"""
     SELECT 'queries', query, variant, 'times_sec', run, ROUND(sec, 6) FROM {_METRICS}
     UNION ALL
     SELECT 'row_counts', table_name, CAST(NULL AS VARCHAR), UNNEST(['csv', 'iceberg', 'diff']),
-           CAST(NULL AS BIGINT), UNNEST([CAST(n AS DOUBLE), CAST(n AS DOUBLE), 0.0])
+           CAST(NULL AS BIGINT),
+           UNNEST([CAST(n AS DOUBLE), CAST(kept AS DOUBLE), CAST(n - kept AS DOUBLE)])
     FROM counts
+    UNION ALL
+    SELECT 'storage', 'all', CAST(NULL AS VARCHAR),
+           UNNEST(['csv_bytes', 'iceberg_bytes', 'compression_ratio']), CAST(NULL AS BIGINT),
+           UNNEST([CAST(csv_bytes AS DOUBLE), CAST(iceberg_bytes AS DOUBLE),
+                   ROUND(csv_bytes / NULLIF(iceberg_bytes, 0), 6)])
+    FROM ({_LINES})
+    UNION ALL
+    SELECT 'meta', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'tables',
+           CAST(NULL AS BIGINT), CAST({len(TABLES)} AS DOUBLE)
 """
 
 _NOT_NULL = " UNION ALL ".join(
@@ -579,12 +692,19 @@ def oracle_sql() -> dict[str, str]:
         "q3_top10_sql": _Q3,
         "q6_discount": _q6(1994),
         "q6_discount_1996": _q6(1996),
-        "q6_discount_sql": _q6(1996),
+        "q6_discount_sql": _q6(1994),
+        "q6_discount_sql_1996": _q6(1996),
         "sales_summary": _MART,
         "sales_summary_sql": _MART,
         "sales_summary_table": _MART,
         "sales_summary_view": _MART,
-        **{f"tbl_scan_{table}": _all_rows(table) for table in RAW_SCANS},
+        "sales_by_region_view": f"""
+            SELECT region_name,
+                   CAST(SUM(CAST(total_revenue AS DECIMAL(38, 4))) AS DOUBLE) AS total_revenue,
+                   CAST(SUM(order_count) AS BIGINT) AS order_count
+            FROM ({_MART}) GROUP BY region_name
+        """,
+        **{f"tbl_scan_{table}": _all_rows(table) for table in TABLES},
         "tbl_view_orders": f"""
             SELECT o_orderstatus, COUNT(*) AS n,
                    CAST(SUM({_money('o_totalprice')}) AS DOUBLE) AS total
@@ -597,7 +717,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT q.*, v.variant FROM ({_Q1}) AS q
             CROSS JOIN (VALUES ('csv'), ('iceberg')) AS v(variant)
         """,
+        "loaded_q1_groupby": _Q1,
         "loaded_q3_top10": _Q3,
+        "loaded_q6_discount_1996": _q6(1996),
         "loaded_sales_summary": _MART,
         "table_replace_orders": f"""
             SELECT *, CAST(YEAR(o_orderdate) AS INTEGER) AS order_year
@@ -608,18 +730,29 @@ def oracle_sql() -> dict[str, str]:
         "top_orders_preview": f"{_all_rows('orders')} ORDER BY o_orderkey LIMIT 5",
         "row_counts": _COUNTS,
         "row_count_reconcile": f"""
-            SELECT table_name, n AS csv, n AS iceberg, CAST(0 AS BIGINT) AS diff
+            SELECT table_name, n AS csv, n AS iceberg, CAST(0 AS BIGINT) AS diff, true AS listed
+            FROM ({_COUNTS})
+        """,
+        "row_count_reconcile_partly": f"""
+            SELECT table_name, n AS csv, CASE WHEN table_name <> '{ABSENT}' THEN n END AS iceberg,
+                   CASE WHEN table_name <> '{ABSENT}' THEN CAST(0 AS BIGINT) END AS diff
             FROM ({_COUNTS})
         """,
         "table_counts": f"""
-            {_count('orders')} UNION ALL {_count('customer')}
-            UNION ALL SELECT 'lineitem', CAST(NULL AS BIGINT)
+            SELECT table_name, CASE WHEN table_name <> '{ABSENT}' THEN n END AS n
+            FROM ({_COUNTS})
         """,
         "mart_not_null": f"WITH mart AS ({_MART}) {_NOT_NULL}",
         "contract_failures": _contract(),
         "run_summary": _SUMMARY,
         "run_times": f"SELECT query, variant, run, ROUND(sec, 6) AS sec FROM {_METRICS}",
         "paired_report": _PAIRED,
+        "paired_report_by_names": f"""
+            SELECT names.query, report.* EXCLUDE (query)
+            FROM (SELECT event_type AS query FROM events
+                  UNION SELECT 'never run') AS names
+            LEFT JOIN ({_PAIRED}) AS report ON names.query = report.query
+        """,
         "single_query_report": f"""
             SELECT CASE variant WHEN 'csv' THEN 'CSV' ELSE 'Iceberg' END AS source,
                    avg_sec, row_count AS rows
@@ -631,4 +764,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CAST({_SIZE} AS BIGINT) AS bytes, {_readable(_SIZE)} AS size
             FROM documents
         """,
+        "storage_report": f"""
+            SELECT csv_bytes, iceberg_bytes, {_readable('csv_bytes')} AS csv_size,
+                   {_readable('iceberg_bytes')} AS iceberg_size,
+                   csv_bytes / NULLIF(iceberg_bytes, 0) AS compression_ratio
+            FROM ({_LINES})
+        """,
     }

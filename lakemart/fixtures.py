@@ -61,5 +61,11 @@ def write_raw(tables: Sources, base: str, names: Sequence[str] = TABLES) -> str:
     """Write tables as raw files, each line ending in a delimiter."""
     for name in names:
         lines = tables[name].withColumn(TRAILING.name, F.lit(None).cast(TRAILING.dataType))
-        lines.write.options(sep="|", header=False).csv(f"{base}/{name}.tbl")
+        lines.write.options(
+            sep="|",
+            header=False,
+            # blanks at the ends of a text are part of it
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        ).csv(f"{base}/{name}.tbl")
     return base

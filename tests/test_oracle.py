@@ -40,7 +40,14 @@ def duck(small):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"storage_report"}
+    text = {name for name in QUERIES if name.startswith("op") or name == "pipeline"}
+    assert set(QUERIES) - set(ORACLE) - text == {"storage_report_tables"}
+
+
+def test_storage_of_all_tables(spark, small):
+    row = QUERIES["storage_report_tables"](spark, small).first()
+    assert row.csv_bytes > row.iceberg_bytes > 0
+    assert row.compression_ratio == row.csv_bytes / row.iceberg_bytes
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -8,6 +8,7 @@ import pytest
 from lakemart import fixtures
 from lakemart.schemas import SCHEMAS, TABLES
 from lakemart.sources import raw_sources, read_summary_csv, register_raw_views, scan_raw
+from tables import make
 
 
 @pytest.mark.parametrize("table", TABLES)
@@ -76,3 +77,10 @@ def test_summary_csv_with_text_that_is_no_number(spark, tmp_path):
         ("b", None, 0.2, None),
         ("c", None, 3.0, 10),
     ]
+
+
+def test_blanks_at_the_ends_of_a_text_are_kept(spark, tmp_path):
+    given = {"region": make(spark, "region", {"r_regionkey": 1, "r_name": " x ", "r_comment": "  "})}
+    base = fixtures.write_raw(given, str(tmp_path), ["region"])
+    row = scan_raw(spark, base, "region").first()
+    assert (row.r_name, row.r_comment) == (" x ", "  ")
