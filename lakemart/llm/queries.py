@@ -13,7 +13,7 @@ from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.id_files import id_files_round_trip
 from lakemart.llm.multi_index import nearest_by_multi_index
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
-from lakemart.llm.secrets import secret_scan
+from lakemart.llm.secret_scan import secret_scan
 from lakemart.llm.shared_prefix import encode_summary
 from lakemart.llm.suffix_tree import suffix_tree_scores
 from lakemart.llm.tokens import public_vocabulary

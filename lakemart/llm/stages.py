@@ -13,7 +13,7 @@ from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
 from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
-from lakemart.llm.secrets import redact_secrets
+from lakemart.llm.secret_scan import redact_secrets
 from lakemart.llm.tokens import public_vocabulary
 from lakemart.llm.toxicity import toxicity
 
