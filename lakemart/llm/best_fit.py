@@ -265,7 +265,9 @@ def best_fit_packing(
             }
         )
 
-    ranked = pieces.join(before.drop("n"), ["task", "length"]).withColumn(
+    # a row per task and length: it grows with the tasks, so it isn't broadcast
+    earlier_tasks = before.drop("n").hint("merge")
+    ranked = pieces.join(earlier_tasks, ["task", "length"]).withColumn(
         "at", place("length", F.col("before") + F.col("rank"))
     )
     return ranked.select(

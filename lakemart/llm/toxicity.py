@@ -18,7 +18,8 @@ sources are never inputs of a score.
 Defined cases. Null text is empty and gets the score of a text without votes.
 Rows that repeat an id are scored each; a label belongs to every row with its
 id, and an id that has different labels counts as toxic. Without usable labels,
-or with one kind only, the general list and the patterns decide alone.
+or with one kind only, the label model scores alone, on the general list and the
+patterns.
 """
 
 from __future__ import annotations
@@ -347,11 +348,11 @@ def toxicity(
     model = LabelModel(patterns, counts)
 
     sample = _sample(signals.where(training), known, most_rows)
-    if sample.num_rows:
+    if found and sample.num_rows:
         x = _inputs(sample, listed, strength, voter)
         weights = _logistic(x, model.posterior(_votes(sample, voter).astype(float)))
     else:
-        # no labelled text to learn from: the classifier repeats the label model
+        # no labelled texts of both kinds to learn from: the classifier repeats the label model
         voted = np.log(model.hit / model.false) * model.say
         silent = np.log((1 - model.hit) / (1 - model.false)) * model.say
         weights = np.zeros(HASHED + VOTERS + 3)

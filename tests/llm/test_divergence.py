@@ -1,0 +1,99 @@
+"""Quality rules: base counts by brute force, distances, labelled documents."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lakemart.llm import divergence
+from lakemart.llm.common import table
+from lakemart.llm.divergence import distance, quality_by_divergence
+
+
+def base(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n = len(words)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = Counter(tuple(words[i : i + 8]) for i in range(n - 7))
+    again = {j for i in range(n - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    return (
+        n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)), len(again), n < 20 or 100 * len(again) > 30 * n,
+    )
+
+
+def check(docs):
+    found = quality_by_divergence(docs).collect()
+    expected = [(row.doc_id, *base(row.text)) for row in docs.select("doc_id", "text").collect()]
+    assert sorted(map(repr, (tuple(row)[:7] for row in found))) == sorted(map(repr, expected))
+    assert not any(row.kept and row.base_failed for row in found)
+    return found
+
+
+def test_given_documents(tiny_docs):
+    check(tiny_docs[0])
+
+
+def test_odd_documents(odd_docs):
+    check(odd_docs)
+
+
+def test_no_documents(no_docs):
+    assert quality_by_divergence(no_docs).collect() == []
+
+
+def test_repeats(make_docs):
+    line = "one two three four five six seven eight nine ten"
+    check(
+        make_docs(
+            (1, f"{line}\n{line}\n  \n \n{line} "), (2, " ".join(["w"] * 30)),
+            (3, " ".join(f"w{i}" for i in range(20))), (4, f"{line} x {line}"), (5, "### $$ a|b <>&*%"),
+        )
+    )
+
+
+def test_labelled_documents(spark, small):
+    """Of documents that pass the base rules, good ones are kept and bad ones go."""
+    labels = {row.doc_id: row.quality for row in table(spark, small, "labels").collect()}
+    found = [
+        (labels[row.doc_id], row.kept)
+        for row in quality_by_divergence(table(spark, small, "documents")).collect()
+        if row.doc_id in labels and not row.base_failed
+    ]
+    good, bad = [k for q, k in found if q == 1], [k for q, k in found if q == 0]
+    assert all(good) and np.mean(bad) <= 0.1
+
+
+def test_a_rare_language_makes_no_reference_and_nulls_are_judged(make_docs):
+    rng, words = random.Random(1), "the cat and the dog sat on the mat and the bird sang to them".split()
+    text = "the cat and the dog sat on the mat "
+    rows = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(300)]
+    odd = (1000, " ".join(f"{chr(0x4E00 + i)}{chr(0x5E00 + i)}" for i in range(200)), "xx")
+    found = {row.doc_id: row.kept for row in quality_by_divergence(make_docs(*rows, odd, (1001, text * 6, None))).collect()}
+    assert found[1000] is False and found[1001] is False  # one is far, one repeats
+    other = quality_by_divergence(make_docs((1, " ".join(f"w{i}" for i in range(50)), None))).collect()
+    assert other[0].kept  # without any reference the base rules decide
+
+
+def test_distance():
+    p = np.array([[2, 2, 0], [0, 0, 5], [0, 0, 0]])
+    found = distance(p, np.array([0.5, 0.5, 0.0]))
+    assert found == pytest.approx([0, 1, 1])
+
+
+def test_rare_words_may_go_meanwhile(make_docs, monkeypatch):
+    """With few words held at a time, the common ones are still named."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "HELD_WORDS", 50)
+    texts = [" ".join(f"r{i}x{j}" for j in range(90)) + " often" * 10 for i in range(40)]
+    batches = [
+        pa.record_batch({"doc_id": pa.array([i]), "lang": pa.array(["en"]), "text": pa.array([t])})
+        for i, t in enumerate(texts)
+    ]
+    monkeypatch.setattr(divergence, "chunks", lambda b: b)
+    (out,) = divergence._frequent(0.05)(iter(batches))
+    assert out.column("word").to_pylist() == ["often"]

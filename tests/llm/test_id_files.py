@@ -1,0 +1,85 @@
+"""Token id files: Elias-Fano sequences and whole round trips."""
+
+import math
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from lakemart.llm.id_files import EliasFano, dump_index, id_files_round_trip, load_index, read_id_files, write_id_files
+from lakemart.llm.tokens import public_vocabulary
+
+PATH = public_vocabulary("byte_bpe_50k.json")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2**40) | st.integers(0, 300), max_size=700).map(sorted))
+def test_elias_fano(values):
+    packed, end = EliasFano.load(EliasFano.of(values).dump(), 0)
+    assert packed.all().tolist() == values
+    assert [packed.select(i) for i in range(len(values))] == values
+    with pytest.raises(IndexError):
+        packed.select(len(values))
+
+
+def test_space_is_near_the_least():
+    values = np.cumsum(np.random.default_rng(1).integers(1, 2000, 20_000))
+    n, most = len(values), int(values[-1])
+    bits = 8 * len(EliasFano.of(values).dump()) / n
+    assert bits < math.log2(most / n) + 2.5  # samples of places included
+    assert bits < 64 / 4
+
+
+def test_index_of_odd_ids():
+    ids = [None, None, -(2**62), -5, 0, 0, 7, 2**62]
+    starts, found, width = load_index(dump_index(np.arange(9) * 3, ids, 2))
+    assert found == ids and width == 2 and starts.all().tolist() == list(range(0, 27, 3))
+    with pytest.raises(ValueError):
+        load_index(b"nothing" * 10)
+
+
+def check(docs):
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    rows = [(row.doc_id, row.text or "") for row in docs.select("doc_id", "text").collect()]
+    lengths = {}
+    expected = []
+    for doc_id, text in rows:
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        expected.append((doc_id, len(ids), zlib.crc32(ids.tobytes())))
+        lengths[len(expected)] = len(ids)
+    found = id_files_round_trip(docs, PATH).orderBy("start").collect()
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1:])
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in found), key=key) == sorted(expected, key=key)
+    start = 0
+    for row in found:
+        assert row.start == start
+        start += row.n_tokens
+    order = [row.doc_id for row in found]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+
+
+def test_given_documents(tiny_docs):
+    check(tiny_docs[0])
+
+
+def test_odd_documents(odd_docs):
+    check(odd_docs)
+
+
+def test_no_documents(no_docs):
+    assert id_files_round_trip(no_docs, PATH).collect() == []
+
+
+def test_files_hold_two_bytes_an_id_and_a_retry_leaves_no_mixture(spark, tiny_docs, tmp_path):
+    manifest = write_id_files(tiny_docs[0], str(tmp_path), PATH).cache()
+    tokens = sum(row.tokens for row in manifest.collect())
+    named = [Path(f"{row.path}.ids") for row in manifest.collect()]
+    assert sum(file.stat().st_size for file in named) == 2 * tokens
+    # an attempt that failed may have left other files, which no row names
+    (tmp_path / "shard-000000-lost.ids").write_bytes(b"xx")
+    assert read_id_files(spark, manifest).count() == len(tiny_docs[1])
