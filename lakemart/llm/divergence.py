@@ -258,6 +258,45 @@ def quality_by_divergence(
 
     Also the distances to the nearest references: word_distance, class_distance.
     """
+    measured, _, bins, references = _fit(docs, id_col, text_col, lang_col, least_share)
+    return measured.mapInArrow(
+        _judge(bins, references, class_limit, word_limit),
+        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+        "n_repeat_words long, base_failed boolean, kept boolean, "
+        "word_distance double, class_distance double",
+    )
+
+
+def drop_low_quality(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    least_share: float = LEAST_SHARE,
+    class_limit: tuple[float, float, float] = CLASS_LIMIT,
+    word_limit: tuple[float, float, float] = WORD_LIMIT,
+) -> DataFrame:
+    """The rows and columns of ``docs`` whose text is kept.
+
+    Each text is judged where it is, so nothing is shuffled.
+    """
+    _, common, bins, references = _fit(docs, id_col, text_col, lang_col, least_share)
+
+    @F.arrow_udf("boolean")
+    def kept(text: pa.Array) -> pa.Array:
+        nothing = pa.nulls(len(text), pa.int64())
+        rows = pa.record_batch(
+            {"doc_id": nothing, "lang": nothing, "text": pc.fill_null(text, "")}
+        )
+        judge = _judge(bins, references, class_limit, word_limit)
+        found = [batch.column("kept") for batch in judge(_features(common)(iter([rows])))]
+        return pa.concat_arrays(found) if found else pa.array([], pa.bool_())
+
+    return docs.where(kept(docs[text_col].cast("string")))
+
+
+def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, least_share: float) -> tuple:
+    """Measures of all documents, the words counted, their bins and the references."""
     import_on_executors(docs.sparkSession)
     steps = Steps(docs.sparkSession)
     texts = docs.select(
@@ -268,13 +307,7 @@ def quality_by_divergence(
     named = texts.where("lang is not null").mapInArrow(_frequent(least_share), "word string")
     common = sorted(row["word"] for row in named.distinct().collect())
     measured = steps.keep(texts.mapInArrow(_features(common), _FEATURES))
-    bins, references = _references(measured, common, least_share)
-    return measured.mapInArrow(
-        _judge(bins, references, class_limit, word_limit),
-        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, base_failed boolean, kept boolean, "
-        "word_distance double, class_distance double",
-    )
+    return measured, common, *_references(measured, common, least_share)
 
 
 def _references(measured: DataFrame, common: list[str], least_share: float) -> tuple:

@@ -11,32 +11,21 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
-from lakemart.llm.divergence import quality_by_divergence
+from lakemart.llm.divergence import drop_low_quality
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
 from lakemart.llm.secret_scan import redact_secrets
 from lakemart.llm.tokens import public_vocabulary
-from lakemart.llm.toxicity import toxicity
+from lakemart.llm.toxicity import drop_toxic
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents that the toxicity classifier predicts to be toxic.
-
-    Rows that repeat an id go together if one of them is toxic.
-    """
-    return _without(docs, toxicity(docs, table(spark, folder, "labels")).where("predicted = 1"))
+    """Drops documents that the toxicity classifier predicts to be toxic."""
+    return drop_toxic(docs, table(spark, folder, "labels"))
 
 
 def without_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents that fail the base rules or are far from every language reference.
-
-    Rows that repeat an id go together if one of them is rejected.
-    """
-    return _without(docs, quality_by_divergence(docs).where("not kept"))
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    gone = rejected.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """Drops documents that fail the base rules or are far from every language reference."""
+    return drop_low_quality(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -302,11 +303,32 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.0
     return w
 
 
-def _score(weights: np.ndarray, listed: list[str], strength: np.ndarray, voter: np.ndarray) -> Callable:
+@dataclass
+class Classifier:
+    """What the fit leaves: the listed entries, how strong each is, its voter, the weights."""
+
+    listed: list[str]
+    strength: np.ndarray
+    voter: np.ndarray
+    weights: np.ndarray
+
+    def scores(self, signals: pa.RecordBatch) -> np.ndarray:
+        z = _inputs(signals, self.listed, self.strength, self.voter) @ self.weights
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+    def scores_of(self, text: pa.Array) -> np.ndarray:
+        """Scores of texts, null as empty."""
+        rows = pa.record_batch(
+            {"doc_id": pa.nulls(len(text), pa.int64()), "text": pc.fill_null(text, "")}
+        )
+        found = [self.scores(batch) for batch in _signals(self.listed)(iter([rows]))]
+        return np.concatenate(found) if found else np.zeros(0)
+
+
+def _score(classifier: Classifier) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z = _inputs(batch, listed, strength, voter) @ weights
-            p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            p = classifier.scores(batch)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(p, pa.float64())})
 
     return score
@@ -323,6 +345,49 @@ def toxicity(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 from ``threshold``)."""
+    signals, classifier = _fit(docs, labels, id_col, text_col, label_id_col, label_col, most_rows)
+    scored = signals.mapInArrow(_score(classifier), "doc_id long, score double")
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", FOLDS) == HELD_FOLD).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_id_col: str = "doc_id",
+    label_col: str = "toxic",
+    most_rows: int = MOST_ROWS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows and columns of ``docs`` whose text scores below ``threshold``.
+
+    The classifier looks at each text where it is, so nothing is shuffled.
+    """
+    _, classifier = _fit(docs, labels, id_col, text_col, label_id_col, label_col, most_rows)
+
+    @F.arrow_udf("boolean")
+    def kept(text: pa.Array) -> pa.Array:
+        return pa.array(classifier.scores_of(text) < threshold)
+
+    return docs.where(kept(docs[text_col].cast("string")))
+
+
+def _fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    text_col: str,
+    label_id_col: str,
+    label_col: str,
+    most_rows: int,
+) -> tuple[DataFrame, Classifier]:
+    """Signals of all documents, and the classifier learned from the training rows."""
     steps = Steps(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col)
     training = remainder("doc_id", FOLDS) != HELD_FOLD
@@ -358,13 +423,7 @@ def toxicity(
         weights = np.zeros(HASHED + VOTERS + 3)
         weights[HASHED:-3] = voted - silent
         weights[-1] = np.log(model.prior / (1 - model.prior)) + silent.sum()
-    scored = signals.mapInArrow(_score(weights, listed, strength, voter), "doc_id long, score double")
-    return scored.select(
-        "doc_id",
-        (remainder("doc_id", FOLDS) == HELD_FOLD).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
-    )
+    return signals, Classifier(listed, strength, voter, weights)
 
 
 def _sample(signals: DataFrame, known: DataFrame, most_rows: int) -> pa.RecordBatch:
