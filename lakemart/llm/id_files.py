@@ -252,6 +252,17 @@ def read_id_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     return spread.mapInArrow(_reader(), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def read_document(path: str, i: int) -> np.ndarray:
+    """The ids of document ``i`` of a shard; reads no other document's."""
+    files, place = _files(path)
+    with files.open_input_file(f"{place}.idx") as index:
+        starts, _, width = load_index(index.read())
+    start, end = starts.select(i), starts.select(i + 1)
+    with files.open_input_file(f"{place}.ids") as ids:
+        ids.seek(start * width)
+        return np.frombuffer(ids.read((end - start) * width), f"<u{width}")
+
+
 def id_files_round_trip(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from lakemart.llm.id_files import EliasFano, dump_index, id_files_round_trip, load_index, read_id_files, write_id_files
+from lakemart.llm.id_files import EliasFano, dump_index, id_files_round_trip, load_index, read_document, read_id_files, write_id_files
 from lakemart.llm.tokens import public_vocabulary
 
 PATH = public_vocabulary("byte_bpe_50k.json")
@@ -80,6 +80,12 @@ def test_files_hold_two_bytes_an_id_and_a_retry_leaves_no_mixture(spark, tiny_do
     tokens = sum(row.tokens for row in manifest.collect())
     named = [Path(f"{row.path}.ids") for row in manifest.collect()]
     assert sum(file.stat().st_size for file in named) == 2 * tokens
+    library = Tokenizer.from_file(PATH)
+    shard = manifest.first()
+    _, doc_ids, _ = load_index(Path(f"{shard.path}.idx").read_bytes())
+    for i in (0, len(doc_ids) // 2, len(doc_ids) - 1):
+        expected = [*library.encode(tiny_docs[1][doc_ids[i]], add_special_tokens=False).ids, 0]
+        assert read_document(shard.path, i).tolist() == expected
     # an attempt that failed may have left other files, which no row names
     (tmp_path / "shard-000000-lost.ids").write_bytes(b"xx")
     assert read_id_files(spark, manifest).count() == len(tiny_docs[1])
