@@ -36,7 +36,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     """
     groups = ngram_jaccard_join(docs)
     first = groups.where("doc_id = class_id").select(F.col("doc_id").alias("_first")).distinct()
-    named = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_first"))
+    # one shuffle by id serves the join and the search for repeated rows
+    named = docs.where("doc_id is not null").join(
+        first.hint("merge"), F.col("doc_id") == F.col("_first")
+    )
     kept = named.drop("_first").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null"))
 
