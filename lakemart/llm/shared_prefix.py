@@ -15,6 +15,7 @@ encoded each.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -31,7 +32,7 @@ KEPT_WORDS = 300_000
 
 def segment(words: Iterable[str], vocab: Vocabulary) -> dict[str, tuple[float, list[int]]]:
     """Score and ids of each word, by one walk over their trie."""
-    score_of, id_of, longest, unknown = vocab.score, vocab.id, vocab.longest, vocab.unknown
+    ending, id_of, unknown = vocab.ending, vocab.id, vocab.unknown
     best = [0.0]  # by depth: the best sum of scores of the first characters
     begin = [0]  # and where the piece that ends there begins
     out = {}
@@ -44,17 +45,21 @@ def segment(words: Iterable[str], vocab: Vocabulary) -> dict[str, tuple[float, l
             depth += 1
         del best[depth + 1 :], begin[depth + 1 :]
         for end in range(depth + 1, len(word) + 1):
-            top, at = None, 0
-            for start in range(max(0, end - longest), end):
-                score = score_of.get(word[start:end])
+            top, at = None, end - 1
+            for start in range(end - 1, -1, -1):
+                score = ending.get(word[start:end], False)
+                if score is False:
+                    break  # no piece ends like this, so no longer one does
                 if score is None:
-                    if end - start > 1:
-                        continue
-                    score = unknown
+                    continue
                 total = best[start] + score
-                # an equal sum later doesn't replace it, so the longest piece stays
-                if top is None or total > top:
+                # of equal sums the longest piece stays
+                if top is None or total >= top:
                     top, at = total, start
+            if word[end - 1] not in id_of:
+                total = best[end - 1] + unknown
+                if top is None or total > top:
+                    top, at = total, end - 1
             best.append(top)
             begin.append(at)
         ids: list[int] = []
@@ -86,7 +91,7 @@ def _encode(path: str, with_ids: bool) -> Callable:
                 kept.clear()
                 fresh = set().union(*words)
             for word, (score, ids) in segment(fresh, vocab).items():
-                kept[word] = score, np.array(ids, dtype="<u4").tobytes()
+                kept[word] = score, struct.pack(f"<{len(ids)}I", *ids)
             found = [[kept[word] for word in held] for held in words]
             packed = [b"".join([ids for _, ids in held]) for held in found]
             yield pa.record_batch(
@@ -113,7 +118,7 @@ def _lists(packed: list[bytes]) -> pa.Array:
 
 
 def _decoded(packed: bytes, vocab: Vocabulary) -> str:
-    return vocab.decode(np.frombuffer(packed, "<u4").tolist())
+    return vocab.decode(struct.unpack(f"<{len(packed) // 4}I", packed))
 
 
 _SUMMARY = "doc_id long, n_tokens long, score double, ids_crc32 long"

@@ -47,17 +47,20 @@ class Vocabulary:
         self.score = {piece: max(score, last) for piece, score in self.score.items()}
         if any(MARK in piece.lstrip(MARK) for piece in self.score):
             raise ValueError("a piece spans words")
-        self.longest = max(map(len, self.score))
         self.unknown = min(self.score.values()) - UNKNOWN_COST
-        self.value_of_byte = {i: value for value, i in enumerate(self.byte)}
+        #: every end of a piece, with the score if it is a piece itself
+        self.ending: dict[str, float | None] = {}
+        for piece in self.score:
+            for start in range(len(piece)):
+                self.ending.setdefault(piece[start:], None)
+        self.ending.update(self.score)
+        self.bytes_of = [piece.replace(MARK, " ").encode() for piece in self.piece]
+        for value, i in enumerate(self.byte):
+            self.bytes_of[i] = bytes([value])
 
     def decode(self, ids) -> str:
         """The text that ids were made from."""
-        out = bytearray()
-        for i in ids:
-            value = self.value_of_byte.get(i)
-            out += self.piece[i].encode() if value is None else bytes([value])
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
