@@ -398,6 +398,8 @@ def _fit(
         .where(training & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
+        # labels grow with the documents, so they aren't broadcast even where they are few
+        .hint("merge")
     )
     labelled = texts.where(training).join(known, "doc_id").select("doc_id", "text", "toxic")
     found = _listed(steps.keep(labelled.select("text", "toxic")))
