@@ -51,8 +51,8 @@ def copied(tables: sources.Sources) -> sources.Sources:
         if table not in ("orders", "lineitem"):
             return tables[table]
         key = "o_orderkey" if table == "orders" else "l_orderkey"
-        copies = tables[table].sparkSession.range(COPIES).withColumnRenamed("id", "copy")
-        many = tables[table].crossJoin(copies)
+        copies = F.sequence(F.lit(0), F.lit(COPIES - 1)).cast("array<bigint>")
+        many = tables[table].withColumn("copy", F.explode(copies))
         return many.withColumn(key, F.col(key) + F.col("copy") * shift).drop("copy")
 
     return sources.Sources(list(tables), scan)
