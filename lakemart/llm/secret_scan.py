@@ -31,7 +31,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import chunks, id_and_text, import_on_executors
@@ -218,16 +218,37 @@ def redacted(text: str, reach: int = REACH, placeholder: str = PLACEHOLDER) -> s
     return "".join([*out, text[at:]])
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", reach: int = REACH) -> DataFrame:
-    """All rows and columns of ``docs``, with secrets in the text replaced; null stays null."""
-    import_on_executors(docs.sparkSession)
+def changed_by_redaction(text: Column, reach: int = REACH) -> Column:
+    """The text with secrets replaced, null where there is none."""
+
+    @F.arrow_udf("string")
+    def changed(texts: pa.Array) -> pa.Array:
+        suspects = np.flatnonzero(_suspect(pc.fill_null(texts, "")))
+        out: list[str | None] = [None] * len(texts)
+        for i, value in zip(suspects.tolist(), texts.take(pa.array(suspects)).to_pylist()):
+            clean = redacted(value, reach)
+            if clean != value:
+                out[i] = clean
+        return pa.array(out, pa.string())
+
+    return changed(text.cast("string"))
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        suspects = _suspect(pa.array(texts, pa.large_string()))
-        return texts.where(
-            ~np.array([bool(s) for s in suspects]),
-            [redacted(t, reach) if s else t for t, s in zip(texts, suspects)],
-        )
 
-    return docs.withColumn(text_col, clean(docs[text_col].cast("string")))
+def redact_secrets(
+    docs: DataFrame,
+    text_col: str = "text",
+    length_col: str | None = None,
+    reach: int = REACH,
+) -> DataFrame:
+    """All rows and columns of ``docs``, with secrets in the text replaced; null stays null.
+
+    ``length_col``, if given, becomes the number of characters where the text changed.
+    """
+    import_on_executors(docs.sparkSession)
+    changed = F.col("_changed")
+    columns = {text_col: F.coalesce(changed, docs[text_col].cast("string"))}
+    if length_col:
+        kind = docs.schema[length_col].dataType
+        columns[length_col] = F.coalesce(F.char_length(changed).cast(kind), F.col(length_col))
+    found = docs.withColumn("_changed", changed_by_redaction(docs[text_col], reach))
+    return found.withColumns(columns).select(*docs.columns)

@@ -46,15 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, with a placeholder for each secret; ``n_chars`` follows the text."""
-    if "n_chars" not in docs.columns:
-        return redact_secrets(docs)
-    chars = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    return (
-        redact_secrets(docs.withColumn("_before", F.col("text")))
-        .withColumn("n_chars", F.when(changed, chars).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
-    )
+    return redact_secrets(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
