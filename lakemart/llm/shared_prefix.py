@@ -18,13 +18,14 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakemart.llm.common import chunks, id_and_text
-from lakemart.llm.unigram import Vocabulary, marked_words, vocabulary
+from lakemart.llm.unigram import MARK, Vocabulary, marked_words, vocabulary
 
 #: Words whose ids a worker keeps; beyond that it starts anew, which changes no result.
 KEPT_WORDS = 300_000
@@ -77,32 +78,52 @@ def segment(words: Iterable[str], vocab: Vocabulary) -> dict[str, tuple[float, l
     return out
 
 
-_kept: dict[str, dict[str, tuple[float, bytes]]] = {}
+@dataclass
+class _Kept:
+    """Words that a worker has met: packed ids, scores; those that don't decode to themselves."""
+
+    ids: dict[str, bytes] = field(default_factory=dict)
+    score: dict[str, float] = field(default_factory=dict)
+    inexact: set[str] = field(default_factory=set)
+
+    def learn(self, words: set[str], vocab: Vocabulary) -> None:
+        """Segments the words that aren't kept yet."""
+        fresh = words.difference(self.ids)
+        if len(self.ids) + len(fresh) > KEPT_WORDS:
+            self.ids.clear(), self.score.clear(), self.inexact.clear()
+            fresh = words
+        for word, (score, ids) in segment(fresh, vocab).items():
+            self.ids[word] = struct.pack(f"<{len(ids)}I", *ids)
+            self.score[word] = score
+            if vocab.decoded(ids) != word.replace(MARK, " ").encode():
+                self.inexact.add(word)
+
+    def exact(self, text: str, words: list[str]) -> bool:
+        """Whether a text's ids decode to it: its words do, and no mark was there before."""
+        return MARK not in text and (not self.inexact or self.inexact.isdisjoint(words))
+
+
+_kept: dict[str, _Kept] = {}
 
 
 def _encode(path: str, with_ids: bool) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, kept = vocabulary(path), _kept.setdefault(path, {})
+        vocab, kept = vocabulary(path), _kept.setdefault(path, _Kept())
         for batch in chunks(batches):
             texts = batch.column("text").to_pylist()
             words = [marked_words(text) for text in texts]
-            fresh = set().union(*words).difference(kept)
-            if len(kept) + len(fresh) > KEPT_WORDS:
-                kept.clear()
-                fresh = set().union(*words)
-            for word, (score, ids) in segment(fresh, vocab).items():
-                kept[word] = score, struct.pack(f"<{len(ids)}I", *ids)
-            found = [[kept[word] for word in held] for held in words]
-            packed = [b"".join([ids for _, ids in held]) for held in found]
+            kept.learn(set().union(*words), vocab)
+            packed = [b"".join(map(kept.ids.__getitem__, held)) for held in words]
+            scores = [float(sum(map(kept.score.__getitem__, held))) for held in words]
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    "score": pa.array([float(sum(s for s, _ in held)) for held in found], pa.float64()),
+                    "score": pa.array(scores, pa.float64()),
                     "ids_crc32": pa.array([zlib.crc32(p) for p in packed], pa.int64()),
                     **({"ids": _lists(packed)} if with_ids else {}),
                     "exact": pa.array(
-                        [_decoded(p, vocab) == text for p, text in zip(packed, texts)], pa.bool_()
+                        [kept.exact(text, held) for text, held in zip(texts, words)], pa.bool_()
                     ),
                 }
             )
@@ -117,10 +138,6 @@ def _lists(packed: list[bytes]) -> pa.Array:
     )
 
 
-def _decoded(packed: bytes, vocab: Vocabulary) -> str:
-    return vocab.decode(struct.unpack(f"<{len(packed) // 4}I", packed))
-
-
 _SUMMARY = "doc_id long, n_tokens long, score double, ids_crc32 long"
 
 

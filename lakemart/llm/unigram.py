@@ -58,9 +58,13 @@ class Vocabulary:
         for value, i in enumerate(self.byte):
             self.bytes_of[i] = bytes([value])
 
+    def decoded(self, ids) -> bytes:
+        """The bytes of pieces in a row, with spaces for marks."""
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
     def decode(self, ids) -> str:
         """The text that ids were made from."""
-        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+        text = self.decoded(ids).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
