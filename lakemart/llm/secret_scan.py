@@ -51,7 +51,7 @@ KINDS = (*BASE, "secret", "identifier", "endpoint")
 
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)
-_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 _IDENTIFIER = re.compile(
     r"""(?:access_key_id|client_?id|account_?id|user_?name|username|user|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""",
     re.ASCII | re.IGNORECASE,

@@ -83,6 +83,14 @@ def test_weak_parts_need_their_complements(text, kinds):
     assert [kind for kind, _, _ in spans_of(text)[1]] == kinds
 
 
+@pytest.mark.parametrize("n", [128, 129, 200, 5000])
+def test_a_weak_secret_may_be_of_any_length(n):
+    secret = (KEY * (n // len(KEY) + 1))[:n]
+    text = f"{ID} {secret}== end"
+    assert spans_of(text)[1] == [("access", 0, 20), ("secret", 21, 23 + n)]
+    assert redacted(text) == "[redacted] [redacted] end"
+
+
 def test_many_parts_in_one_text():
     text = f"{ID} {KEY} https://a.example.com " * 3000
     spans = spans_of(text)[1]
