@@ -14,8 +14,10 @@ at most ``1 / least_share`` words a language and none is missed.
 
 Defined cases. Null text has no words; it fails the base rules. The language
 column only groups documents for the references; a text is compared with all of
-them, and rows with a null or rare language make no reference. Without any
-reference only the base rules decide. Rows that repeat an id are judged each.
+them. A language with ``ENOUGH_DOCUMENTS`` passing documents has references
+however large the others are; rows with a null language or one of fewer documents
+(and under ``LEAST_DOCUMENTS`` of all) make none. Without any reference only the
+base rules decide. Rows that repeat an id are judged each.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from lakemart.llm.common import Steps, chunks, import_on_executors, per_text, wo
 from lakemart.llm.ngram_jaccard import mixed
 
 LEAST_SHARE = 0.004
-#: A language needs this share of all documents for references of its own.
-LEAST_DOCUMENTS = 0.005
+#: A language needs so many passing documents, or this share of all, for references of its own.
+ENOUGH_DOCUMENTS, LEAST_DOCUMENTS = 30, 0.005
 #: (limit for long texts, its growth with 1 / sqrt(length), least length)
 CLASS_LIMIT = (0.27, 0.9, 100)
 WORD_LIMIT = (0.38, 0.5, 20)
@@ -328,8 +330,8 @@ def _references(measured: DataFrame, common: list[str], least_share: float) -> t
         .groupBy("lang")
         .agg(F.count(F.when(passed, 1)).alias("documents"), *words, *means)
     )
-    shared = F.col("documents") >= LEAST_DOCUMENTS * measured.count()
-    rows = sums.where(shared & (F.col("documents") > 0)).orderBy("lang").collect()
+    least = min(ENOUGH_DOCUMENTS, LEAST_DOCUMENTS * measured.count())
+    rows = sums.where((F.col("documents") >= least) & (F.col("documents") > 0)).orderBy("lang").collect()
     bins = np.full(len(common) + 1, 0)
     often = [
         k

@@ -78,6 +78,16 @@ def test_a_rare_language_makes_no_reference_and_nulls_are_judged(make_docs):
     assert other[0].kept  # without any reference the base rules decide
 
 
+def test_a_small_share_has_references_of_its_own(make_docs):
+    """Forty clean documents are kept, though they are under 0.5 % of all."""
+    rng, words = random.Random(2), "the cat and the dog sat on the mat and the bird sang to them".split()
+    many = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(8100)]
+    greek = "και το να είναι από που με για στην θάλασσα ήλιος βουνό δρόμος σπίτι".split()
+    few = [(10_000 + i, " ".join(rng.choice(greek) for _ in range(80)), "el") for i in range(40)]
+    found = quality_by_divergence(make_docs(*many, *few)).where("doc_id >= 10000").collect()
+    assert len(found) == 40 and all(row.kept for row in found)
+
+
 def test_distance():
     p = np.array([[2, 2, 0], [0, 0, 5], [0, 0, 0]])
     found = distance(p, np.array([0.5, 0.5, 0.0]))
