@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import Steps, binaries, chunks, complete_runs, id_and_text, words_of
@@ -103,15 +103,24 @@ def minhashes(grams: np.ndarray, offsets: np.ndarray, n: int, piece: int = 1 <<
     return out
 
 
+def _sets(text: pa.Array, n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The n-gram set of each text, sorted, and whether it has any."""
+    grams, offsets = ngram_sets(text, n)
+    sets = [np.unique(grams[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    return sets, np.diff(offsets) > 0
+
+
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
+    return np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
+
+
 def _sketches(bands: int, rows: int, n: int) -> Callable:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 36
         for batch in chunks(batches):
-            grams, offsets = ngram_sets(batch.column("text"), n)
-            sets = [np.unique(grams[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            filled = np.array([len(s) > 0 for s in sets], dtype=bool)
-            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            sets, filled = _sets(batch.column("text"), n)
+            halves = _digests(sets)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(filled)
             least = np.zeros((len(sets), bands * rows), dtype=np.uint32)
@@ -129,6 +138,8 @@ def _sketches(bands: int, rows: int, n: int) -> Callable:
                 {
                     "row": pa.array(task + np.arange(len(sets)), pa.int64()),
                     "doc_id": batch.column("doc_id"),
+                    "t1": batch.column("t1"),
+                    "t2": batch.column("t2"),
                     "h1": pa.array(halves[:, 0]),
                     "h2": pa.array(halves[:, 1]),
                     "grams": pa.array(sizes),
@@ -145,7 +156,8 @@ def _sketches(bands: int, rows: int, n: int) -> Callable:
 
 
 _SKETCH = (
-    "row long, doc_id long, h1 long, h2 long, grams long, sketch binary, bands array<long>"
+    "row long, doc_id long, t1 long, t2 long, h1 long, h2 long, grams long, sketch binary, "
+    "bands array<long>"
 )
 
 
@@ -221,10 +233,8 @@ def _texts(n: int) -> Callable:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            grams, offsets = ngram_sets(batch.column("text"), n)
-            found = [np.unique(grams[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found)
-            halves = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
+            found, _ = _sets(batch.column("text"), n)
+            halves = _digests(found)
             own = (halves[:, 0] == batch.column("h1").to_numpy()) & (
                 halves[:, 1] == batch.column("h2").to_numpy()
             )
@@ -316,21 +326,90 @@ def ngram_jaccard_join(
     ``n_text_links`` the other sets at ``threshold`` or more, ``n_links`` the
     other documents at ``threshold`` or more, copies included.
     """
+    sketches, members, steps = _members(docs, id_col, text_col, threshold, n, rows, recall, block)
+    names = members.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    names = names.select(F.struct("component").alias("_key"), "class_id")
+    named = members.join(names, F.struct(members["component"]) == names["_key"])
+    named = steps.keep(
+        named.select(
+            "h1",
+            "h2",
+            F.coalesce("class_id", -1 - F.col("component")).alias("class_id"),
+            F.col("copies").alias("n_copies"),
+            F.coalesce("texts", F.lit(0)).alias("n_text_links"),
+            (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
+    )
+    return sketches.select("doc_id", "row", "h1", "h2").join(named, ["h1", "h2"], "left").select(
+        "doc_id",
+        F.coalesce("class_id", "doc_id", -1 - F.col("row")).alias("class_id"),
+        F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
+        F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
+
+
+def first_of_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    n: int = WORDS,
+    rows: int = ROWS,
+    recall: float = TARGET_RECALL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """One ``key`` per group of documents with words that links connect.
+
+    The key is that of ``row_key``, of a document with the group's least id; a
+    null id comes last.
+    """
+    _, members, _ = _members(docs, id_col, text_col, threshold, n, rows, recall, block)
+    return members.groupBy("component").agg(F.min("least").alias("least")).select("least.key")
+
+
+def row_key(id_col: Column, text_col: Column) -> Column:
+    """What tells rows apart: the id and a 128-bit hash of the text, where null counts as empty."""
+    text = F.coalesce(text_col.cast("string"), F.lit(""))
+    return F.struct(
+        id_col.cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("t1"),
+        F.xxhash64(F.lit(1), text).alias("t2"),
+    )
+
+
+def _members(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    threshold: float,
+    n: int,
+    rows: int,
+    recall: float,
+    block: int,
+) -> tuple[DataFrame, DataFrame, Steps]:
+    """Sketches of all rows, and the classes of equal sets with their groups and links."""
     spark = docs.sparkSession
     steps = Steps(spark)
     bands = bands_for(threshold, rows, recall)
     # 0.25 below the threshold is over five standard errors of 72 values
     least = math.floor((threshold - 0.25) * bands * rows)
 
+    texts = id_and_text(docs, id_col, text_col)
+    hashed = texts.select("*", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     sketches = steps.keep(
-        id_and_text(docs, id_col, text_col).mapInArrow(_sketches(bands, rows, n), _SKETCH)
+        hashed.select("doc_id", "text", "key.t1", "key.t2").mapInArrow(
+            _sketches(bands, rows, n), _SKETCH
+        )
     )
+    key = F.struct("doc_id", "t1", "t2")
     classes = steps.keep(
         sketches.where("grams > 0")
         .groupBy("h1", "h2")
         .agg(
             F.min("row").alias("node"),
             F.min("doc_id").alias("doc_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("last"), key.alias("key"))).alias("least"),
             F.count(F.lit(1)).alias("copies"),
             F.first("sketch").alias("sketch"),
             F.first("bands").alias("bands"),
@@ -345,7 +424,6 @@ def ngram_jaccard_join(
     found = steps.keep(components(plausible, steps))
     candidates = found.join(classes.select("h1", "h2", "node", "doc_id", "copies"), "node")
     candidates = steps.keep(candidates)
-    texts = id_and_text(docs, id_col, text_col)
     # candidates grow with the documents, so they aren't broadcast even where they are few
     wanted = texts.join(
         candidates.withColumnRenamed("doc_id", "_id").hint("merge"),
@@ -367,26 +445,7 @@ def ngram_jaccard_join(
     counted = verified.groupBy("node").agg(
         F.sum("texts").alias("texts"), F.sum("documents").alias("documents")
     )
-    members = classes.select("h1", "h2", "node", "doc_id", "copies").join(groups, "node", "left")
+    members = classes.select("h1", "h2", "node", "doc_id", "least", "copies").join(groups, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     members = steps.keep(members.join(counted, "node", "left"))
-    names = members.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    names = names.select(F.struct("component").alias("_key"), "class_id")
-    named = members.join(names, F.struct(members["component"]) == names["_key"])
-    named = steps.keep(
-        named.select(
-            "h1",
-            "h2",
-            F.coalesce("class_id", -1 - F.col("component")).alias("class_id"),
-            F.col("copies").alias("n_copies"),
-            F.coalesce("texts", F.lit(0)).alias("n_text_links"),
-            (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        )
-    )
-    return sketches.select("doc_id", "row", "h1", "h2").join(named, ["h1", "h2"], "left").select(
-        "doc_id",
-        F.coalesce("class_id", "doc_id", -1 - F.col("row")).alias("class_id"),
-        F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
-        F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    return sketches, members, steps

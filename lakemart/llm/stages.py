@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.best_fit import best_fit_packing
 from lakemart.llm.common import table
 from lakemart.llm.divergence import drop_low_quality
-from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.ngram_jaccard import first_of_groups, row_key
 from lakemart.llm.secret_scan import redact_secrets
 from lakemart.llm.tokens import public_vocabulary
 from lakemart.llm.toxicity import drop_toxic
@@ -29,19 +29,18 @@ def without_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near duplicates.
+    """Keeps one document, of the least id, of each group of near duplicates.
 
-    Rows that repeat an id with texts of one group count once. A document
-    without an id can't be told from others and stays.
+    Rows are told apart by id and text, so rows that repeat an id are documents
+    of their own, and so are rows without an id, which come last in their group.
+    A text without words is no duplicate and stays.
     """
-    groups = ngram_jaccard_join(docs)
-    first = groups.where("doc_id = class_id").select(F.col("doc_id").alias("_first")).distinct()
-    # one shuffle by id serves the join and the search for repeated rows
-    named = docs.where("doc_id is not null").join(
-        first.hint("merge"), F.col("doc_id") == F.col("_first")
-    )
-    kept = named.drop("_first").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    first = first_of_groups(docs).withColumnRenamed("key", "_first")
+    worded = F.coalesce(docs["text"].cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.where(worded).withColumn("_row_key", row_key(docs["doc_id"], docs["text"]))
+    # one shuffle by key serves the join and the search for repeated rows
+    kept = keyed.join(first.hint("merge"), F.col("_row_key") == F.col("_first"))
+    return kept.dropDuplicates(["_row_key"]).select(*docs.columns).unionByName(docs.where(~worded))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

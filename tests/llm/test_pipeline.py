@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from llm_texts import prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -89,6 +90,17 @@ def test_stages_on_odd_documents(spark, odd_docs, small):
     assert left.where("doc_id is null").count() == 2
 
 
+def test_rows_of_one_id_and_rows_without_id_are_documents_of_their_own(spark, make_docs, small):
+    a, b, c, d = (prose(50, seed) for seed in (1, 2, 3, 4))
+    docs = make_docs(
+        (1, a), (1, b), (1, b), (3, b), (5, b), (5, c), (None, c), (None, d), (None, d), (None, f"{d} "),
+        (6, None), (6, ""), (None, " "), (None, " "),
+    )
+    left = [(row.doc_id, (row.text or "").strip()) for row in stages.near_duplicates(spark, docs, small).collect()]
+    expected = [(1, a), (1, b), (5, c), (None, d), (6, ""), (6, ""), (None, ""), (None, "")]
+    assert sorted(map(repr, left)) == sorted(map(repr, expected))
+
+
 def test_stages_on_no_documents(spark, no_docs, small):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, small).collect() == []
