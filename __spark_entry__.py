@@ -34,7 +34,9 @@ from lakemart.session import shared_folder  # noqa: E402
 try:  # the operators on training text are a part that may be left out
     import corpus_pipeline
     from lakemart.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "lakemart.llm"):
+        raise
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
