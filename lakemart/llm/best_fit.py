@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import Steps, chunks, id_and_text
-from lakemart.llm.tokens import WordPieces, encoder
+from lakemart.llm.ragged import PIECE_CHUNK
+from lakemart.llm.tokens import Pieces, encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -190,15 +191,14 @@ def _places(runs: list[Run]) -> pd.DataFrame:
 
 def _pieces(path: str, end_id: int, capacity: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, task = encoder(WordPieces, path, "<u4"), TaskContext.get().partitionId()
+        pieces, task = encoder(Pieces, path, "<u4"), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in chunks(batches):
+        for batch in chunks(batches, PIECE_CHUNK):
+            packed, bounds = pieces.packed(batch.column("text"))
             out = []
-            for doc_id, text in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            ):
-                ids = pieces.packed(text) + end
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), bounds[:-1], bounds[1:]):
+                ids = b"".join((packed[a:b], end))
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     length = len(part) // 4

@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import Steps, chunks, id_and_text, import_on_executors
-from lakemart.llm.tokens import SpacedPieces, encoder, vocabulary_size
+from lakemart.llm.ragged import PIECE_CHUNK
+from lakemart.llm.tokens import Pieces, encoder, vocabulary_size
 
 END_ID = 0
 SAMPLE = 256
@@ -45,7 +47,7 @@ _POPULATION = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum
 
 
 class EliasFano:
-    """Numbers that never fall, packed; ``select`` finds one, ``all`` unpacks them."""
+    """Numbers that never fall, packed; ``select`` finds one, ``block`` those in a row."""
 
     def __init__(self, n: int, most: int, bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.most, self.bits, self.low, self.high = n, most, bits, low, high
@@ -70,19 +72,8 @@ class EliasFano:
             np.packbits(high, bitorder="little"),
         )
 
-    def all(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        high = (places - np.arange(self.n)).astype(np.uint64) << np.uint64(self.bits)
-        if not self.bits:
-            return high
-        low = np.unpackbits(self.low, bitorder="little")[: self.n * self.bits]
-        shifts = np.arange(self.bits, dtype=np.uint64)
-        return high + (low.reshape(self.n, -1).astype(np.uint64) << shifts).sum(
-            axis=1, dtype=np.uint64
-        )
-
-    def select(self, i: int) -> int:
-        """Number ``i`` without unpacking the rest."""
+    def _place(self, i: int) -> int:
+        """The place of the set bit of number ``i``."""
         if not 0 <= i < self.n:
             raise IndexError(i)
         place = int(self.samples[: i // SAMPLE + 1].sum(dtype=np.int64))
@@ -94,12 +85,41 @@ class EliasFano:
             byte = int(self.high[at])
         for _ in range(ahead):
             byte &= byte - 1
-        place = 8 * at + (byte & -byte).bit_length() - 1
-        start = i * self.bits
+        return 8 * at + (byte & -byte).bit_length() - 1
+
+    def select(self, i: int) -> int:
+        """Number ``i`` without unpacking the rest."""
+        place, start = self._place(i), i * self.bits
         raw = self.low[start // 8 : (start + self.bits + 7) // 8].tobytes()
         low = int.from_bytes(raw, "little") >> start % 8 & (1 << self.bits) - 1
         return (place - i << self.bits) + low
 
+    def block(self, i: int, j: int) -> np.ndarray:
+        """Numbers ``i`` to ``j - 1``; only their bits are unpacked."""
+        if i >= j:
+            return np.zeros(0, dtype=np.uint64)
+        first, last = self._place(i), self._place(j - 1)
+        held = np.unpackbits(self.high[first // 8 : last // 8 + 1], bitorder="little")
+        places = first + np.flatnonzero(held[first % 8 : last - first // 8 * 8 + 1])
+        high = (places - np.arange(i, j)).astype(np.uint64) << np.uint64(self.bits)
+        if not self.bits:
+            return high
+        at, to = i * self.bits, j * self.bits
+        low = np.unpackbits(self.low[at // 8 : -(-to // 8)], bitorder="little")
+        low = low[at % 8 : at % 8 + to - at].reshape(j - i, -1).astype(np.uint64)
+        return high + (low << np.arange(self.bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+    def last_within(self, i: int, most: int) -> int:
+        """The greatest ``j`` from ``i`` on whose number is at most ``most``; ``i`` if there is none."""
+        low, high = i, self.n
+        while high - low > 1:
+            middle = (low + high) // 2
+            if self.select(middle) <= most:
+                low = middle
+            else:
+                high = middle
+        return low
+
     def dump(self) -> bytes:
         head = _PART.pack(self.n, self.most, self.bits, len(self.high))
         return head + self.low.tobytes() + self.high.tobytes() + self.samples.tobytes()
@@ -126,15 +146,32 @@ def dump_index(starts: np.ndarray, doc_ids: list[int | None], width: int) -> byt
     return head + EliasFano.of(starts).dump() + EliasFano.of(shifted).dump()
 
 
-def load_index(raw: bytes) -> tuple[EliasFano, list[int | None], int]:
-    """Boundaries, document ids, bytes per token id."""
+@dataclass
+class Index:
+    """The index of a shard; boundaries and document ids stay packed."""
+
+    starts: EliasFano
+    shifted: EliasFano
+    documents: int
+    nulls: int
+    least: int
+    width: int
+
+    def doc_ids(self, i: int, j: int) -> pa.Array:
+        """Ids of documents ``i`` to ``j - 1``; those without one come first."""
+        nulls = max(0, min(j, self.nulls) - i)
+        known = self.shifted.block(max(i - self.nulls, 0), max(j - self.nulls, 0))
+        known = (known + np.uint64(self.least % 2**64)).astype(np.int64)
+        return pa.concat_arrays([pa.nulls(nulls, pa.int64()), pa.array(known)])
+
+
+def load_index(raw: bytes) -> Index:
     magic, width, _, documents, nulls, least = _HEAD.unpack_from(raw)
     if magic != MAGIC:
         raise ValueError("not an index of token ids")
     starts, at = EliasFano.load(raw, _HEAD.size)
     shifted, _ = EliasFano.load(raw, at)
-    doc_ids = (shifted.all() + np.uint64(least % 2**64)).astype(np.int64).tolist()
-    return starts, [None] * nulls + doc_ids, width
+    return Index(starts, shifted, documents, nulls, least, width)
 
 
 def _files(uri: str):
@@ -148,7 +185,7 @@ _MANIFEST = "shard int, path string, documents long, tokens long"
 
 def _writer(folder: str, path: str, end_id: int, width: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = encoder(SpacedPieces, path, f"<u{width}")
+        pieces = encoder(Pieces, path, f"<u{width}")
         end = np.array([end_id], dtype=f"<u{width}").tobytes()
         shard = TaskContext.get().partitionId()
         name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
@@ -156,15 +193,16 @@ def _writer(folder: str, path: str, end_id: int, width: int) -> Callable:
         doc_ids: list[int | None] = []
         lengths: list[int] = []
         out = None
-        for batch in chunks(batches):
+        for batch in chunks(batches, PIECE_CHUNK):
             if out is None:
                 files.create_dir(place.rpartition("/")[0], recursive=True)
                 out = files.open_output_stream(f"{place}.ids")
             doc_ids += batch.column("doc_id").to_pylist()
-            for text in batch.column("text").to_pylist():
-                ids = pieces.packed(text) + end
-                lengths.append(len(ids) // width)
-                out.write(ids)
+            ids, bounds = pieces.packed(batch.column("text"))
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                lengths.append((b - a) // width + 1)
+                out.write(ids[a:b])
+                out.write(end)
         if out is None:
             return
         out.close()
@@ -210,24 +248,25 @@ def _reader(most: int = 1 << 22) -> Callable:
         for batch in batches:
             for row in batch.to_pylist():
                 files, place = _files(row["path"])
-                with files.open_input_file(f"{place}.idx") as index:
-                    starts, doc_ids, width = load_index(index.read())
-                places = starts.all().astype(np.int64)
+                with files.open_input_file(f"{place}.idx") as held:
+                    index = load_index(held.read())
+                starts, width = index.starts, index.width
                 with files.open_input_file(f"{place}.ids") as ids:
                     at = 0
-                    while at < len(doc_ids):
-                        end = int(np.searchsorted(places, places[at] + most, "right")) - 1
-                        to = min(len(doc_ids), max(at + 1, end))
-                        ids.seek(int(places[at]) * width)
-                        raw = ids.read(int(places[to] - places[at]) * width)
+                    while at < index.documents:
+                        start = starts.select(at)
+                        to = max(at + 1, starts.last_within(at, start + most))
+                        bounds = starts.block(at, to + 1).astype(np.int64)
+                        ids.seek(start * width)
+                        raw = ids.read(int(bounds[-1] - start) * width)
                         packed = np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes()
-                        cuts = 4 * (places[at : to + 1] - places[at])
+                        cuts = 4 * (bounds - start)
                         crcs = [zlib.crc32(packed[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
                         yield pa.record_batch(
                             {
-                                "doc_id": pa.array(doc_ids[at:to], pa.int64()),
-                                "start": pa.array(row["base"] + places[at:to]),
-                                "n_tokens": pa.array(np.diff(places[at : to + 1])),
+                                "doc_id": index.doc_ids(at, to),
+                                "start": pa.array(row["base"] + bounds[:-1]),
+                                "n_tokens": pa.array(np.diff(bounds)),
                                 "ids_crc32": pa.array(crcs, pa.int64()),
                             }
                         )
@@ -255,12 +294,12 @@ def read_id_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 def read_document(path: str, i: int) -> np.ndarray:
     """The ids of document ``i`` of a shard; reads no other document's."""
     files, place = _files(path)
-    with files.open_input_file(f"{place}.idx") as index:
-        starts, _, width = load_index(index.read())
-    start, end = starts.select(i), starts.select(i + 1)
+    with files.open_input_file(f"{place}.idx") as held:
+        index = load_index(held.read())
+    start, end = index.starts.select(i), index.starts.select(i + 1)
     with files.open_input_file(f"{place}.ids") as ids:
-        ids.seek(start * width)
-        return np.frombuffer(ids.read((end - start) * width), f"<u{width}")
+        ids.seek(start * index.width)
+        return np.frombuffer(ids.read((end - start) * index.width), f"<u{index.width}")
 
 
 def id_files_round_trip(

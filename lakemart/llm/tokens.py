@@ -1,131 +1,107 @@
-"""Ids of whole texts by the tokenizers library, a piece of text at a time.
+"""Ids of whole texts by the tokenizers library, a chunk of texts at a time.
 
-White space that both tokenizers treat as a border cuts a text into pieces whose
-ids don't depend on their neighbours. Each worker keeps the ids of pieces it has
-met, up to a bound, as packed little-endian numbers; the library encodes the rest.
+Texts are cut where both tokenizers have a border (``ragged.spaced``), so the ids of a
+piece don't depend on its neighbours. Only distinct pieces go to the library. Strings
+of added tokens, such as ``<|endoftext|>``, are pieces of their own and have the ids
+that a plain call gives them.
 """
 
 from __future__ import annotations
 
+import json
 import re
-import struct
+from collections.abc import Iterator
 
-#: Pieces that a worker keeps; beyond that it starts anew, which changes no result.
-KEPT_PIECES = 800_000
+import numpy as np
+import pyarrow as pa
 
-#: A white-space character beside a space or a line break, or one at an end: not a lone border.
-_LONE = re.compile(r"\s[ \n]|[ \n]\s|\A\s|\s\Z")
-_BORDER = re.compile(r"(?<=\S) (?=\S)")
+from lakemart.llm.ragged import Kept, code, gather, spaced
 
 
-def _byte_characters() -> dict[int, str]:
+def byte_characters() -> dict[int, str]:
     """The character that byte-level vocabularies use for each byte, by code point."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [byte for byte in range(256) if byte not in plain]
     return {byte: chr(byte) for byte in plain} | {byte: chr(256 + k) for k, byte in enumerate(rest)}
 
 
-_CHARACTER = _byte_characters()
+_CHARACTER = byte_characters()
 
-#: Letters that normal forms leave alone, then marks that a tokenizer parts from letters.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-_PROBES = ("word", "Straße", "ÉTÉ", "añejo", "X")
+#: Letters that normal forms leave alone, after one space at most.
+_SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)")
+_PROBES = ("word", " Word", "Straße", " ÉTÉ", "añejo", " X", "x")
 
 
-class _Kept(dict):
-    """Packed ids of pieces; encodes what it doesn't hold.
+def added_strings(tokenizer) -> list[str]:
+    """The strings that the library looks for in a text before all else."""
+    added = json.loads(tokenizer.to_str())["added_tokens"]
+    for token in added:
+        if token["lstrip"] or token["rstrip"] or token["single_word"]:
+            raise ValueError("added tokens that take their surroundings aren't supported")
+        if token["normalized"] and tokenizer.normalizer is not None:
+            raise ValueError("added tokens that are looked for in normal forms aren't supported")
+    return [token["content"] for token in added]
 
-    A piece of plain letters needs neither the normaliser nor the splitter, so
-    it goes straight to the library's BPE model, which takes a third of the
-    time; whether that holds for a vocabulary file is tried on a few words.
-    """
-
-    def __init__(self, tokenizer, prefix: str, dtype: str, lower: bool, marks: _Kept | None = None):
-        self.tokenizer, self.prefix, self.lower = tokenizer, prefix, lower
-        self.code, self.model = {"<u2": "H", "<u4": "I"}[dtype], tokenizer.model
-        self.start = "".join([_CHARACTER[byte] for byte in prefix.encode()])
-        self.marks = self if marks is None else marks
-        self.direct = all(self._model_ids(w) == self._library_ids(w) for w in _PROBES)
-
-    def _model_ids(self, letters: str) -> list[int]:
-        text = letters.lower() if self.lower else letters
-        if not text.isascii():
-            text = "".join([_CHARACTER[byte] for byte in text.encode()])
-        return [token.id for token in self.model.tokenize(self.start + text)]
-
-    def _library_ids(self, piece: str) -> list[int]:
-        return self.tokenizer.encode(self.prefix + piece, add_special_tokens=False).ids
-
-    def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        simple = _SIMPLE.fullmatch(piece) if self.direct else None
-        if simple is None:
-            packed = self._packed(self._library_ids(piece))
-        elif simple[2]:
-            packed = self[simple[1]] + self.marks[simple[2]]
-        else:
-            packed = self._packed(self._model_ids(piece))
-        self[piece] = packed
-        return packed
-
-
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+class Pieces:
+    """Packed ids under a tokenizer file whose words end at white space.
 
+    A piece of plain letters needs neither the normaliser nor the splitter, so it goes
+    straight to the library's BPE model, which takes a third of the time; whether
+    that holds for a file, and whether spaces or letter case count, is tried on words.
+    """
 
-class WordPieces:
-    """For a tokenizer that drops white space: pieces end at spaces and line breaks."""
+    def __init__(self, path: str, dtype: str, most: int | None = None):
+        from tokenizers import Tokenizer
 
-    def __init__(self, path: str, dtype: str = "<u4"):
-        self.kept = _Kept(_tokenizer(path), "", dtype, lower=True)
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        self.model, self.added = self.tokenizer.model, added_strings(self.tokenizer)
+        kinds = ((space, lower) for space in (True, False) for lower in (False, True))
+        self.direct = next((kind for kind in kinds if self._holds(*kind)), None)
+        self.kept = Kept(self._encode, most)
 
-    def packed(self, text: str) -> bytes:
-        return b"".join(map(self.kept.__getitem__, text.replace("\n", " ").split(" ")))
+    def _holds(self, space: bool, lower: bool) -> bool:
+        return all(
+            self._model_ids(*_SIMPLE.fullmatch(w).groups(), space, lower) == self._library_ids(w) for w in _PROBES
+        )
 
+    def _model_ids(self, before: str, letters: str, space: bool, lower: bool) -> list[int]:
+        text = (before if space else "") + (letters.lower() if lower else letters)
+        if space or not text.isascii():
+            text = "".join([_CHARACTER[byte] for byte in text.encode()])
+        return [token.id for token in self.model.tokenize(text)]
 
-class SpacedPieces:
-    """For byte-level BPE, where a lone space belongs to the word that follows it."""
+    def _library_ids(self, piece: str) -> list[int]:
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
-    def __init__(self, path: str, dtype: str = "<u2"):
-        tokenizer = _tokenizer(path)
-        self.first = _Kept(tokenizer, "", dtype, lower=False)
-        self.rest = _Kept(tokenizer, " ", dtype, lower=False, marks=self.first)
+    def _encode(self, pieces: list[bytes]) -> Iterator[bytes]:
+        for piece in map(bytes.decode, pieces):
+            simple = _SIMPLE.fullmatch(piece) if self.direct else None
+            ids = self._model_ids(*simple.groups(), *self.direct) if simple else self._library_ids(piece)
+            yield np.array(ids, self.dtype).tobytes()
 
-    def packed(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, rest = self.first, self.rest
-        if _LONE.search(text):
-            pieces = _BORDER.split(text)
-            return first[pieces[0]] + b"".join(map(rest.__getitem__, pieces[1:]))
-        lines = []
-        for line in text.split("\n"):
-            pieces = line.split(" ")
-            lines.append(first[pieces[0]] + b"".join(map(rest.__getitem__, pieces[1:])))
-        return first["\n"].join(lines)
+    def packed(self, text: pa.Array) -> tuple[memoryview, list[int]]:
+        """The ids of all texts as bytes, and where each text's begin, with the end."""
+        coded = code(text, spaced, self.added)
+        data, offsets = gather(self.kept(coded.distinct), coded.index)
+        return memoryview(data), offsets[coded.starts].tolist()
 
 
 _made: dict[tuple, object] = {}
 
 
-def encoder(kind: type, path: str, dtype: str):
+def encoder(kind: type, path: str, *settings):
     """One per worker process, so that tasks that follow each other share it."""
-    key = (kind, path, dtype)
+    key = (kind, path, *settings)
     if key not in _made:
-        _made[key] = kind(path, dtype)
+        _made[key] = kind(path, *settings)
     return _made[key]
 
 
 def vocabulary_size(path: str) -> int:
-    return _tokenizer(path).get_vocab_size()
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
 
 
 def public_vocabulary(name: str) -> str:

@@ -97,7 +97,6 @@ def test_best_fit_is_the_step_by_step_one():
 
 def check(docs, capacity=4096):
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     rows = [(row.doc_id, row.text or "") for row in docs.select("doc_id", "text").collect()]
     expected = Counter()
     for doc_id, text in rows:
