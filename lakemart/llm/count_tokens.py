@@ -6,7 +6,7 @@ scores and the number of pieces of the path that the tokenizer would choose; no
 path is kept. Ties follow ``unigram.py``: of equal sums the longest last piece.
 A character without a piece counts as many pieces as it has UTF-8 bytes.
 
-Counts of words are kept by worker up to a bound, as words recur.
+Counts of words are kept by worker up to a bound in bytes, as words recur.
 
 Defined cases. Null text is empty and has no token. Rows that repeat an id are
 counted each.
@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from lakemart.llm.common import chunks, id_and_text
 from lakemart.llm.unigram import marked_words, vocabulary
 
-KEPT_WORDS = 300_000
+#: Bytes of words and their counts that a worker keeps, with what Python adds to each.
+KEPT_BYTES = 64 << 20
+_ENTRY_BYTES = 280
 
 
 class Counting:
@@ -38,6 +40,7 @@ class Counting:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.kept: dict[str, tuple[float, int]] = {}
+        self.size = 0
 
     def word(self, word: str) -> tuple[float, int]:
         """Best sum of scores and number of pieces."""
@@ -70,8 +73,10 @@ class Counting:
         for word, times in Counter(marked_words(text)).items():
             found = kept.get(word)
             if found is None:
-                if len(kept) >= KEPT_WORDS:
+                self.size += _ENTRY_BYTES + 4 * len(word)
+                if self.size > KEPT_BYTES:
                     kept.clear()
+                    self.size = _ENTRY_BYTES + 4 * len(word)
                 found = kept[word] = self.word(word)
             total += times * found[0]
             n += times * found[1]

@@ -15,24 +15,22 @@ encoded each.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lakemart.llm.common import chunks, id_and_text
-from lakemart.llm.unigram import MARK, Vocabulary, marked_words, vocabulary
+from lakemart.llm.common import chunks, id_and_text, per_text
+from lakemart.llm.ragged import PIECE_CHUNK, Kept, code, gather, space_runs
+from lakemart.llm.tokens import encoder
+from lakemart.llm.unigram import MARK, Vocabulary, vocabulary
 
-#: Words whose ids a worker keeps; beyond that it starts anew, which changes no result.
-KEPT_WORDS = 300_000
 
-
-def segment(words: Iterable[str], vocab: Vocabulary) -> dict[str, tuple[float, list[int]]]:
-    """Score and ids of each word, by one walk over their trie."""
+def segment(words: Iterable[str], vocab: Vocabulary) -> dict[str, list[int]]:
+    """Ids of each word, by one walk over their trie."""
     ending, id_of, unknown = vocab.ending, vocab.id, vocab.unknown
     best = [0.0]  # by depth: the best sum of scores of the first characters
     begin = [0]  # and where the piece that ends there begins
@@ -73,71 +71,78 @@ def segment(words: Iterable[str], vocab: Vocabulary) -> dict[str, tuple[float, l
             else:
                 ids += [vocab.byte[b] for b in reversed(piece.encode())]
             end = start
-        out[word] = (best[len(word)], ids[::-1])
+        out[word] = ids[::-1]
         before = word
     return out
 
 
-@dataclass
-class _Kept:
-    """Words that a worker has met: packed ids, scores; those that don't decode to themselves."""
-
-    ids: dict[str, bytes] = field(default_factory=dict)
-    score: dict[str, float] = field(default_factory=dict)
-    inexact: set[str] = field(default_factory=set)
-
-    def learn(self, words: set[str], vocab: Vocabulary) -> None:
-        """Segments the words that aren't kept yet."""
-        fresh = words.difference(self.ids)
-        if len(self.ids) + len(fresh) > KEPT_WORDS:
-            self.ids.clear(), self.score.clear(), self.inexact.clear()
-            fresh = words
-        for word, (score, ids) in segment(fresh, vocab).items():
-            self.ids[word] = struct.pack(f"<{len(ids)}I", *ids)
-            self.score[word] = score
-            if vocab.decoded(ids) != word.replace(MARK, " ").encode():
-                self.inexact.add(word)
-
-    def exact(self, text: str, words: list[str]) -> bool:
-        """Whether a text's ids decode to it: its words do, and no mark was there before."""
-        return MARK not in text and (not self.inexact or self.inexact.isdisjoint(words))
-
-
-_kept: dict[str, _Kept] = {}
+class Encoder:
+    """Packed ids of whole columns of text, and texts of ids."""
+
+    def __init__(self, path: str, most: int | None = None):
+        self.vocab = vocabulary(path)
+        self.kept = Kept(self._make, most)
+        self.bytes_of = pa.array(self.vocab.bytes_of, pa.large_binary())
+
+    def _make(self, pieces: list[bytes]) -> list[bytes]:
+        words = [piece.decode().replace(" ", MARK) for piece in pieces]
+        found = segment(words, self.vocab)
+        return [np.array(found[word], "<u4").tobytes() for word in words]
+
+    def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and where each text's begin, with the end."""
+        # a mark stands for a space, and one comes before a text that isn't empty
+        plain = pc.replace_substring(text.cast(pa.large_string()), MARK, " ")
+        space, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        before = pc.if_else(pc.equal(pc.binary_length(plain), 0), nothing, space)
+        marked = pc.binary_join_element_wise(before, plain, nothing)
+        coded = code(marked, space_runs)
+        data, offsets = gather(self.kept(coded.distinct), coded.index)
+        return data.view("<u4"), offsets[coded.starts] // 4
+
+    def decode(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The text of each run of ids, without the space that a first mark stands for."""
+        data, offsets = gather(self.bytes_of, ids)
+        bounds = offsets[starts]
+        begins = bounds[:-1].copy()
+        filled = np.flatnonzero(np.diff(bounds))
+        begins[filled] += data[begins[filled]] == 32
+        held = memoryview(data)
+        return pa.array(
+            [str(held[a:b], "utf-8", "replace") for a, b in zip(begins.tolist(), bounds[1:].tolist())],
+            pa.string(),
+        )
 
 
 def _encode(path: str, with_ids: bool) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, kept = vocabulary(path), _kept.setdefault(path, _Kept())
-        for batch in chunks(batches):
-            texts = batch.column("text").to_pylist()
-            words = [marked_words(text) for text in texts]
-            kept.learn(set().union(*words), vocab)
-            packed = [b"".join(map(kept.ids.__getitem__, held)) for held in words]
-            scores = [float(sum(map(kept.score.__getitem__, held))) for held in words]
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    "score": pa.array(scores, pa.float64()),
-                    "ids_crc32": pa.array([zlib.crc32(p) for p in packed], pa.int64()),
-                    **({"ids": _lists(packed)} if with_ids else {}),
-                    "exact": pa.array(
-                        [kept.exact(text, held) for text, held in zip(texts, words)], pa.bool_()
-                    ),
-                }
-            )
+        own = encoder(Encoder, path)
+        scores = own.vocab.score_of
+        for batch in chunks(batches, PIECE_CHUNK):
+            text = batch.column("text")
+            ids, starts = own.encode(text)
+            held, bounds = memoryview(ids.view(np.uint8)), (4 * starts).tolist()
+            crcs = [zlib.crc32(held[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "n_tokens": pa.array(np.diff(starts), pa.int64()),
+                "score": pa.array(per_text(scores[ids], starts), pa.float64()),
+                "ids_crc32": pa.array(crcs, pa.int64()),
+            }
+            if with_ids:
+                lists = pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))
+                columns["ids"] = pa.ListArray.from_arrays(*lists)
+            decoded = own.decode(ids, starts)
+            columns["exact"] = pc.equal(decoded, text.cast(pa.string()))
+            if not with_ids:
+                columns["decoded_crc32"] = pa.array(
+                    [zlib.crc32(x.as_buffer()) for x in decoded], pa.int64()
+                )
+            yield pa.record_batch(columns)
 
     return encode
 
 
-def _lists(packed: list[bytes]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
-    return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
-    )
-
-
 _SUMMARY = "doc_id long, n_tokens long, score double, ids_crc32 long"
 
 
@@ -153,9 +158,9 @@ def encode(
 def encode_summary(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The same without the ids."""
+    """The same with a checksum of the decoded text in UTF-8 in place of the ids."""
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        _encode(model_path, False), f"{_SUMMARY}, exact boolean"
+        _encode(model_path, False), f"{_SUMMARY}, exact boolean, decoded_crc32 long"
     )
 
 
@@ -163,11 +168,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id and text of encoded documents; null ids give null text."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(model_path)
+        own = encoder(Encoder, model_path)
         for batch in batches:
-            decoded = [None if x is None else vocab.decode(x) for x in batch.column("ids").to_pylist()]
-            yield pa.record_batch(
-                {"doc_id": batch.column("doc_id"), "text": pa.array(decoded, pa.string())}
-            )
+            lists = batch.column("ids")
+            ids = np.array(lists.flatten(), dtype=np.int64)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            decoded = own.decode(ids, np.concatenate([[0], np.cumsum(sizes)]))
+            decoded = pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), decoded)
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": decoded})
 
     return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, text string")

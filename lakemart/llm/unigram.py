@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+
 MARK = "▁"
 UNKNOWN_COST = 10.0
 NEVER = -1e6
@@ -55,17 +57,14 @@ class Vocabulary:
                 self.ending.setdefault(piece[start:], None)
         self.ending.update(self.score)
         self.bytes_of = [piece.replace(MARK, " ").encode() for piece in self.piece]
+        #: by id; a character without a piece has its cost at the first of its bytes
+        self.score_of = np.zeros(len(self.piece))
+        for piece, i in self.id.items():
+            self.score_of[i] = self.score[piece]
         for value, i in enumerate(self.byte):
             self.bytes_of[i] = bytes([value])
-
-    def decoded(self, ids) -> bytes:
-        """The bytes of pieces in a row, with spaces for marks."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
-    def decode(self, ids) -> str:
-        """The text that ids were made from."""
-        text = self.decoded(ids).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+            if not 0x80 <= value < 0xC0:
+                self.score_of[i] = self.unknown
 
 
 def marked(text: str) -> str:
