@@ -11,8 +11,11 @@ from lakemart.llm.common import table
 from lakemart.llm.count_tokens import token_counts
 from lakemart.llm.divergence import quality_by_divergence
 from lakemart.llm.id_files import id_files_round_trip
+from lakemart.llm.merkle import merkle_audit, without_line_feeds
 from lakemart.llm.multi_index import nearest_by_multi_index
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.periodic_runs import repeated_tail, run_digests
+from lakemart.llm.prefix_bpe import round_trip_digests
 from lakemart.llm.secret_scan import secret_scan
 from lakemart.llm.shared_prefix import encode_summary
 from lakemart.llm.suffix_tree import suffix_tree_scores
@@ -70,6 +73,21 @@ def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip_digests(
+        table(spark, folder, "documents"), public_vocabulary("byte_bpe_50k.json")
+    )
+
+
+def _merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return merkle_audit(docs, without_line_feeds(docs))
+
+
+def _periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(table(spark, folder, "documents"), order=repeated_tail)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _ngram_jaccard,
@@ -82,6 +100,9 @@ def queries() -> dict[str, Query]:
         "op8_id_files": _id_files,
         "op9_toxicity": _toxicity,
         "op10_token_counts": _token_counts,
+        "op11_prefix_bpe": _prefix_bpe,
+        "op12_merkle_manifest": _merkle,
+        "op13_periodic_runs": _periodic_runs,
     }
 
 

@@ -13,11 +13,16 @@ COLUMNS = {
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     },
     "op5_nearest_by_multi_index": {"query_id", "rank", "vec_id", "score"},
-    "op6_shared_prefix_pieces": {"doc_id", "n_tokens", "score", "ids_crc32", "exact"},
+    "op6_shared_prefix_pieces": {"doc_id", "n_tokens", "score", "ids_crc32", "exact", "decoded_crc32"},
     "op7_best_fit_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
     "op8_id_files": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op9_toxicity": {"doc_id", "held_out", "score", "predicted"},
     "op10_token_counts": {"doc_id", "n_tokens", "score"},
+    "op11_prefix_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op12_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
+    "op13_periodic_runs": {
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    },
 }
 
 
