@@ -1,14 +1,18 @@
 """Quality rules: base counts by brute force, distances, labelled documents."""
 
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from lakemart.llm import divergence
-from lakemart.llm.common import table
+from lakemart.llm.common import Steps, table
 from lakemart.llm.divergence import distance, quality_by_divergence
 
 
@@ -67,15 +71,94 @@ def test_labelled_documents(spark, small):
     assert all(good) and np.mean(bad) <= 0.1
 
 
-def test_a_rare_language_makes_no_reference_and_nulls_are_judged(make_docs):
+def test_without_a_reference_the_base_rules_decide(make_docs):
+    """Texts of a language with few documents, or of none, are judged by no other language."""
     rng, words = random.Random(1), "the cat and the dog sat on the mat and the bird sang to them".split()
-    text = "the cat and the dog sat on the mat "
     rows = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(300)]
-    odd = (1000, " ".join(f"{chr(0x4E00 + i)}{chr(0x5E00 + i)}" for i in range(200)), "xx")
-    found = {row.doc_id: row.kept for row in quality_by_divergence(make_docs(*rows, odd, (1001, text * 6, None))).collect()}
-    assert found[1000] is False and found[1001] is False  # one is far, one repeats
-    other = quality_by_divergence(make_docs((1, " ".join(f"w{i}" for i in range(50)), None))).collect()
-    assert other[0].kept  # without any reference the base rules decide
+    letters = "".join(f"{chr(0x4E00 + i)}{chr(0x5E00 + i)} " for i in range(200))
+    odd = [(1000 + i, letters, "xx") for i in range(29)]
+    odd += [(2000, letters, None), (2001, "the cat and the dog sat on the mat " * 6, None), (2002, "few words", "yy")]
+    found = {row.doc_id: row for row in quality_by_divergence(make_docs(*rows, *odd)).collect()}
+    assert all(found[i].kept and found[i].word_distance is None for i in range(1000, 1029))
+    assert found[2000].kept and found[2000].class_distance is None
+    assert found[2001].base_failed and not found[2001].kept and not found[2002].kept
+    # the same text is far from the references that English has
+    (far,) = quality_by_divergence(make_docs(*rows, (1, letters, "en"))).where("n_words = 200").collect()
+    assert not far.kept and not far.base_failed and far.class_distance > 0.5
+
+
+def histogram(text, common):
+    words = [w.translate(LOWER) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    counts = Counter(w if w in common else None for w in words)
+    return [counts[w] for w in (*common, None)]
+
+
+LOWER = {code: code + 32 for code in range(65, 91)}
+
+
+def classes(text):
+    out = Counter()
+    for c in text:
+        if ord(c) > 127:
+            out["beyond"] += 1
+        elif c in "#*$%&|<>":
+            out["symbol"] += 1
+        elif c in " \t\n\x0b\x0c\r":
+            out["space"] += 1
+        elif c.isalpha():
+            out["lower" if c.islower() else "upper"] += 1
+        elif c.isdigit():
+            out["digit"] += 1
+        else:
+            out["punctuation" if c in ".,;:!?'\"()-" else "other"] += 1
+    return [out[k] for k in ("lower", "upper", "digit", "space", "punctuation", "symbol", "other", "beyond")]
+
+
+def shares(counts):
+    total = sum(counts)
+    return [c / total for c in counts] if total else None
+
+
+def js(p, q):
+    if p is None:
+        return 1.0
+    middle = [(a + b) / 2 for a, b in zip(p, q)]
+    parts = [sum(a * math.log2(a / m) for a, m in zip(x, middle) if a) for x in (p, q)]
+    return math.sqrt(max(sum(parts), 0) / 2)
+
+
+def test_verdicts_and_distances_by_brute_force(tiny_docs):
+    """Common words, references, distances and verdicts by plain Python over all documents."""
+    rows = tiny_docs[0].collect()
+    texts, langs = {r.doc_id: r.text or "" for r in rows}, {r.doc_id: r.lang for r in rows}
+    passed = {i for i, text in texts.items() if not base(text)[5]}
+    references = {}
+    for lang in set(langs.values()) - {None}:
+        own = [i for i in texts if langs[i] == lang]
+        counts = Counter(w.translate(LOWER) for i in own for w in re.findall(r"[^\x20\x09-\x0D]+", texts[i]))
+        good = [i for i in own if i in passed]
+        if len(good) >= 30:
+            common = sorted(w for w, n in counts.items() if n >= divergence.LEAST_SHARE * counts.total())
+            means = []
+            for f in (lambda t: histogram(t, common), classes):
+                held = [shares(f(texts[i])) for i in good]
+                mean = [sum(x) / len(held) for x in zip(*held)]
+                means.append([x / sum(mean) for x in mean])
+            references[lang] = common, *means
+    assert 0 < len(references) < len(set(langs.values()))
+    for row in quality_by_divergence(tiny_docs[0]).collect():
+        text, kept = texts[row.doc_id], row.doc_id in passed
+        if langs[row.doc_id] not in references:
+            assert row.word_distance is None and row.class_distance is None
+        else:
+            common, words, chars = references[langs[row.doc_id]]
+            found = js(shares(histogram(text, common)), words), js(shares(classes(text)), chars)
+            assert (row.word_distance, row.class_distance) == pytest.approx(found, abs=1e-6)
+            sizes = row.n_words, row.word_chars
+            for d, (limit, growth, least), size in zip(found, (divergence.WORD_LIMIT, divergence.CLASS_LIMIT), sizes):
+                assert abs(d - limit - growth / math.sqrt(max(size, 1))) > 1e-6
+                kept = kept and not (size >= least and d > limit + growth / math.sqrt(size))
+        assert row.kept == kept
 
 
 def test_a_small_share_has_references_of_its_own(make_docs):
@@ -94,16 +177,40 @@ def test_distance():
     assert found == pytest.approx([0, 1, 1])
 
 
-def test_rare_words_may_go_meanwhile(make_docs, monkeypatch):
-    """With few words held at a time, the common ones are still named."""
-    import pyarrow as pa
-
-    monkeypatch.setattr(divergence, "HELD_WORDS", 50)
-    texts = [" ".join(f"r{i}x{j}" for j in range(90)) + " often" * 10 for i in range(40)]
-    batches = [
-        pa.record_batch({"doc_id": pa.array([i]), "lang": pa.array(["en"]), "text": pa.array([t])})
-        for i, t in enumerate(texts)
-    ]
-    monkeypatch.setattr(divergence, "chunks", lambda b: b)
-    (out,) = divergence._frequent(0.05)(iter(batches))
-    assert out.column("word").to_pylist() == ["often"]
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcdefghij"), max_size=40), min_size=1, max_size=70), st.integers(1, 6))
+def test_merged_summaries_keep_frequent_words(parts, most):
+    """However words are dealt to parts: no count is too high, none too low by more than was taken off."""
+    rows = []
+    for part, words in enumerate(parts):
+        counts = Counter(words)
+        held = np.array(list(counts.values()), dtype=np.int64)
+        stays, off = divergence.summary(held, most)
+        rows += [("en", part, list(counts)[i], int(held[i]) - off, 0) for i in stays]
+        rows.append(("en", part, None, off, len(words)))
+    frame = pd.DataFrame(rows, columns=divergence._SUMMARY_NAMES)
+    while frame["part"].max() > 0:
+        groups = [block for _, block in frame.groupby(frame["part"] // divergence.FAN_IN)]
+        frame = pd.concat([divergence.merged(block, most) for block in groups], ignore_index=True)
+    (last,) = frame[frame["word"].isna()].itertuples()
+    held = {row.word: row.n for row in frame[frame["word"].notna()].itertuples()}
+    true = Counter(w for words in parts for w in words)
+    assert last.total == true.total() and last.n <= true.total() / (most + 1) and len(held) <= most
+    assert all(true[w] - last.n <= held.get(w, 0) <= true[w] for w in true)
+
+
+def test_words_named_do_not_grow_with_the_tasks(spark, small, make_docs):
+    """Two hundred tasks, each with few texts, and a language of a hundred texts of rare words."""
+    docs = table(spark, small, "documents").select("doc_id", "lang", "text")
+    odd = [(10**6 + i, " ".join(f"w{i}x{j}" for j in range(100)) + " often often", "xx") for i in range(100)]
+    docs = docs.union(make_docs(*odd).select("doc_id", "lang", "text"))
+    named = {}
+    for tasks in (4, 200):
+        named[tasks] = divergence.frequent_words(Steps(spark), docs.repartition(tasks), divergence.LEAST_SHARE)
+        assert all(len(words) <= 4 / 3 / divergence.LEAST_SHARE for words in named[tasks].values())
+        assert "often" in named[tasks]["xx"] and len(named[tasks]["xx"]) <= 4 / 3 / divergence.LEAST_SHARE
+    for lang in named[4]:
+        own = docs.where(docs.lang == lang).select("text").collect()
+        counts = Counter(w.translate(LOWER) for r in own for w in re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        must = {w for w, n in counts.items() if n >= divergence.LEAST_SHARE * counts.total()}
+        assert must <= set(named[4][lang]) and must <= set(named[200][lang])
