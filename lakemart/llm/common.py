@@ -58,13 +58,36 @@ class Steps:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.written = spark, shared_folder(spark), 0
+        self.paths: list[str] = []
+        self.tables: list[str] = []
 
-    def keep(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
+    def _path(self) -> str:
         self.written += 1
-        path = f"{self.folder}/step{self.written}"
+        self.paths.append(f"{self.folder}/step{self.written}")
+        return self.paths[-1]
+
+    def keep(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
+        path = self._path()
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_by(self, df: DataFrame, column: str, buckets: int, codec: str = "zstd") -> DataFrame:
+        """Kept in buckets by a column, so that grouping by it doesn't move the rows again."""
+        name = f"lakemart_{self.folder.rpartition('-')[2]}_{self.written + 1}"
+        writer = df.write.option("compression", codec).option("path", self._path())
+        writer.bucketBy(buckets, column).saveAsTable(name, format="parquet")
+        self.tables.append(name)
+        return self.spark.table(name)
+
+    def drop_earlier(self) -> None:
+        """Removes all steps but the last one, which no result may need any more."""
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in self.paths[:-1]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+        self.paths, self.tables = self.paths[-1:], []
+
 
 def chunks(
     batches: Iterator[pa.RecordBatch], most: int = CHUNK_BYTES

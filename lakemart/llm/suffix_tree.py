@@ -1,25 +1,34 @@
 """Language-model scores by a probabilistic suffix tree (operator 2).
 
 Method. Tokens are the words of a text, A-Z lowered, and one end. The root of the
-tree is the unigram distribution of all training words, with one added to each
-count. A context of up to ``depth`` tokens is a state if it makes up at least
-``least_share`` of the training tokens and its next-token distribution differs
-from that of its suffix: count times Kullback-Leibler divergence must exceed a
-limit. Distributions are smoothed by absolute discounting towards the suffix. A
-token is scored in the longest suffix of what precedes it that is a state.
-
-Words below ``least_share`` are one symbol in contexts; as next token such a word
-has the symbol's probability times its share of the symbol's unigram
-probability, so that it keeps its own count. So states and their distributions
-have at most a few times ``1 / least_share`` entries, while the unigram counts
-cover every training word, however many there are.
-
-How it runs. Texts are coded once, part by part, with a dictionary per part of
-about ``PART_BYTES`` of text; dictionaries meet in one shuffle by word, and the
-counts go back to the parts. Later passes read symbols only.
-
-Defined cases. Null text is empty and scored as a lone end. Rows that repeat an
-id count and are scored each. Without training rows all scores are 0.
+tree is the unigram distribution of the training tokens, with one added to each count. A
+context of one to three words that occurs ``least_count`` times in training text is a
+state if its next tokens diverge from those of its suffix: the sum over next tokens of
+count times log(share after the context / share after its suffix), in nats, must reach
+``least_gain`` plus one for each different next token. Distributions are smoothed by absolute
+discounting towards the suffix, so all counts of a context are kept. A token is scored in the
+longest suffix of what precedes it that is a state. The least count is absolute: more
+text gives more contexts, states and counts.
+
+How it runs. Texts are coded once, in parts of about ``PART_BYTES``, one row a part; that table
+is bucketed by part, so that no later step moves it. What the tree holds is spread by key: a
+part asks for the distinct keys it has (words, contexts with a next token, contexts), as
+sorted blocks of 56-bit hashes, a block for each range of keys, together with what it adds
+to them. A task a range adds up what all parts have, and answers each part block by block.
+Keys are hashes of a whole context and its next token, so a frequent context is spread over
+all ranges. Answers go on to the next round:
+
+1. words, and words with their next token;
+2. contexts of two and three words with their next token, where all that is known of them so
+   far reaches ``least_count``; and for contexts of one word the number of next tokens and
+   the divergence, each pair's share of it from the first part that has the pair;
+3. the same for the longer contexts.
+
+Then each part scores its texts. Nothing of this passes through the driver but two totals.
+
+Defined cases. Null text is empty and scored as a lone end. Rows that repeat an id
+count and are scored each; a null id counts as empty text. Without training rows all scores are 0.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,341 +38,401 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import Steps, binaries, chunks, complete_runs, id_and_text, per_text, remainder, words_of
+from lakemart.llm.common import Steps, chunks, id_and_text, remainder, words_of
 
 FOLDS, HELD_FOLD = 7, 2
-DEPTH = 3
-LEAST_SHARE = 4e-5
-#: A next token has an entry of its own from this share of all training tokens.
-LEAST_ENTRY = LEAST_SHARE / 8
-LEAST_GAIN = 20.0
+LEAST_COUNT = 4
+LEAST_GAIN = 5.0
 DISCOUNT = 0.75
-PART_BYTES = 32 << 20
+PART_BYTES = 8 << 20
+#: Tokens of the corpus for each range of keys.
+RANGE_TOKENS = 1 << 21
+#: Files of a bucketed table; beyond that a task reads several parts, one after another.
+MOST_BUCKETS = 20_000
+#: Divergences are added up as whole numbers of this unit, so that sums don't depend on their order.
+UNIT = 1 << 16
 
-END, RARE = 0, 1
+KEY_BITS = 56
+_KEY = np.uint64((1 << KEY_BITS) - 1)
+_END_KEY = np.uint64(0x5BD1E995A7F3C1)
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
-_CODED = "part long, doc_id long, held_out boolean, ids binary, lid int, word string, n long"
+WORDS, PAIRS, LONGER, SHORT_CONTEXTS, CONTEXTS = range(5)
+
+
+def key_of_word(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word) & int(_KEY)
+
+
+def extended(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """The keys of contexts with a token after them, which are also keys of longer contexts."""
+    x = context * _A + token
+    x = (x ^ (x >> np.uint64(30))) * _B
+    x = (x ^ (x >> np.uint64(27))) * _C
+    return (x ^ (x >> np.uint64(31))) & _KEY
+
+
+# --- blocks of numbers --------------------------------------------------------
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, as planes of bytes; planes of zeros above are left out."""
+    values = np.ascontiguousarray(values, dtype=np.uint64)
+    top = int(values.max()) if len(values) else 0
+    width = max(1, (top.bit_length() + 7) // 8)
+    return values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes() + bytes([width])
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    width = raw[-1]
+    planes = np.frombuffer(raw, np.uint8, len(raw) - 1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = planes.T
+    return out.view(np.uint64).ravel()
+
+
+def _signed(values: np.ndarray) -> np.ndarray:
+    """Numbers of both signs as numbers from 0 on; small ones stay small."""
+    return ((values << 1) ^ (values >> 63)).astype(np.uint64)
+
+
+def _unsigned(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(1)).astype(np.int64) ^ -(values & np.uint64(1)).astype(np.int64)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and the place among them of each key."""
+    coded = pa.array(keys).dictionary_encode()
+    held = coded.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(held)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return held[order], place[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+# --- parts of the text ----------------------------------------------------------
+
+_PART = "part long, doc_ids array<long>, held binary, words binary, tokens binary, keys binary, training long"
 
 
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as numbers of words in the part's dictionary, then that dictionary."""
-    part = TaskContext.get().partitionId() << 24
-    words: dict[str, int] = {}
-    counts: list[np.ndarray] = []
-    size = 0
-    for batch in chunks(batches):
+    """A row for each part: its texts as numbers of tokens, frequent ones first, and their keys."""
+    task = TaskContext.get().partitionId()
+    for k, batch in enumerate(chunks(batches, PART_BYTES)):
         found, starts = words_of(batch.column("text"))
         coded = found.dictionary_encode()
-        local = np.array(
-            [words.setdefault(word, len(words)) for word in coded.dictionary.to_pylist()], dtype=np.uint32
-        )
-        ids = local[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else local
-        training = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-        taken = np.repeat(training, np.diff(starts))
-        counts.append(np.bincount(ids[taken], minlength=len(words)).astype(np.int64))
-        n = batch.num_rows
-        yield _rows(
-            part,
-            n,
-            doc_id=batch.column("doc_id"),
-            held_out=batch.column("held_out"),
-            ids=binaries([ids[a:b] for a, b in zip(starts[:-1], starts[1:])]),
+        n = np.diff(starts)
+        ends = starts[1:] + np.arange(len(n))
+        tokens = np.zeros(len(found) + len(n), dtype=np.int64)
+        inner = np.ones(len(tokens), dtype=bool)
+        inner[ends] = False
+        tokens[inner] = coded.indices.to_numpy(zero_copy_only=False) + 1
+        keys = [int(_END_KEY), *map(key_of_word, coded.dictionary.to_pylist())]
+        order = np.argsort(-np.bincount(tokens, minlength=len(keys)), kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        held = batch.column("held_out").to_numpy(zero_copy_only=False)
+        yield pa.record_batch(
+            {
+                "part": pa.array([task << 24 | k], pa.int64()),
+                "doc_ids": pa.ListArray.from_arrays(
+                    pa.array([0, len(n)], pa.int32()), batch.column("doc_id").cast(pa.int64())
+                ),
+                "held": pa.array([packed(held)], pa.binary()),
+                "words": pa.array([packed(n)], pa.binary()),
+                "tokens": pa.array([packed(place[tokens])], pa.binary()),
+                "keys": pa.array([packed(np.array(keys, dtype=np.uint64)[order])], pa.binary()),
+                "training": pa.array([int((n + 1)[~held].sum())], pa.int64()),
+            }
         )
-        size += batch.nbytes
-        if size >= PART_BYTES:
-            yield _dictionary(part, words, counts)
-            part, words, counts, size = part + 1, {}, [], 0
-    yield _dictionary(part, words, counts)
-
-
-def _rows(part: int, rows: int, **columns) -> pa.RecordBatch:
-    kinds = {
-        "part": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "ids": pa.binary(),
-        "lid": pa.int32(), "word": pa.string(), "n": pa.int64(),
-    }
-    columns["part"] = pa.array(np.full(rows, part), pa.int64())
-    arrays = [columns[name] if name in columns else pa.nulls(rows, kind) for name, kind in kinds.items()]
-    return pa.record_batch(arrays, names=list(kinds))
-
-
-def _dictionary(part: int, words: dict[str, int], counts: list[np.ndarray]) -> pa.RecordBatch:
-    total = np.zeros(len(words), dtype=np.int64)
-    for held in counts:
-        total[: len(held)] += held
-    return _rows(
-        part,
-        len(words),
-        lid=pa.array(np.arange(len(words)), pa.int32()),
-        word=pa.array(list(words), pa.string()),
-        n=pa.array(total),
-    )
 
 
 @dataclass
-class Unigrams:
-    """Training counts: tokens, distinct tokens, documents; frequent words, most frequent first."""
+class Settings:
+    """Limits and totals that all tasks share."""
 
+    least_count: int
+    least_gain: float
+    discount: float
+    range_bits: int
     tokens: int
-    distinct: int
-    documents: int
-    words: list[str]
-    counts: np.ndarray
-
-    @property
-    def log_total(self) -> float:
-        return float(np.log10(self.tokens + self.distinct + 1))
-
-    @property
-    def symbols(self) -> int:
-        return len(self.words) + 2
-
-    def probabilities(self) -> np.ndarray:
-        """Of each symbol: end, rare, the frequent words."""
-        total = self.tokens + self.distinct + 1
-        out = np.empty(self.symbols)
-        out[END], out[2:] = (self.documents + 1) / total, (self.counts + 1) / total
-        out[RARE] = max(1 - out[END] - out[2:].sum(), 1 / total)
-        return out
-
-
-_SYMBOLS = (
-    "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-    "rare_score double, symbols binary"
-)
+    distinct: int = 0
+
+
+class Part:
+    """A part of the text with what is known of its words and contexts so far."""
+
+    def __init__(self, row: dict, settings: Settings):
+        self.number, self.doc_ids, self.settings = row["part"], row["doc_ids"], settings
+        self.n_tokens = unpacked(row["words"]).astype(np.int64) + 1
+        self.held = unpacked(row["held"]).astype(bool)[: len(self.n_tokens)]
+        self.tokens = unpacked(row["tokens"]).astype(np.int64)
+        self.keys = unpacked(row["keys"])
+        self.begins = np.concatenate([[0], np.cumsum(self.n_tokens)])
+        self.counted = np.repeat(~self.held, self.n_tokens)
+        self.word_keys, self.word_place = np.unique(self.keys, return_inverse=True)
+        # tokens that come after a word of their text, and contexts of one word with a next token
+        inner = np.ones(len(self.tokens), dtype=bool)
+        inner[self.begins[:-1]] = False
+        self.inner, self.after = inner, np.flatnonzero(inner)
+        token_keys = self.keys[self.tokens]
+        self.pair_keys, self.pair_place = distinct(extended(token_keys[self.after - 1], token_keys[self.after]))
+        self.token_keys = token_keys
+
+    def requests(self, kind: int, keys: np.ndarray, *values: np.ndarray) -> pa.Table:
+        """Blocks of sorted keys and of what this part adds to them, by range of keys."""
+        shift = np.uint64(KEY_BITS - self.settings.range_bits)
+        of_range = (keys >> shift).astype(np.int64)
+        at = np.flatnonzero(np.diff(of_range, prepend=-1))
+        bounds = [*zip(at.tolist(), [*at[1:].tolist(), len(keys)])]
+        blocks = [packed(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in bounds]
+        amounts = [[packed(v[a:b]) for a, b in bounds] for v in values]
+        gains = amounts[1] if len(values) > 1 else [None] * len(bounds)
+        arrays = [
+            pa.array([kind] * len(bounds), pa.int32()),
+            pa.array(of_range[at]),
+            pa.array([self.number] * len(bounds), pa.int64()),
+            *(pa.array(x, pa.binary()) for x in (blocks, amounts[0], gains)),
+        ]
+        return pa.table(arrays, names=["kind", "range", "part", "keys", "counts", "gains"])
+
+    def _summed(self, place: np.ndarray, amounts: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(place, weights=amounts, minlength=size).astype(np.int64)
+
+    def first_requests(self) -> pa.Table:
+        counts = np.bincount(self.tokens[self.counted], minlength=len(self.keys))
+        words = self._summed(self.word_place, counts, len(self.word_keys))
+        pairs = self._summed(self.pair_place, self.counted[self.after], len(self.pair_keys))
+        return pa.concat_tables(
+            [self.requests(WORDS, self.word_keys, words), self.requests(PAIRS, self.pair_keys, pairs)]
+        )
 
+    def learn_pairs(self, answers: Answers) -> None:
+        """Takes counts of words and pairs; finds the longer contexts that may be frequent enough."""
+        least = self.settings.least_count
+        self.count = answers.totals(WORDS)[self.word_place]
+        of_pair, self.pair_first = answers.totals(PAIRS), answers.flags(PAIRS, len(self.pair_keys))
+        self.of_pair = of_pair
+        self.pairs = np.zeros(len(self.tokens), dtype=np.int64)
+        self.pairs[self.after] = of_pair[self.pair_place]
+        keys = np.zeros(len(self.tokens), dtype=np.uint64)
+        keys[self.after] = self.pair_keys[self.pair_place]
+        # contexts of two words, then of three: the words before them and after them are pairs as frequent
+        frequent = self.pairs >= least
+        second = np.zeros(len(self.tokens), dtype=bool)
+        second[1:] = frequent[:-1] & self.inner[1:]
+        self.second = np.flatnonzero(second)
+        second_keys = np.zeros(len(self.tokens), dtype=np.uint64)
+        second_keys[self.second] = extended(keys[self.second - 1], self.token_keys[self.second])
+        third = np.zeros(len(self.tokens), dtype=bool)
+        third[1:] = second[:-1] & frequent[:-1] & self.inner[1:]
+        self.third = np.flatnonzero(third)
+        third_keys = extended(second_keys[self.third - 1], self.token_keys[self.third])
+        self.second_context, self.second_keys = keys[self.second - 1], second_keys
+        self.long_keys, self.long_place = distinct(np.concatenate([second_keys[self.second], third_keys]))
+        # contexts of one word
+        self.short = np.flatnonzero((self.count >= least) & (self.keys != _END_KEY))
+        self.short = self.short[np.argsort(self.keys[self.short])]
+
+    def second_requests(self) -> pa.Table:
+        both = np.concatenate([self.second, self.third])
+        longer = self._summed(self.long_place, self.counted[both], len(self.long_keys))
+        # each pair adds to its context once, from the first part that has it
+        at = np.zeros(len(self.pair_keys), dtype=np.int64)
+        at[self.pair_place] = self.after
+        context, n = self.tokens[at - 1], self.of_pair
+        some = self.pair_first & (n > 0) & (self.count[context] >= self.settings.least_count)
+        context, at, n = context[some], at[some], n[some]
+        gain = _gain(n, self.count[context], self.count[self.tokens[at]], self.settings.tokens)
+        kinds = np.bincount(context, minlength=len(self.keys))[self.short]
+        gains = _added(context, gain, len(self.keys))[self.short]
+        return pa.concat_tables(
+            [
+                self.requests(LONGER, self.long_keys, longer),
+                self.requests(SHORT_CONTEXTS, self.keys[self.short], kinds, _signed(gains)),
+            ]
+        )
 
-def _symbols(unigrams: Unigrams) -> Callable:
-    """Texts as symbols, with what only the words' own counts can tell."""
-    number = {word: k + 2 for k, word in enumerate(unigrams.words)}
-    log_total, rare = unigrams.log_total, np.log10(unigrams.probabilities()[RARE])
-    end = np.log10(unigrams.documents + 1) - log_total
-    kind = "<u2" if unigrams.symbols < 1 << 16 else "<u4"
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in complete_runs(batches, ["part"]):
-            for a, b in zip(starts[:-1], starts[1:]):
-                part = rows.slice(a, b - a)
-                entry = part.column("lid").is_valid().to_numpy(zero_copy_only=False)
-                entries, docs = part.filter(pa.array(entry)), part.filter(pa.array(~entry))
-                lids = entries.column("lid").to_numpy(zero_copy_only=False).astype(np.int64)
-                count = np.zeros(len(lids), dtype=np.int64)
-                count[lids] = entries.column("n").to_numpy(zero_copy_only=False)
-                symbol = np.full(len(lids), RARE)
-                words = entries.column("word")
-                known = np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False))
-                symbol[lids[known]] = [
-                    number.get(w, RARE) for w in words.take(pa.array(known)).to_pylist()
-                ]
-                logs = np.log10(count + 1.0) - log_total
-                for at in range(0, docs.num_rows, 2000):
-                    some = docs.slice(at, 2000)
-                    texts = [np.frombuffer(x, np.uint32) for x in some.column("ids").to_pylist()]
-                    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-                    ids = np.concatenate(texts) if offsets[-1] else np.zeros(0, np.uint32)
-                    own = symbol[ids]
-                    n = np.diff(offsets)
-                    packed = own.astype(kind)
-                    yield pa.record_batch(
-                        {
-                            "doc_id": some.column("doc_id"),
-                            "held_out": some.column("held_out"),
-                            "n_tokens": pa.array(n + 1, pa.int64()),
-                            "n_known": pa.array(
-                                per_text((count[ids] > 0).astype(np.int64), offsets)
-                                + int(unigrams.documents > 0),
-                                pa.int64(),
-                            ),
-                            "base_score": pa.array(_sums(logs[ids], offsets) + end),
-                            "rare_score": pa.array(
-                                _sums(np.where(own == RARE, logs[ids] - rare, 0.0), offsets)
-                            ),
-                            "symbols": binaries(
-                                [packed[i:j] for i, j in zip(offsets[:-1], offsets[1:])]
-                            ),
-                        }
-                    )
-
-    return code
-
-
-def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of each text by itself, so that they don't depend on other texts."""
-    out = np.zeros(len(offsets) - 1)
-    filled = np.flatnonzero(np.diff(offsets))
-    if len(filled):
-        out[filled] = np.add.reduceat(values, offsets[filled])
-    return out
+    def learn_longer(self, answers: Answers) -> None:
+        """Takes counts of longer contexts with next tokens, and the states of one word."""
+        of_long = answers.totals(LONGER)
+        self.long_first, self.of_long = answers.flags(LONGER, len(self.long_keys)), of_long
+        seconds = len(self.second)
+        self.twos = np.zeros(len(self.tokens), dtype=np.int64)
+        self.twos[self.second] = of_long[self.long_place[:seconds]]
+        threes = of_long[self.long_place[seconds:]]
+        self.alive = self.twos[self.third - 1] >= self.settings.least_count
+        self.threes, self.third_alive = threes[self.alive], self.third[self.alive]
+        self.context_keys, self.context_place = distinct(
+            np.concatenate([self.second_context, self.second_keys[self.third_alive - 1]])
+        )
+        self.short_kinds = np.zeros(len(self.keys), dtype=np.int64)
+        self.short_kinds[self.short] = answers.totals(SHORT_CONTEXTS)
+        self.short_state = np.zeros(len(self.keys), dtype=bool)
+        self.short_state[self.short] = answers.flags(SHORT_CONTEXTS, len(self.short))
+
+    def third_requests(self) -> pa.Table:
+        seconds = len(self.second)
+        at = np.full(len(self.long_keys), -1, dtype=np.int64)
+        known = np.concatenate([np.ones(seconds, dtype=bool), self.alive])
+        at[self.long_place[known]] = np.arange(len(self.context_place))
+        some = self.long_first & (self.of_long > 0) & (at >= 0)
+        at, n = at[some], self.of_long[some]
+        context = self.context_place[at]
+        token = np.concatenate([self.second, self.third_alive])[at]
+        two = at < seconds
+        of_context = np.where(two, self.pairs[token - 1], self.twos[token - 1])
+        below = np.where(two, self.pairs[token], self.twos[token])
+        of_suffix = np.where(two, self.count[self.tokens[token - 1]], self.pairs[token - 1])
+        gains = _added(context, _gain(n, of_context, below, of_suffix), len(self.context_keys))
+        kinds = np.bincount(context, minlength=len(self.context_keys))
+        return self.requests(CONTEXTS, self.context_keys, kinds, _signed(gains))
+
+    def scores(self, answers: Answers) -> pa.Table:
+        settings = self.settings
+        kinds, states = answers.totals(CONTEXTS), answers.flags(CONTEXTS, len(self.context_keys))
+        log_total = np.log10(settings.tokens + settings.distinct + 1)
+        base = np.log10(self.count + 1.0) - log_total
+        p = 10 ** base[self.tokens]
+        best = p.copy()
+
+        def level(at: np.ndarray, n: np.ndarray, of_context: np.ndarray, kinds: np.ndarray, states: np.ndarray):
+            own = np.maximum(n - settings.discount, 0) / of_context
+            p[at] = own + settings.discount * kinds / of_context * p[at]
+            best[at[states]] = p[at[states]]
+
+        context = self.tokens[self.after - 1]
+        some = self.count[context] >= settings.least_count
+        at, context = self.after[some], context[some]
+        level(at, self.pairs[at], self.count[context], self.short_kinds[context], self.short_state[context])
+        seconds = len(self.second)
+        for at, n, of_context, place in (
+            (self.second, self.twos[self.second], self.pairs[self.second - 1], self.context_place[:seconds]),
+            (self.third_alive, self.threes, self.twos[self.third_alive - 1], self.context_place[seconds:]),
+        ):
+            level(at, n, of_context, kinds[place], states[place])
+        starts = self.begins[:-1]
+        return pa.table(
+            {
+                "doc_id": pa.array(self.doc_ids, pa.int64()),
+                "held_out": pa.array(self.held),
+                "n_tokens": pa.array(self.n_tokens),
+                "n_known": pa.array(np.add.reduceat((self.count[self.tokens] > 0).astype(np.int64), starts)),
+                "train_tokens": pa.array(np.full(len(starts), settings.tokens), pa.int64()),
+                "base_score": pa.array(np.add.reduceat(base[self.tokens], starts)),
+                "score": pa.array(np.add.reduceat(np.log10(best), starts)),
+            }
+        )
 
 
-@dataclass
-class Level:
-    """Contexts of one length: keys, counts, whether they are states; entries of their next tokens.
+def _gain(n: np.ndarray, of_context, below: np.ndarray, of_suffix) -> np.ndarray:
+    """What a next token adds to the divergence of a context from its suffix, in units."""
+    ratio = np.log(n / of_context) - np.log(below / of_suffix)
+    return np.rint(n * ratio * UNIT).astype(np.int64)
 
-    The key of a context is its oldest symbol times the contexts one level
-    below, plus the place of its suffix there. The key of an entry is the place
-    of its context times the symbols, plus the next symbol.
-    """
 
-    keys: np.ndarray
-    counts: np.ndarray
-    states: np.ndarray
-    entries: np.ndarray
-    entry_counts: np.ndarray
-    logs: np.ndarray | None = None  # of the entries' probabilities
-    left: np.ndarray | None = None  # log of what each context leaves to its suffix
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places in sorted keys, -1 where absent."""
-    if not len(keys):
-        return np.full(len(wanted), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-def _tokens(batch: pa.RecordBatch, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols with ends, how many tokens precede each in its text, and where texts begin."""
-    texts = [np.frombuffer(x, kind) for x in batch.column("symbols").to_pylist()]
-    n = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    offsets = np.concatenate([[0], np.cumsum(n)])
-    out = np.full(offsets[-1], END, dtype=np.int64)
-    inner = np.ones(offsets[-1], dtype=bool)
-    inner[offsets[1:] - 1] = False
-    if len(texts):
-        out[inner] = np.concatenate(texts)
-    before = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
-    return out, before, offsets
-
-
-def _contexts(tokens: np.ndarray, before: np.ndarray, levels: list[Level]) -> Iterator[np.ndarray]:
-    """For each level, the place of each token's context, -1 where it isn't listed."""
-    place = np.zeros(len(tokens), dtype=np.int64)
-    below = 1
-    for k, level in enumerate(levels, start=1):
-        older = np.zeros(len(tokens), dtype=np.int64)
-        older[k:] = tokens[:-k] if k < len(tokens) else 0
-        valid = (before >= k) & (place >= 0)
-        place = np.where(valid, _find(level.keys, older * below + place), -1)
-        below = len(level.keys)
-        yield place
-
-
-def _next_tokens(levels: list[Level], symbols: int, kind: str) -> Callable:
-    """How often each token follows each context of the last level, summed for the task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                tokens, before, _ = _tokens(batch.slice(at, 1000), kind)
-                for place in _contexts(tokens, before, levels):
-                    last = place
-                some = last >= 0
-                found, n = np.unique(last[some] * symbols + tokens[some], return_counts=True)
-                keys, where = np.unique(np.concatenate([keys, found]), return_inverse=True)
-                counts = np.bincount(
-                    where, weights=np.concatenate([counts, n]), minlength=len(keys)
-                ).astype(np.int64)
-                if len(keys) > 2_000_000:
-                    yield pa.record_batch({"key": keys, "n": counts})
-                    keys, counts = keys[:0], counts[:0]
-        yield pa.record_batch({"key": keys, "n": counts})
-
-    return count
-
-
-class SuffixTree:
-    """Levels of contexts over the unigrams, ready to score."""
-
-    def __init__(self, unigrams: Unigrams, levels: list[Level], least_gain: float, discount: float):
-        self.unigrams, self.levels = unigrams, levels
-        self.root = np.log10(unigrams.probabilities())
-        self._fit(least_gain, discount)
-
-    def _fit(self, least_gain: float, discount: float) -> None:
-        symbols = self.unigrams.symbols
-        for k, level in enumerate(self.levels):
-            context, token = level.entries // symbols, level.entries % symbols
-            suffix = self._suffix(k, np.arange(len(level.keys)))
-            below = 10 ** self._log(k, suffix[context], token)
-            own = np.maximum(level.entry_counts - discount, 0) / level.counts[context]
-            taken = np.bincount(context, weights=own, minlength=len(level.keys))
-            left = np.clip(1 - taken, 1e-12, 1)
-            p = own + left[context] * below
-            level.logs, level.left = np.log10(p), np.log10(left)
-            # divergence from the suffix over the entries and over all other tokens together
-            gain = np.bincount(context, weights=p * np.log(p / below), minlength=len(level.keys))
-            rest = 1 - np.bincount(context, weights=p, minlength=len(level.keys))
-            rest_below = 1 - np.bincount(context, weights=below, minlength=len(level.keys))
-            some = (rest > 1e-12) & (rest_below > 1e-12)
-            gain[some] += rest[some] * np.log(rest[some] / rest_below[some])
-            level.states = level.counts * gain >= least_gain
-        # a suffix of a state is a state
-        for k in range(len(self.levels) - 1, 0, -1):
-            states = np.flatnonzero(self.levels[k].states)
-            self.levels[k - 1].states[self._suffix(k, states)] = True
-
-    def _suffix(self, k: int, contexts: np.ndarray) -> np.ndarray:
-        """Places of suffixes one level below; level 0 has the root only."""
-        below = len(self.levels[k - 1].keys) if k else 1
-        return self.levels[k].keys[contexts] % below
-
-    def _log(self, k: int, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Log probabilities of tokens in contexts of ``k`` symbols."""
-        if not k:
-            return self.root[token]
-        level = self.levels[k - 1]
-        at = _find(level.entries, context * self.unigrams.symbols + token)
-        out = np.zeros(len(token))
-        found = at >= 0
-        out[found] = level.logs[at[found]]
-        rest = ~found
-        out[rest] = level.left[context[rest]] + self._log(
-            k - 1, self._suffix(k - 1, context[rest]), token[rest]
+def _added(place: np.ndarray, amounts: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, dtype=np.int64)
+    np.add.at(out, place, amounts)
+    return out
+
+
+# --- ranges of keys ---------------------------------------------------------------
+
+_REQUESTS = "kind int, range long, part long, keys binary, counts binary, gains binary"
+_ANSWERS = "kind int, range long, part long, totals binary, flags binary, different long"
+
+
+def _range(least_gain: float) -> Callable:
+    def add_up(block: pa.Table) -> pa.Table:
+        """The sums over all parts, for each block the parts sent.
+
+        Flags tell for words and pairs whether a part is the first that has them, for
+        contexts whether they are states.
+        """
+        block = block.sort_by("part")
+        keys = [np.cumsum(unpacked(x)) for x in block.column("keys").to_pylist()]
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+        counts = np.concatenate([unpacked(x) for x in block.column("counts").to_pylist()]).astype(np.int64)
+        held, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        totals = _added(place, counts, len(held))
+        if block.column("kind")[0].as_py() in (SHORT_CONTEXTS, CONTEXTS):
+            gains = np.concatenate([_unsigned(unpacked(x)) for x in block.column("gains").to_pylist()])
+            flags = (_added(place, gains, len(held)) >= (least_gain + totals) * UNIT)[place]
+        else:
+            flags = np.zeros(len(place), dtype=bool)
+            flags[first] = True
+        totals, different = totals[place], int((totals > 0).sum())
+        pairs = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        return pa.table(
+            {
+                **{name: block.column(name) for name in ("kind", "range", "part")},
+                "totals": pa.array([packed(totals[a:b]) for a, b in pairs], pa.binary()),
+                "flags": pa.array([np.packbits(flags[a:b]).tobytes() for a, b in pairs], pa.binary()),
+                "different": pa.array([different] + [0] * (len(pairs) - 1), pa.int64()),
+            }
         )
-        return out
-
-    def logs(self, tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Log probability of each token in the longest state that precedes it."""
-        out, depth = self.root[tokens], np.zeros(len(tokens), dtype=np.int64)
-        places = list(_contexts(tokens, before, self.levels))
-        for k, place in enumerate(places, start=1):
-            state = np.flatnonzero(place >= 0)
-            state = state[self.levels[k - 1].states[place[state]]]
-            depth[state] = k
-        for k in range(1, len(places) + 1):
-            own = np.flatnonzero(depth == k)
-            out[own] = self._log(k, places[k - 1][own], tokens[own])
-        return out
-
-
-def _scores(tree: SuffixTree, kind: str) -> Callable:
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+
+    return add_up
+
+
+class Answers:
+    """What the ranges sent back to a part, in order of keys."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows: dict[int, list[tuple]] = {}
+        columns = [rows.column(name).to_pylist() for name in ("kind", "range", "totals", "flags")]
+        for kind, of_range, totals, flags in sorted(zip(*columns)):
+            self.rows.setdefault(kind, []).append((unpacked(totals).astype(np.int64), flags))
+
+    def totals(self, kind: int) -> np.ndarray:
+        held = [totals for totals, _ in self.rows.get(kind, [])]
+        return np.concatenate(held) if held else np.zeros(0, dtype=np.int64)
+
+    def flags(self, kind: int, size: int) -> np.ndarray:
+        held = [
+            np.unpackbits(np.frombuffer(flags, np.uint8), count=len(totals))
+            for totals, flags in self.rows.get(kind, [])
+        ]
+        return np.concatenate(held).astype(bool) if held else np.zeros(size, dtype=bool)
+
+
+def _first(settings: Settings) -> Callable:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                tokens, before, offsets = _tokens(some, kind)
-                sums = _sums(tree.logs(tokens, before), offsets)
-                total = some.column("rare_score").to_numpy() + sums
-                yield pa.record_batch(
-                    [some.column(name) for name in names] + [pa.array(total)], names=[*names, "score"]
-                )
+            for row in batch.to_pylist():
+                yield from Part(row, settings).first_requests().to_batches()
+
+    return ask
+
 
-    return score
+def _round(settings: Settings, number: int) -> Callable:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        part, answers = Part(left.to_pylist()[0], settings), Answers(right)
+        part.learn_pairs(answers)
+        if number == 2:
+            return part.second_requests()
+        part.learn_longer(answers)
+        return part.third_requests() if number == 3 else part.scores(answers)
+
+    return run
+
+
+_SCORES = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+)
 
 
 def suffix_tree_scores(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    depth: int = DEPTH,
-    least_share: float = LEAST_SHARE,
-    least_entry: float = LEAST_ENTRY,
+    least_count: int = LEAST_COUNT,
     least_gain: float = LEAST_GAIN,
     discount: float = DISCOUNT,
 ) -> DataFrame:
@@ -374,102 +443,25 @@ def suffix_tree_scores(
     steps = Steps(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col)
     texts = texts.withColumn("held_out", remainder("doc_id", FOLDS) == HELD_FOLD)
-    coded = steps.keep(texts.mapInArrow(_code, _CODED))
-
-    training = coded.where("lid is null and not held_out").agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    entries = coded.where("lid is not null").select("part", "lid", "word", "n")
-    tokens = training + (entries.agg(F.sum("n").alias("n")).first()["n"] or 0)
-    least = max(2, least_share * tokens)
-    of_word = Window.partitionBy("word")
-    counted = entries.withColumn("count", F.sum("n").over(of_word)).withColumn(
-        "first", F.row_number().over(of_word.orderBy("part")) == 1
-    )
-    counted = steps.keep(
-        counted.select(
-            "part", "lid", "count", F.when(F.col("count") >= least, F.col("word")).alias("word"), "first"
-        )
-    )
-    distinct = counted.where("first and count > 0").count() + int(training > 0)
-    # at most 1 / least_share words
-    frequent = counted.where("first and word is not null").orderBy(F.desc("count"), "word")
-    frequent = frequent.select("word", "count").toArrow()
-    unigrams = Unigrams(
-        tokens,
-        distinct,
-        training,
-        frequent.column("word").to_pylist(),
-        frequent.column("count").to_numpy().astype(np.int64),
-    )
-    kind = "<u2" if unigrams.symbols < 1 << 16 else "<u4"
-
-    both = coded.where("lid is null").select("part", "doc_id", "held_out", "ids", "lid", "word", "n").union(
-        counted.select(
-            "part",
-            F.lit(None).cast("long"),
-            F.lit(None).cast("boolean"),
-            F.lit(None).cast("binary"),
-            "lid",
-            "word",
-            "count",
-        )
-    )
-    symbols = steps.keep(
-        both.repartition("part").sortWithinPartitions("part").mapInArrow(_symbols(unigrams), _SYMBOLS)
-    )
-
-    levels: list[Level] = []
-    learned = symbols.where("not held_out").select("symbols")
-    # the contexts of one symbol: rare words and each frequent one
-    rare = tokens - training - int(unigrams.counts.sum())
-    counts = np.concatenate([[rare], unigrams.counts])
-    keys = np.arange(RARE, unigrams.symbols)
-    for k in range(depth):
-        enough = counts >= least
-        keys, counts = keys[enough], counts[enough]
-        if not len(keys):
-            break
-        level = Level(keys, counts, np.zeros(0), np.zeros(0), np.zeros(0))
-        levels.append(level)
-        follow = learned.mapInArrow(_next_tokens(levels, unigrams.symbols, kind), "key long, n long")
-        follow = follow.groupBy("key").agg(F.sum("n").alias("n"))
-        # at most 1 / least_entry entries
-        found = follow.where(F.col("n") >= max(2, least_entry * tokens)).orderBy("key").toArrow()
-        level.entries = found.column("key").to_numpy().astype(np.int64)
-        level.entry_counts = found.column("n").to_numpy().astype(np.int64)
-        keys, counts = _longer(levels, unigrams.symbols)
-    tree = SuffixTree(unigrams, levels, least_gain, discount)
-    scored = symbols.mapInArrow(
-        _scores(tree, kind),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
-    )
-    return scored.withColumn("train_tokens", F.lit(tokens).cast("long")).select(
-        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
-    )
-
-
-def _longer(levels: list[Level], symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts one symbol longer: a context of the last level and the token after it."""
-    level, k = levels[-1], len(levels)
-    context, token = level.entries // symbols, level.entries % symbols
-    # the context's oldest symbol stays; its suffix with the token is a context of the same length
-    below = len(levels[k - 2].keys) if k > 1 else 1
-    oldest, rest = level.keys[context] // below, level.keys[context] % below
-    if k == 1:
-        suffix = _find(level.keys, token)
-    else:
-        # rest is a context of k - 1 symbols, to which the token is added
-        suffix = _extended(levels, k - 2, rest, token)
-    keys = oldest * len(level.keys) + suffix
-    valid = (token != END) & (suffix >= 0)
-    keys, counts = keys[valid], level.entry_counts[valid]
-    order = np.argsort(keys)
-    return keys[order], counts[order]
-
-
-def _extended(levels: list[Level], k: int, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Places, a level above, of contexts of level ``k`` with a token added at their new end."""
-    below = len(levels[k - 1].keys) if k else 1
-    oldest, rest = levels[k].keys[context] // below, levels[k].keys[context] % below
-    inner = _find(levels[0].keys, token) if not k else _extended(levels, k - 1, rest, token)
-    keys = oldest * len(levels[k].keys) + inner
-    return np.where(inner >= 0, _find(levels[k + 1].keys, keys), -1)
+    tasks = (texts.select(F.spark_partition_id().alias("task")).agg(F.max("task")).first()[0] or 0) + 1
+    buckets = max(tasks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = steps.keep_by(texts.mapInArrow(_code, _PART), "part", min(buckets, MOST_BUCKETS))
+    total = parts.agg(
+        F.sum("training").alias("tokens"), F.sum(F.octet_length("tokens")).alias("bytes")
+    ).first()
+    # a token takes one byte at least, so there are no more tokens than bytes
+    ranges = (total["bytes"] or 0) // RANGE_TOKENS
+    settings = Settings(least_count, least_gain, discount, int(ranges).bit_length(), total["tokens"] or 0)
+
+    def answered(requests: DataFrame) -> DataFrame:
+        return steps.keep(requests.groupBy("kind", "range").applyInArrow(_range(least_gain), _ANSWERS))
+
+    answers = answered(parts.mapInArrow(_first(settings), _REQUESTS))
+    settings.distinct = answers.where(F.col("kind") == WORDS).agg(F.sum("different")).first()[0] or 0
+    for number in (2, 3):
+        both = parts.groupBy("part").cogroup(answers.groupBy("part"))
+        answers = answers.union(answered(both.applyInArrow(_round(settings, number), _REQUESTS)))
+    both = parts.groupBy("part").cogroup(answers.groupBy("part"))
+    scored = steps.keep(both.applyInArrow(_round(settings, 4), _SCORES))
+    steps.drop_earlier()
+    return scored

@@ -1,13 +1,16 @@
 """Suffix-tree scores: base scores by brute force, normalised states, held-out likelihood."""
 
 import math
+import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakemart.llm import suffix_tree
+from lakemart.llm.common import Steps
 from lakemart.llm.suffix_tree import suffix_tree_scores
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -59,27 +62,130 @@ def test_only_held_out_documents(make_docs):
     assert [(row.train_tokens, row.base_score, row.score, row.n_known) for row in found] == [(0, 0, 0, 0)] * 3
 
 
-def test_states_are_distributions_and_follow_the_longest_suffix(make_docs, monkeypatch):
-    """Text with a memory of two words: the tree learns it, and every state sums to one."""
-    trees = []
-
-    class Kept(suffix_tree.SuffixTree):
-        def __init__(self, *args):
-            super().__init__(*args)
-            trees.append(self)
-
-    monkeypatch.setattr(suffix_tree, "SuffixTree", Kept)
+class Tree:
+    """The tree in plain Python: counts by context, states, smoothed probabilities."""
+
+    def __init__(self, texts, least_count, least_gain, discount):
+        self.discount, self.least_count = discount, least_count
+        self.next = defaultdict(Counter)
+        for words in texts:
+            for i, word in enumerate(words):
+                for k in range(min(i, 3) + 1):
+                    self.next[tuple(words[i - k : i])][word] += 1
+        self.total = {context: held.total() for context, held in self.next.items()}
+        self.states = set()
+        for context, held in self.next.items():
+            if context and self.total[context] >= least_count:
+                suffix = context[1:]
+                gain = sum(
+                    n * math.log(n / self.total[context] / (self.next[suffix][w] / self.total[suffix]))
+                    for w, n in held.items()
+                )
+                assert abs(gain - least_gain - len(held)) > len(held) / suffix_tree.UNIT
+                if gain >= least_gain + len(held):
+                    self.states.add(context)
+
+    def p(self, context, word):
+        if not context:
+            return (self.next[()][word] + 1) / (self.total[()] + len(self.next[()]) + 1)
+        held, total = self.next[context], self.total[context]
+        own = max(held[word] - self.discount, 0) / total
+        return own + self.discount * len(held) / total * self.p(context[1:], word)
+
+    def score(self, words):
+        out = 0
+        for i, word in enumerate(words):
+            contexts = [tuple(words[i - k : i]) for k in range(min(i, 3), 0, -1)]
+            out += math.log10(self.p(next((c for c in contexts if c in self.states), ()), word))
+        return out
+
+
+def compare(docs, least_count=4, least_gain=5.0, discount=0.75):
+    rows = [(row.doc_id, row.text) for row in docs.select("doc_id", "text").collect()]
+    texts = [[*(text or "").encode().translate(LOWER).split(), None] for _, text in rows]
+    tree = Tree([t for t, (i, _) in zip(texts, rows) if not held_out(i)], least_count, least_gain, discount)
+    expected = sorted((i is None, i or 0, tree.score(t)) for t, (i, _) in zip(texts, rows))
+    found = check(docs, least_count=least_count, least_gain=least_gain, discount=discount)
+    got = sorted((row.doc_id is None, row.doc_id or 0, row.score) for row in found)
+    for a, b in zip(got, expected, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9, abs=1e-9)
+    return tree, found
+
+
+def test_scores_equal_a_plain_tree(tiny_docs, monkeypatch):
+    """With one part and range, and with many small ones."""
+    docs = tiny_docs[0]
+    tree, _ = compare(docs)
+    assert {len(c) for c in tree.states} == {1, 2, 3}
+    monkeypatch.setattr(suffix_tree, "RANGE_TOKENS", 1 << 12)
+    compare(docs.repartition(5), least_count=2, least_gain=1.5, discount=0.5)
+
+
+def test_small_parts(monkeypatch, tiny_docs, spark):
+    """Parts cut within a task give what one part gives."""
+    batches = [pa.record_batch({
+        "doc_id": pa.array([1, 2, None]), "text": pa.array(["a b", "", "b b c"]), "held_out": pa.array([False, True, False]),
+    })]
+    monkeypatch.setattr(suffix_tree, "PART_BYTES", 8)
+    monkeypatch.setattr(suffix_tree.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 3})())
+    rows = [row for batch in suffix_tree._code(iter(batches)) for row in batch.to_pylist()]
+    assert len(rows) > 1 and len({row["part"] for row in rows}) == len(rows)
+    assert [i for row in rows for i in row["doc_ids"]] == [1, 2, None]
+
+
+def test_states_are_distributions_and_follow_the_longest_suffix(make_docs):
+    """Text with a memory of two words: the tree learns it, and every context sums to one."""
     rows = [(i, "a b c a d e " * 30 + f"rare{i}") for i in range(60)]
-    found = suffix_tree_scores(make_docs(*rows), least_share=1e-3, least_entry=1e-4).collect()
-    (tree,) = trees
-    n = tree.unigrams.symbols
-    for k, level in enumerate(tree.levels, start=1):
-        for context in range(len(level.keys)):
-            p = 10 ** tree._log(k, np.full(n, context), np.arange(n))
-            assert p.sum() == pytest.approx(1) and (p > 0).all()
-    number = {w: i + 2 for i, w in enumerate(tree.unigrams.words)}
+    tree, found = compare(make_docs(*rows))
+    words = list(tree.next[()])
+    for context in tree.states:
+        total = sum(tree.p(context, w) for w in words)
+        unseen = 1 / (tree.total[()] + len(words) + 1)
+        for k in range(len(context)):
+            suffix = context[k:]
+            unseen *= tree.discount * len(tree.next[suffix]) / tree.total[suffix]
+        assert total + unseen == pytest.approx(1)
     # after "c a" comes d, after "e a" b: one word doesn't tell, two do
-    tokens = np.array([number[w] for w in "b c a d".split()])
-    logs = tree.logs(tokens, np.arange(4))
-    assert logs[3] > math.log10(0.9) and tree.levels[1].states.any()
+    assert tree.p((b"c", b"a"), b"d") > 0.9 > tree.p((b"a",), b"d") and (b"c", b"a") in tree.states
     assert all(row.score > row.base_score for row in found)
+
+
+def test_more_text_gives_more_contexts(make_docs):
+    """The least count is absolute: what is learned of a text doesn't wane as others come."""
+    rng = random.Random(1)
+    ids = [i for i in range(3000) if not held_out(i)]
+    held = next(i for i in range(3000) if held_out(i))
+    song = "north wind over cold harbour lights went out"
+    texts = [(i, song) for i in ids[:8]] + [(held, song)]
+    noise = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(60))) for i in ids[8:1500]]
+    alone, among = (
+        next(row for row in suffix_tree_scores(make_docs(*rows)).collect() if row.doc_id == held)
+        for rows in (texts, texts + noise)
+    )
+    assert among.train_tokens > 100 * alone.train_tokens
+    # but for the first word, each is foretold by those before it
+    assert among.score - among.base_score > 20 and among.score > -6
+
+
+def test_blocks_of_numbers():
+    rng = np.random.default_rng(1)
+    for values in ([], [0], [0, 0], [255, 256], rng.integers(0, 2**56, 1000), [2**64 - 1, 0]):
+        values = np.array(values, dtype=np.uint64)
+        assert suffix_tree.unpacked(suffix_tree.packed(values)).tolist() == values.tolist()
+    signed = np.array([0, -1, 5, -(2**40), 2**40], dtype=np.int64)
+    assert suffix_tree._unsigned(suffix_tree._signed(signed)).tolist() == signed.tolist()
+
+
+def test_the_table_of_parts_is_not_moved_again(spark, tiny_docs):
+    """Grouping by part needs no exchange of the bucketed table."""
+    steps = Steps(spark)
+    texts = tiny_docs[0].selectExpr("doc_id", "text", "false AS held_out").repartition(3)
+    parts = steps.keep_by(texts.mapInArrow(suffix_tree._code, suffix_tree._PART), "part", 8)
+    other = spark.range(5).withColumnRenamed("id", "part")
+    both = parts.groupBy("part").cogroup(other.groupBy("part"))
+    plan = both.applyInArrow(lambda a, b: a, parts.schema)._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("FlatMapCoGroups") :]
+    assert left.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in left
+    kept = steps.keep(parts.select("part"))
+    steps.drop_earlier()
+    assert kept.count() == 3 and not spark.catalog.tableExists(steps.tables[0] if steps.tables else parts.columns[0])
