@@ -44,6 +44,17 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def fresh_names(taken: Sequence[str], *wanted: str) -> list[str]:
+    """The wanted column names, made longer until no column has them, in either case."""
+    held, out = {name.lower() for name in taken}, []
+    for name in wanted:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def remainder(id_col: str | Column, divisor: int) -> Column:
     """crc32 of an id as text, modulo ``divisor``; a null id counts as empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col

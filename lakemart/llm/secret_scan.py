@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import chunks, id_and_text, import_on_executors
+from lakemart.llm.common import chunks, fresh_names, id_and_text, import_on_executors
 
 REACH = 200
 PLACEHOLDER = "[redacted]"
@@ -245,10 +245,11 @@ def redact_secrets(
     ``length_col``, if given, becomes the number of characters where the text changed.
     """
     import_on_executors(docs.sparkSession)
-    changed = F.col("_changed")
+    (name,) = fresh_names(docs.columns, "changed")
+    changed = F.col(name)
     columns = {text_col: F.coalesce(changed, docs[text_col].cast("string"))}
     if length_col:
         kind = docs.schema[length_col].dataType
         columns[length_col] = F.coalesce(F.char_length(changed).cast(kind), F.col(length_col))
-    found = docs.withColumn("_changed", changed_by_redaction(docs[text_col], reach))
+    found = docs.withColumn(name, changed_by_redaction(docs[text_col], reach))
     return found.withColumns(columns).select(*docs.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.best_fit import best_fit_packing
-from lakemart.llm.common import table
+from lakemart.llm.common import fresh_names, table
 from lakemart.llm.divergence import drop_low_quality
 from lakemart.llm.ngram_jaccard import first_of_groups, row_key
 from lakemart.llm.secret_scan import redact_secrets
@@ -35,12 +35,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     of their own, and so are rows without an id, which come last in their group.
     A text without words is no duplicate and stays.
     """
-    first = first_of_groups(docs).withColumnRenamed("key", "_first")
+    key, group = fresh_names(docs.columns, "key", "first")
+    first = first_of_groups(docs).withColumnRenamed("key", group)
     worded = F.coalesce(docs["text"].cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    keyed = docs.where(worded).withColumn("_row_key", row_key(docs["doc_id"], docs["text"]))
+    keyed = docs.where(worded).withColumn(key, row_key(docs["doc_id"], docs["text"]))
     # one shuffle by key serves the join and the search for repeated rows
-    kept = keyed.join(first.hint("merge"), F.col("_row_key") == F.col("_first"))
-    return kept.dropDuplicates(["_row_key"]).select(*docs.columns).unionByName(docs.where(~worded))
+    kept = keyed.join(first.hint("merge"), F.col(key) == F.col(group))
+    return kept.dropDuplicates([key]).select(*docs.columns).unionByName(docs.where(~worded))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
