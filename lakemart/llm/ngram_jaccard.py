@@ -5,15 +5,21 @@ at ASCII white space). Texts with one and the same set form a class and travel
 as one row. MinHash values are cut into bands; their number is the least that
 finds a pair at the threshold with the target recall. Classes that share a band
 are compared by all their MinHash values, which leaves plausible pairs; those
-that hang together form candidate groups. In each candidate group every pair is
-verified on the full n-gram sets, so a pair that no band caught is found too if
-it hangs together with others.
+that hang together form candidate groups. In each candidate group all pairs that
+these values leave plausible are verified on the full n-gram sets, so a pair that no band
+caught is found too if it hangs together with others.
 
 Large groups. Buckets and candidate groups of more than ``block`` members are
-cut into blocks, and pairs of blocks go to different tasks. Tasks return edges
+cut into blocks, and pairs of blocks go to different tasks. In such a candidate group MinHash
+values, which are small, tell first which pairs of blocks a member has a plausible
+partner in, and its full set goes to those only: in a chain, where each text is like
+a few others, sets don't meet the rest of the group. Tasks return edges
 of spanning trees and sums of links, never pairs, so rows grow with the members
 and not with their square.
 
+The text of a class is fetched by the id and a hash of the text of one of its rows, so
+rows without an id, or of one id, don't meet each other.
+
 Defined cases. Null text is empty. A text without words has no n-gram and links
 to nothing, not even to another empty text. A text of one to four words has one
 n-gram, all its words. Rows that repeat an id are documents of their own; a
@@ -27,6 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -183,6 +190,69 @@ def _in_blocks(df: DataFrame, key: str, node: str, block: int, steps: Steps) ->
     )
 
 
+#: Blocks of full sets for each block of MinHash values.
+WIDER = 8
+
+
+def _places(candidates: DataFrame, block: int, least: int, steps: Steps) -> DataFrame:
+    """Where full sets go: node with ``places``, its side and pair of blocks in each.
+
+    A candidate group of up to ``block`` members is one block. In a larger one a member
+    goes to the pairs of blocks in which it has a plausible partner.
+    """
+    sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block)
+    sizes = steps.keep(sizes.withColumnRenamed("component", "large"))
+    sided = candidates.select("component", "node", "sketch").join(sizes, F.col("component") == F.col("large"), "left")
+    alone = sided.where("size is null").select(
+        "node", F.lit(0).alias("side"), F.lit(0).alias("bi"), F.lit(0).alias("bj")
+    )
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    large = sided.where("size is not null").withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    wide = F.floor(F.col("side") / WIDER).cast("int")
+    last = F.floor((blocks - 1) / WIDER).cast("int")
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), last))).select(
+        "component", "node", "sketch", "side", F.least(wide, "other").alias("wi"), F.greatest(wide, "other").alias("wj")
+    )
+    partners = _grouped(large, ["component", "wi", "wj"], "node").mapInArrow(
+        _partners(least), "node long, side int, bi int, bj int"
+    )
+    places = alone.union(partners).groupBy("node").agg(F.collect_list(F.struct("side", "bi", "bj")).alias("places"))
+    return steps.keep(places)
+
+
+def _partners(least: int) -> Callable:
+    """For each member the pairs of blocks in which another one is plausibly alike."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in complete_runs(batches, ["component", "wi", "wj"]):
+            nodes, sides = (rows.column(name).to_numpy() for name in ("node", "side"))
+            apart = rows.column("wi").to_numpy() != rows.column("wj").to_numpy()
+            sketches = rows.column("sketch")
+            out: list[np.ndarray] = []
+            for a, b in zip(starts[:-1], starts[1:]):
+                raw = b"".join(sketches.slice(a, b - a).to_pylist())
+                values = np.frombuffer(raw, dtype=np.uint8).reshape(b - a, -1)
+                own = sides[a:b]
+                every = np.arange(b - a)
+                for i in range(b - a):
+                    near = agree(values, i, every) >= least
+                    near[i] = False
+                    if apart[a]:
+                        near &= own // WIDER != own[i] // WIDER
+                    found = np.unique(own[near])
+                    place = np.full((len(found), 4), nodes[a + i])
+                    place[:, 1] = own[i]
+                    place[:, 2], place[:, 3] = np.minimum(found, own[i]), np.maximum(found, own[i])
+                    out.append(place)
+            found = np.concatenate(out) if out else np.zeros((0, 4), dtype=np.int64)
+            yield pa.record_batch(
+                [pa.array(found[:, 0])] + [pa.array(found[:, k], pa.int32()) for k in (1, 2, 3)],
+                names=["node", "side", "bi", "bj"],
+            )
+
+    return find
+
+
 def _grouped(df: DataFrame, keys: list[str], node: str) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, node)
 
@@ -228,8 +298,18 @@ def spanning(n: int, alike: Callable) -> Iterator[tuple[int, int]]:
             rest = rest[~near]
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows with one id and text the first in each chunk, as one is enough."""
+    for batch in chunks(batches):
+        ids = batch.column("doc_id")
+        columns = [ids.is_null().cast(pa.int64()), pc.fill_null(ids, 0), batch.column("t1"), batch.column("t2")]
+        keys = np.stack([column.to_numpy(zero_copy_only=False) for column in columns])
+        _, first = np.unique(keys, axis=1, return_index=True)
+        yield batch.take(pa.array(np.sort(first)))
+
+
 def _texts(n: int) -> Callable:
-    """Full n-gram sets of the candidates; texts of another class with the same id go."""
+    """Full n-gram sets of the candidates; texts of another class go."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -422,20 +502,20 @@ def _members(
         _plausible(least), "a long, b long"
     )
     found = steps.keep(components(plausible, steps))
-    candidates = found.join(classes.select("h1", "h2", "node", "doc_id", "copies"), "node")
+    wanted = F.col("least.key").alias("wanted")
+    candidates = found.join(classes.select("h1", "h2", "node", "copies", "sketch", wanted), "node")
     candidates = steps.keep(candidates)
-    # candidates grow with the documents, so they aren't broadcast even where they are few
-    wanted = texts.join(
-        candidates.withColumnRenamed("doc_id", "_id").hint("merge"),
-        F.col("doc_id").eqNullSafe(F.col("_id")),
+    once = hashed.select("doc_id", "text", "key.t1", "key.t2").mapInArrow(
+        _once, "doc_id long, text string, t1 long, t2 long"
     )
-    sets = wanted.select("component", "node", "copies", "h1", "h2", "text").mapInArrow(
+    # candidates grow with the documents, so they aren't broadcast even where they are few
+    fetched = once.join(candidates.drop("sketch").hint("merge"), key == F.col("wanted"))
+    sets = fetched.select("component", "node", "copies", "h1", "h2", "text").mapInArrow(
         _texts(n), "component long, node long, copies long, grams binary"
     )
-    # block sizes come from the candidates, which are smaller than their sets
-    sides = _in_blocks(candidates.select("component", "node"), "component", "node", block, steps)
-    blocks = sides.groupBy("node").agg(F.collect_list(F.struct("side", "bi", "bj")).alias("places"))
-    placed = sets.join(blocks, "node").select("*", F.inline("places")).drop("places")
+    # where sets go is known from the candidates, which are smaller than their sets
+    places = _places(candidates, block, least, steps)
+    placed = sets.join(places, "node").select("*", F.inline("places")).drop("places")
     verified = steps.keep(
         _grouped(placed, ["component", "bi", "bj"], "node").mapInArrow(
             _verified(threshold), "node long, texts long, documents long, to long"

@@ -85,6 +85,49 @@ def test_a_large_group_in_blocks(make_docs, block):
     check(make_docs(*rows), block=block)
 
 
+def test_a_long_chain(spark, make_docs, monkeypatch):
+    """Twenty thousand texts, each like its neighbours only: sets don't meet the whole group."""
+    n, seen = 20_000, []
+    inner = ngram_jaccard._places
+    monkeypatch.setattr(ngram_jaccard, "_places", lambda *a: seen.append(inner(*a)) or seen[-1])
+    docs = spark.range(n).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(8 * id, 8 * id + 103), x -> concat('w', x))) AS text"
+    )
+    found = {row.doc_id: row for row in ngram_jaccard_join(docs).collect()}
+    # 92 of 108 n-grams in common with the next text, 84 of 116 with the one after that
+    assert len(found) == n and all(row.class_id == 0 for row in found.values())
+    assert all(row.n_links == row.n_text_links == (1 if i in (0, n - 1) else 2) for i, row in found.items())
+    (places,) = seen
+    sent = places.selectExpr("sum(size(places)) AS sent").first()["sent"]
+    # plausible are at most some texts on each side; all blocks would make 80 for each text
+    assert sent <= 10 * n
+
+
+def test_rows_without_an_id(make_docs):
+    """Half of the rows have no id, and many of them one text."""
+    rng, rows = random.Random(3), []
+    for i in range(40):
+        words = prose(80, i).split()
+        rows += [(i, " ".join(words)), (None, " ".join(words[:-1] + ["end"])), (None, " ".join(words))]
+    rows += [(None, prose(60, 50))] * 30 + [(7, prose(60, 50))] * 3
+    rng.shuffle(rows)
+    check(make_docs(*rows))
+
+
+def test_the_plan_fetches_by_row_key(make_docs):
+    """Of rows with one id and text one in each chunk is fetched."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = pa.record_batch({
+        "doc_id": pa.array([None, None, 0, 1, 1, None], pa.int64()), "text": pa.array(list("aabcca")),
+        "t1": pa.array([5, 5, 5, 7, 7, 5]), "t2": pa.array([1, 1, 1, 3, 3, 1]),
+    })
+    (out,) = ngram_jaccard._once(iter([rows]))
+    assert out.column("text").to_pylist() == ["a", "b", "c"] and out.column("doc_id").to_pylist() == [None, 0, 1]
+    assert np.array_equal(out.column("t1").to_numpy(), [5, 5, 7])
+
+
 def test_a_pair_at_the_threshold(make_docs):
     """8 of 10 n-grams in common is enough, 8 of 11 is not."""
     words = [f"w{i}" for i in range(20)]
