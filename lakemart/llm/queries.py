@@ -14,6 +14,7 @@ from lakemart.llm.id_files import id_files_round_trip
 from lakemart.llm.merkle import merkle_audit, without_line_feeds
 from lakemart.llm.multi_index import nearest_by_multi_index
 from lakemart.llm.ngram_jaccard import ngram_jaccard_join
+from lakemart.llm.oracle import ORACLE
 from lakemart.llm.periodic_runs import repeated_tail, run_digests
 from lakemart.llm.prefix_bpe import round_trip_digests
 from lakemart.llm.secret_scan import secret_scan
@@ -107,4 +108,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
