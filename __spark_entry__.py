@@ -209,6 +209,18 @@ def _raw_view(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _raw_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and the sum of the first key, from the views of all raw tables."""
+    views = sources.register_raw_views(spark, _raw_base(spark, folder, *TABLES))
+    of_table = {table: next(v for v in views if v.endswith(f"_{table}")) for table in TABLES}
+    texts = [
+        f"SELECT '{table}' AS table_name, count(*) AS n, "
+        f"sum({SCHEMAS[table].fields[0].name}) AS keys FROM IDENTIFIER(:{table})"
+        for table in TABLES
+    ]
+    return spark.sql(" UNION ALL ".join(texts), args=of_table)
+
+
 def _by_variant(query: Callable[[sources.Sources], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         raw, given = _raw_tables(spark, folder), fixtures.given_tables(spark, folder)
@@ -403,6 +415,7 @@ def queries() -> dict[str, Query]:
         # raw files
         **{f"tbl_scan_{table}": _raw_scan(table) for table in TABLES},
         "tbl_view_orders": _raw_view,
+        "tbl_view_keys": _raw_views,
         "tbl_q3_top10": _on_raw(plans.top_unshipped_orders),
         "tbl_q6_discount_1996": _on_raw(lambda t: plans.promotional_discount(t, **YEAR_1996)),
         "tbl_sales_summary": _on_raw(plans.sales_summary),
@@ -712,6 +725,12 @@ def oracle_sql() -> dict[str, str]:
                    CAST(SUM({_money('o_totalprice')}) AS DOUBLE) AS total
             FROM orders GROUP BY o_orderstatus
         """,
+        "tbl_view_keys": " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, COUNT(*) AS n, "
+            f"CAST(SUM({SCHEMAS[table].fields[0].name}) AS BIGINT) AS keys FROM "
+            + (_PART_SUPPLIERS if table == "partsupp" else table)
+            for table in TABLES
+        ),
         "tbl_q3_top10": _Q3,
         "tbl_q6_discount_1996": _q6(1996),
         "tbl_sales_summary": _MART,
