@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -61,6 +62,9 @@ def remainder(id_col: str | Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Steps:
     """Intermediate tables in a new shared folder; each is written once and reread.
 
@@ -69,35 +73,61 @@ class Steps:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.written = spark, shared_folder(spark), 0
-        self.paths: list[str] = []
+        self.kept: list[tuple[str, DataFrame]] = []
         self.tables: list[str] = []
 
     def _path(self) -> str:
         self.written += 1
-        self.paths.append(f"{self.folder}/step{self.written}")
-        return self.paths[-1]
+        return f"{self.folder}/step{self.written}"
+
+    def _reread(self, path: str, df: DataFrame) -> DataFrame:
+        self.kept.append((path, df))
+        return df
+
+    @contextmanager
+    def _shuffles_removed(self) -> Iterator[None]:
+        """Spark removes the shuffle files of what is written here once it is written."""
+        conf = self.spark.conf
+        before = conf.get(_REMOVE_SHUFFLES, None)
+        conf.set(_REMOVE_SHUFFLES, "true")
+        try:
+            yield
+        finally:
+            if before is None:
+                conf.unset(_REMOVE_SHUFFLES)
+            else:
+                conf.set(_REMOVE_SHUFFLES, before)
 
     def keep(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         path = self._path()
-        df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        with self._shuffles_removed():
+            df.write.option("compression", codec).parquet(path)
+        return self._reread(path, self.spark.read.schema(df.schema).parquet(path))
 
     def keep_by(self, df: DataFrame, column: str, buckets: int, codec: str = "zstd") -> DataFrame:
         """Kept in buckets by a column, so that grouping by it doesn't move the rows again."""
         name = f"lakemart_{self.folder.rpartition('-')[2]}_{self.written + 1}"
-        writer = df.write.option("compression", codec).option("path", self._path())
-        writer.bucketBy(buckets, column).saveAsTable(name, format="parquet")
+        path = self._path()
+        with self._shuffles_removed():
+            writer = df.write.option("compression", codec).option("path", path)
+            writer.bucketBy(buckets, column).saveAsTable(name, format="parquet")
         self.tables.append(name)
-        return self.spark.table(name)
+        return self._reread(path, self.spark.table(name))
+
+    def drop_all_but(self, *needed: DataFrame) -> None:
+        """Removes the steps but those that ``keep`` returned as ``needed``, and all bucketed tables.
 
-    def drop_earlier(self) -> None:
-        """Removes all steps but the last one, which no result may need any more."""
+        What reads other steps must have been written by then.
+        """
         for name in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        for path in self.paths[:-1]:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-        self.paths, self.tables = self.paths[-1:], []
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        for path, df in self.kept:
+            if not any(df is other for other in needed):
+                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(conf).delete(place, True)
+        self.kept = [(path, df) for path, df in self.kept if any(df is other for other in needed)]
+        self.tables = []
 
 
 def chunks(

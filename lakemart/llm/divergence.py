@@ -404,6 +404,7 @@ def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, least_share
     )
     common = frequent_words(steps, texts, least_share)
     measured = steps.keep(texts.mapInArrow(_features(common), _FEATURES))
+    steps.drop_all_but(measured)
     return measured, common, references_of(measured, least_share)
 
 

@@ -8,7 +8,9 @@ that kind, whose last node is the root of the data set.
 
 Method. Superblocks are ``3 ** levels`` consecutive nodes of a source. Upwards, each is reduced
 to its top, tops are grouped into superblocks again, and so on; sources with many
-documents take more rounds, and no group is larger than a superblock. Downwards, the nodes of
+documents take more rounds, and no group is larger than a superblock. Sources smaller than
+that share groups of about its size, so a million sources of one document each don't make a
+million groups. Downwards, the nodes of
 a superblock and the outer nodes that its proofs need (the siblings of its top and of what is
 above, at most two a level) are cogrouped by superblock in one applyInPandas, which reduces
 the block again, joins inner and outer siblings to a proof for each node, and, at the
@@ -26,10 +28,12 @@ order of their hashes. An empty table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import Steps, import_on_executors, remainder
@@ -93,84 +97,123 @@ def fold(node: str, before: Sequence[str], after: Sequence[str]) -> str:
 
 
 _NODE = "key string, position long, n long, node string"
-_PATH = "key string, position long, subroot string, before array<string>, after array<string>"
+_PATH = "key string, position long, n long, subroot string, before array<string>, after array<string>"
+
+
+@dataclass
+class Layer:
+    """Nodes with ``key``, ``position`` and ``n`` of their source; buckets for small sources."""
+
+    nodes: DataFrame
+    buckets: int
+
+
+def _sources(block: pd.DataFrame) -> Iterator[dict[str, list]]:
+    """The nodes of each source in a group, by position."""
+    block = block.sort_values(["key", "position"])
+    keys = block["key"].to_numpy()
+    bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    columns = {name: block[name].tolist() for name in block.columns}
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        yield {name: values[a:b] for name, values in columns.items()}
 
 
 def _top(levels: int) -> Callable:
     size = ARITY**levels
 
     def top(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("position")
-        key, position, n = block["key"].iloc[0], int(block["position"].iloc[0]), int(block["n"].iloc[0])
-        (node,) = heights(block["node"].tolist(), n, levels)[-1]
-        row = {"key": [key], "position": [position // size], "n": [-(-n // size)], "node": [node]}
-        return pd.DataFrame(row)
+        out = []
+        for nodes in _sources(block):
+            n = nodes["n"][0]
+            (node,) = heights(nodes["node"], n, levels)[-1]
+            out.append((nodes["key"][0], nodes["position"][0] // size, -(-n // size), node))
+        return pd.DataFrame(out, columns=["key", "position", "n", "node"])
 
     return top
 
 
-def _block(nodes: DataFrame, levels: int) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("position") / F.lit(ARITY**levels)).cast("long"))
+def _placed(rows: DataFrame, small: Column, block: Column, buckets: int) -> DataFrame:
+    """Rows with their group: a superblock of a source, or a bucket of small sources."""
+    bucket = -1 - F.pmod(F.xxhash64("key"), F.lit(buckets))
+    return rows.withColumns(
+        {
+            "group": F.when(small, F.lit("")).otherwise(F.col("key")),
+            "block": F.when(small, bucket).otherwise(block).cast("long"),
+        }
+    )
 
 
-def _up(steps: Steps, nodes: DataFrame, levels: int) -> list[DataFrame]:
+def _grouped(layer: Layer, columns: Sequence[str], levels: int) -> GroupedData:
+    size = ARITY**levels
+    block = F.floor(F.col("position") / F.lit(size))
+    placed = _placed(layer.nodes.select(*columns), F.col("n") <= size, block, layer.buckets)
+    return placed.groupBy("group", "block")
+
+
+def _up(steps: Steps, nodes: DataFrame, levels: int) -> list[Layer]:
     """The nodes, the tops of their superblocks, and so on until each key has one."""
-    layers = [nodes]
+    layers: list[Layer] = []
     while True:
-        below = _block(layers[-1].select("key", "position", "n", "node"), levels)
-        tops = below.groupBy("key", "block").applyInPandas(_top(levels), _NODE)
-        layers.append(steps.keep(tops))
-        if (layers[-1].agg(F.max("n")).first()[0] or 1) == 1:
+        few = F.count(F.when(F.col("n") <= ARITY**levels, 1))
+        most, small = nodes.agg(F.max("n"), few).first()
+        layers.append(Layer(nodes, small // ARITY**levels + 1))
+        if len(layers) > 1 and (most or 1) == 1:
             return layers
+        tops = _grouped(layers[-1], ["key", "position", "n", "node"], levels)
+        nodes = steps.keep(tops.applyInPandas(_top(levels), _NODE))
+
+
+def _outer(right: pd.DataFrame) -> dict[str, tuple[str | None, list[str], list[str]]]:
+    """For each source the subroot above its nodes, if it is known, and the siblings outside."""
+    rows = zip(right["key"], right["subroot"], right["before"], right["after"])
+    return {key: (subroot, list(before), list(after)) for key, subroot, before, after in rows}
 
 
-def _outer(right: pd.DataFrame) -> tuple[str | None, list[str], list[str]]:
-    """The subroot above a block, if it is known, and the siblings outside the block."""
-    if right.empty:
-        return None, [], []
-    row = right.iloc[0]
-    return row["subroot"], list(row["before"]), list(row["after"])
+_NOTHING: tuple[None, list[str], list[str]] = (None, [], [])
 
 
 def _paths(levels: int, of_subroots: bool) -> Callable:
-    """Proofs of a block's nodes, which are the outer nodes of the blocks below them."""
+    """Proofs of a group's nodes, which are the outer nodes of the blocks below them."""
 
     def paths(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("position")
-        rows = heights(left["node"].tolist(), int(left["n"].iloc[0]), levels)
-        subroot, outer_before, outer_after = _outer(right)
-        out = []
-        for place, (key, position, owner, node) in enumerate(
-            zip(left["key"], left["position"], left["owner"], left["node"])
-        ):
-            before, after = inner_path(rows, place)
-            at = (owner, 0, node) if of_subroots else (key, position, subroot)
-            out.append((*at, before + outer_before, after + outer_after))
-        return pd.DataFrame(out, columns=["key", "position", "subroot", "before", "after"])
+        out, outer = [], _outer(right)
+        for nodes in _sources(left):
+            key, n = nodes["key"][0], nodes["n"][0]
+            rows = heights(nodes["node"], n, levels)
+            subroot, outer_before, outer_after = outer.get(key, _NOTHING)
+            for place, (position, owner, node) in enumerate(zip(nodes["position"], nodes["owner"], nodes["node"])):
+                before, after = inner_path(rows, place)
+                at = (owner, 0, 1, node) if of_subroots else (key, position, n, subroot)
+                out.append((*at, before + outer_before, after + outer_after))
+        return pd.DataFrame(out, columns=["key", "position", "n", "subroot", "before", "after"])
 
     return paths
 
 
 def _leaf_rows(levels: int, root: str, columns: list[str], make: Callable) -> Callable:
     def rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("position")
-        held = heights(left["node"].tolist(), int(left["n"].iloc[0]), levels)
-        subroot, outer_before, outer_after = _outer(right)
-        out = []
-        for place, (doc_id, node, changed) in enumerate(zip(left["doc_id"], left["node"], left["changed"])):
-            before, after = inner_path(held, place)
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
-            out.append((doc_id, node, subroot, root, *make(node, changed, before + outer_before, after + outer_after, root)))
+        out, outer = [], _outer(right)
+        for nodes in _sources(left):
+            held = heights(nodes["node"], nodes["n"][0], levels)
+            subroot, outer_before, outer_after = outer[nodes["key"][0]]
+            for place, (doc_id, node, changed) in enumerate(zip(nodes["doc_id"], nodes["node"], nodes["changed"])):
+                before, after = inner_path(held, place)
+                doc_id = None if pd.isna(doc_id) else int(doc_id)
+                found = make(node, changed, before + outer_before, after + outer_after, root)
+                out.append((doc_id, node, subroot, root, *found))
         frame = pd.DataFrame(out, columns=["doc_id", "leaf", "subroot", "root", *columns])
         return frame.astype({"doc_id": "Int64"})
 
     return rows
 
 
-def _down(layer: DataFrame, outer: DataFrame, levels: int, function: Callable, schema: str) -> DataFrame:
-    left = _block(layer, levels).groupBy("key", "block")
-    right = outer.withColumnRenamed("position", "block").groupBy("key", "block")
-    return left.cogroup(right).applyInPandas(function, schema)
+def _down(
+    layer: Layer, columns: Sequence[str], outer: DataFrame, levels: int, function: Callable, schema: str
+) -> DataFrame:
+    """What a function makes of the nodes of each group and the outer nodes they need."""
+    # a source is small in a layer if one node is left of it in the layer above
+    right = _placed(outer, F.col("n") == 1, F.col("position"), layer.buckets).groupBy("group", "block")
+    return _grouped(layer, columns, levels).cogroup(right).applyInPandas(function, schema)
 
 
 def ranked(steps: Steps, rows: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -221,23 +264,26 @@ def _manifest(
     )
     leaves = steps.keep(ranked(steps, leaves, ["doc_id", "node", "given"]).drop("given"))
     trees = _up(steps, leaves, levels)
-    subroots = trees[-1].select(F.col("key").alias("owner"), F.lit("").alias("key"), "node")
+    subroots = trees[-1].nodes.select(F.col("key").alias("owner"), F.lit("").alias("key"), "node")
     subroots = steps.keep(ranked(steps, subroots, ["owner"]))
     forest = _up(steps, subroots, levels)
-    last = forest[-1].first()
+    last = forest[-1].nodes.first()
     root = last["node"] if last else ""
 
+    columns = ["key", "position", "n", "node", "owner"]
+    above = [Layer(x.nodes.withColumn("owner", F.lit(None).cast("string")), x.buckets) for x in forest[1:-1]]
     outer = docs.sparkSession.createDataFrame([], _PATH)
-    for layer in reversed(forest[1:-1]):
-        layer = layer.withColumn("owner", F.lit(None).cast("string"))
-        outer = steps.keep(_down(layer, outer, levels, _paths(levels, False), _PATH))
-    outer = steps.keep(_down(forest[0], outer, levels, _paths(levels, True), _PATH))
-    for layer in reversed(trees[1:-1]):
-        layer = layer.withColumn("owner", F.lit(None).cast("string"))
-        outer = steps.keep(_down(layer, outer, levels, _paths(levels, False), _PATH))
+    for layer in reversed(above):
+        outer = steps.keep(_down(layer, columns, outer, levels, _paths(levels, False), _PATH))
+    outer = steps.keep(_down(forest[0], columns, outer, levels, _paths(levels, True), _PATH))
+    above = [Layer(x.nodes.withColumn("owner", F.lit(None).cast("string")), x.buckets) for x in trees[1:-1]]
+    for layer in reversed(above):
+        outer = steps.keep(_down(layer, columns, outer, levels, _paths(levels, False), _PATH))
+    steps.drop_all_but(leaves, outer)
     rows = _leaf_rows(levels, root, names, make)
     schema = f"doc_id long, leaf string, subroot string, root string, {schema}"
-    return _down(trees[0], outer, levels, rows, schema)
+    columns = ["key", "position", "n", "node", "doc_id", "changed"]
+    return _down(trees[0], columns, outer, levels, rows, schema)
 
 
 def _proof(node: str, changed: str | None, before: list[str], after: list[str], root: str) -> tuple:

@@ -420,6 +420,7 @@ def ngram_jaccard_join(
             (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
+    steps.drop_all_but(sketches, named)
     return sketches.select("doc_id", "row", "h1", "h2").join(named, ["h1", "h2"], "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id", -1 - F.col("row")).alias("class_id"),
@@ -444,7 +445,8 @@ def first_of_groups(
     The key is that of ``row_key``, of a document with the group's least id; a
     null id comes last.
     """
-    _, members, _ = _members(docs, id_col, text_col, threshold, n, rows, recall, block)
+    _, members, steps = _members(docs, id_col, text_col, threshold, n, rows, recall, block)
+    steps.drop_all_but(members)
     return members.groupBy("component").agg(F.min("least").alias("least")).select("least.key")
 
 

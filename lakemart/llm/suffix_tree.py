@@ -2,28 +2,28 @@
 
 Method. Tokens are the words of a text, A-Z lowered, and one end. The root of the
 tree is the unigram distribution of the training tokens, with one added to each count. A
-context of one to three words that occurs ``least_count`` times in training text is a
-state if its next tokens diverge from those of its suffix: the sum over next tokens of
+context of one to three words that occurs ``least_count`` times in training text is a state if its next tokens diverge from those of its suffix: the sum over next tokens of
 count times log(share after the context / share after its suffix), in nats, must reach
-``least_gain`` plus one for each different next token. Distributions are smoothed by absolute
+``least_gain`` plus one for each different next token (added up in whole 256ths). Distributions are smoothed by absolute
 discounting towards the suffix, so all counts of a context are kept. A token is scored in the
 longest suffix of what precedes it that is a state. The least count is absolute: more
 text gives more contexts, states and counts.
 
 How it runs. Texts are coded once, in parts of about ``PART_BYTES``, one row a part; that table
-is bucketed by part, so that no later step moves it. What the tree holds is spread by key: a
+is bucketed by part, as are the answers below, so that no later step moves them. What the tree holds is spread by key: a
 part asks for the distinct keys it has (words, contexts with a next token, contexts), as
-sorted blocks of 56-bit hashes, a block for each range of keys, together with what it adds
-to them. A task a range adds up what all parts have, and answers each part block by block.
+sorted blocks of hashes, a block for each range of keys, together with what it adds to
+them. A task a range adds up what all parts have, and answers each part block by block.
 Keys are hashes of a whole context and its next token, so a frequent context is spread over
 all ranges. Answers go on to the next round:
 
 1. words, and words with their next token;
-2. contexts of two and three words with their next token, where all that is known of them so
-   far reaches ``least_count``; and for contexts of one word the number of next tokens and
+2. contexts of two and three words with their next token, where what is known of them so
+   far reaches the least count; and for contexts of one word the number of next tokens and
    the divergence, each pair's share of it from the first part that has the pair;
 3. the same for the longer contexts.
 
+Hashes have 64 bits, so at a trillion contexts about one in ten million meets another.
 Then each part scores its texts. Nothing of this passes through the driver but two totals.
 
 Defined cases. Null text is empty and scored as a lone end. Rows that repeat an id
@@ -33,6 +33,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -49,16 +50,14 @@ FOLDS, HELD_FOLD = 7, 2
 LEAST_COUNT = 4
 LEAST_GAIN = 5.0
 DISCOUNT = 0.75
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 #: Tokens of the corpus for each range of keys.
-RANGE_TOKENS = 1 << 21
+RANGE_TOKENS = 1 << 22
 #: Files of a bucketed table; beyond that a task reads several parts, one after another.
 MOST_BUCKETS = 20_000
 #: Divergences are added up as whole numbers of this unit, so that sums don't depend on their order.
-UNIT = 1 << 16
+UNIT = 256
 
-KEY_BITS = 56
-_KEY = np.uint64((1 << KEY_BITS) - 1)
 _END_KEY = np.uint64(0x5BD1E995A7F3C1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -66,7 +65,7 @@ WORDS, PAIRS, LONGER, SHORT_CONTEXTS, CONTEXTS = range(5)
 
 
 def key_of_word(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word) & int(_KEY)
+    return xxhash.xxh3_64_intdigest(word)
 
 
 def extended(context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -74,23 +73,28 @@ def extended(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     x = context * _A + token
     x = (x ^ (x >> np.uint64(30))) * _B
     x = (x ^ (x >> np.uint64(27))) * _C
-    return (x ^ (x >> np.uint64(31))) & _KEY
+    return x ^ (x >> np.uint64(31))
+
+
+_TAIL = struct.Struct("<IB")  # bytes before compression, planes
 
 
 # --- blocks of numbers --------------------------------------------------------
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Whole numbers from 0 on, as planes of bytes; planes of zeros above are left out."""
+    """Whole numbers from 0 on, as planes of bytes, without planes of zeros above, compressed."""
     values = np.ascontiguousarray(values, dtype=np.uint64)
     top = int(values.max()) if len(values) else 0
     width = max(1, (top.bit_length() + 7) // 8)
-    return values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes() + bytes([width])
+    raw = values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return pa.Codec("zstd", 1).compress(raw, asbytes=True) + _TAIL.pack(len(raw), width)
 
 
-def unpacked(raw: bytes) -> np.ndarray:
-    width = raw[-1]
-    planes = np.frombuffer(raw, np.uint8, len(raw) - 1).reshape(width, -1)
+def unpacked(block: bytes) -> np.ndarray:
+    size, width = _TAIL.unpack_from(block, len(block) - _TAIL.size)
+    raw = pa.Codec("zstd").decompress(memoryview(block)[: -_TAIL.size], size, asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
     out[:, :width] = planes.T
     return out.view(np.uint64).ravel()
@@ -107,17 +111,18 @@ def _unsigned(values: np.ndarray) -> np.ndarray:
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different keys in order, and the place among them of each key."""
-    coded = pa.array(keys).dictionary_encode()
-    held = coded.dictionary.to_numpy(zero_copy_only=False)
-    order = np.argsort(held)
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
-    return held[order], place[coded.indices.to_numpy(zero_copy_only=False)]
+    order = np.argsort(keys)
+    held = keys[order]
+    fresh = np.ones(len(held), dtype=bool)
+    fresh[1:] = held[1:] != held[:-1]
+    place = np.empty(len(held), dtype=np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return held[fresh], place
 
 
 # --- parts of the text ----------------------------------------------------------
 
-_PART = "part long, doc_ids array<long>, held binary, words binary, tokens binary, keys binary, training long"
+_PART = "part long, doc_ids array<long>, held binary, words binary, tokens binary, keys binary, size long, training long"
 
 
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,6 +152,7 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "words": pa.array([packed(n)], pa.binary()),
                 "tokens": pa.array([packed(place[tokens])], pa.binary()),
                 "keys": pa.array([packed(np.array(keys, dtype=np.uint64)[order])], pa.binary()),
+                "size": pa.array([len(tokens)], pa.int64()),
                 "training": pa.array([int((n + 1)[~held].sum())], pa.int64()),
             }
         )
@@ -186,11 +192,14 @@ class Part:
 
     def requests(self, kind: int, keys: np.ndarray, *values: np.ndarray) -> pa.Table:
         """Blocks of sorted keys and of what this part adds to them, by range of keys."""
-        shift = np.uint64(KEY_BITS - self.settings.range_bits)
-        of_range = (keys >> shift).astype(np.int64)
+        # in two steps, as a shift by all 64 bits does nothing
+        shift = np.uint64(63 - self.settings.range_bits)
+        of_range = (keys >> np.uint64(1) >> shift).astype(np.int64)
         at = np.flatnonzero(np.diff(of_range, prepend=-1))
         bounds = [*zip(at.tolist(), [*at[1:].tolist(), len(keys)])]
-        blocks = [packed(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in bounds]
+        # a block's first key counts from the first one of its range
+        least = of_range.astype(np.uint64) << shift << np.uint64(1)
+        blocks = [packed(np.diff(keys[a:b], prepend=least[a])) for a, b in bounds]
         amounts = [[packed(v[a:b]) for a, b in bounds] for v in values]
         gains = amounts[1] if len(values) > 1 else [None] * len(bounds)
         arrays = [
@@ -230,7 +239,7 @@ class Part:
         second_keys = np.zeros(len(self.tokens), dtype=np.uint64)
         second_keys[self.second] = extended(keys[self.second - 1], self.token_keys[self.second])
         third = np.zeros(len(self.tokens), dtype=bool)
-        third[1:] = second[:-1] & frequent[:-1] & self.inner[1:]
+        third[2:] = frequent[:-2] & frequent[1:-1] & self.inner[2:]
         self.third = np.flatnonzero(third)
         third_keys = extended(second_keys[self.third - 1], self.token_keys[self.third])
         self.second_context, self.second_keys = keys[self.second - 1], second_keys
@@ -356,6 +365,7 @@ def _range(least_gain: float) -> Callable:
         contexts whether they are states.
         """
         block = block.sort_by("part")
+        # all blocks are of one range, so keys may count from its first one
         keys = [np.cumsum(unpacked(x)) for x in block.column("keys").to_pylist()]
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
         counts = np.concatenate([unpacked(x) for x in block.column("counts").to_pylist()]).astype(np.int64)
@@ -367,7 +377,8 @@ def _range(least_gain: float) -> Callable:
         else:
             flags = np.zeros(len(place), dtype=bool)
             flags[first] = True
-        totals, different = totals[place], int((totals > 0).sum())
+        different = int((totals > 0).sum()) if block.column("kind")[0].as_py() == WORDS else 0
+        totals = totals[place]
         pairs = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
         return pa.table(
             {
@@ -384,11 +395,11 @@ def _range(least_gain: float) -> Callable:
 class Answers:
     """What the ranges sent back to a part, in order of keys."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: list[dict] | None):
         self.rows: dict[int, list[tuple]] = {}
-        columns = [rows.column(name).to_pylist() for name in ("kind", "range", "totals", "flags")]
-        for kind, of_range, totals, flags in sorted(zip(*columns)):
-            self.rows.setdefault(kind, []).append((unpacked(totals).astype(np.int64), flags))
+        for row in sorted(rows or [], key=lambda row: (row["kind"], row["range"])):
+            totals = unpacked(row["totals"]).astype(np.int64)
+            self.rows.setdefault(row["kind"], []).append((totals, row["flags"]))
 
     def totals(self, kind: int) -> np.ndarray:
         held = [totals for totals, _ in self.rows.get(kind, [])]
@@ -402,23 +413,17 @@ class Answers:
         return np.concatenate(held).astype(bool) if held else np.zeros(size, dtype=bool)
 
 
-def _first(settings: Settings) -> Callable:
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from Part(row, settings).first_requests().to_batches()
-
-    return ask
-
-
 def _round(settings: Settings, number: int) -> Callable:
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        part, answers = Part(left.to_pylist()[0], settings), Answers(right)
-        part.learn_pairs(answers)
+    def run(table: pa.Table) -> pa.Table:
+        (row,) = table.to_pylist()
+        part = Part(row, settings)
+        if number == 1:
+            return part.first_requests()
+        part.learn_pairs(Answers(row["answers1"]))
         if number == 2:
             return part.second_requests()
-        part.learn_longer(answers)
-        return part.third_requests() if number == 3 else part.scores(answers)
+        part.learn_longer(Answers(row["answers2"]))
+        return part.third_requests() if number == 3 else part.scores(Answers(row["answers3"]))
 
     return run
 
@@ -445,23 +450,26 @@ def suffix_tree_scores(
     texts = texts.withColumn("held_out", remainder("doc_id", FOLDS) == HELD_FOLD)
     tasks = (texts.select(F.spark_partition_id().alias("task")).agg(F.max("task")).first()[0] or 0) + 1
     buckets = max(tasks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    parts = steps.keep_by(texts.mapInArrow(_code, _PART), "part", min(buckets, MOST_BUCKETS))
-    total = parts.agg(
-        F.sum("training").alias("tokens"), F.sum(F.octet_length("tokens")).alias("bytes")
-    ).first()
-    # a token takes one byte at least, so there are no more tokens than bytes
-    ranges = (total["bytes"] or 0) // RANGE_TOKENS
-    settings = Settings(least_count, least_gain, discount, int(ranges).bit_length(), total["tokens"] or 0)
-
-    def answered(requests: DataFrame) -> DataFrame:
-        return steps.keep(requests.groupBy("kind", "range").applyInArrow(_range(least_gain), _ANSWERS))
-
-    answers = answered(parts.mapInArrow(_first(settings), _REQUESTS))
-    settings.distinct = answers.where(F.col("kind") == WORDS).agg(F.sum("different")).first()[0] or 0
-    for number in (2, 3):
-        both = parts.groupBy("part").cogroup(answers.groupBy("part"))
-        answers = answers.union(answered(both.applyInArrow(_round(settings, number), _REQUESTS)))
-    both = parts.groupBy("part").cogroup(answers.groupBy("part"))
-    scored = steps.keep(both.applyInArrow(_round(settings, 4), _SCORES))
-    steps.drop_earlier()
+    buckets = min(buckets, MOST_BUCKETS)
+    parts = steps.keep_by(texts.mapInArrow(_code, _PART), "part", buckets)
+    total = parts.agg(F.sum("training").alias("training"), F.sum("size").alias("size")).first()
+    training, size = total["training"] or 0, total["size"] or 0
+    ranges = (size // RANGE_TOKENS).bit_length()
+    settings = Settings(least_count, least_gain, discount, ranges, training)
+
+    def run(number: int, schema: str) -> DataFrame:
+        # a row for each part, with all answers so far
+        return parts.groupBy("part").applyInArrow(_round(settings, number), schema)
+
+    for number in (1, 2, 3):
+        sums = run(number, _REQUESTS).groupBy("kind", "range").applyInArrow(_range(least_gain), _ANSWERS)
+        held = F.collect_list(F.struct("kind", "range", "totals", "flags")).alias(f"answers{number}")
+        found = sums.groupBy("part").agg(held, F.sum("different").alias("different"))
+        answers = steps.keep_by(found, "part", buckets)
+        if number == 1:
+            settings.distinct = answers.agg(F.sum("different")).first()[0] or 0
+        # a part of which nothing was asked has no answers
+        parts = parts.join(answers.drop("different").hint("merge"), "part", "left")
+    scored = steps.keep(run(4, _SCORES))
+    steps.drop_all_but(scored)
     return scored

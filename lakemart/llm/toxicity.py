@@ -644,6 +644,7 @@ def _fit(
         # no labelled texts of both kinds to learn from: the classifier repeats the label model
         weights = np.zeros(HASHED + VOTERS + 3)
         weights[HASHED:-3], weights[-1] = model.weights
+    steps.drop_all_but(signals)
     return signals, lexicon, weights
 
 

@@ -98,6 +98,18 @@ def test_many_sources_and_a_hot_one(spark):
     check(frame(spark, rows), levels=2)
 
 
+def test_small_sources_share_groups(spark):
+    """A thousand sources of one or two documents make about as many groups as one source would."""
+    rows = [(i, f"s{i % 700}", "a\nb" * (i % 3)) for i in range(1000)] + [(i, "hot", None) for i in range(60)]
+    docs = frame(spark, rows)
+    check(docs, levels=3)
+    nodes = docs.selectExpr("source AS key", "doc_id AS position", "if(source = 'hot', 60, 2) AS n", "'' AS node")
+    layer = merkle.Layer(nodes, 1000 // 27 + 1)
+    groups = merkle._grouped(layer, ["key", "position", "n", "node"], 3).count().collect()
+    small = [row["count"] for row in groups if row.block < 0]
+    assert len(small) <= 38 and sum(small) == 1000
+
+
 def test_repeated_rows_and_nulls(spark):
     rows = [(7, "a", "t\n")] * 5 + [(7, "a", "u"), (None, "a", None), (None, None, None), (None, None, "x\n")]
     check(frame(spark, rows), levels=1)

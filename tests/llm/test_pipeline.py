@@ -90,6 +90,23 @@ def test_stages_on_odd_documents(spark, odd_docs, small):
     assert left.where("doc_id is null").count() == 2
 
 
+def test_columns_that_helpers_might_use_are_left_alone(spark, make_docs, small):
+    """Names of helper columns, old and new, in either case, as the user's own columns."""
+    secret = "my password = hunter2hunter2 and the rest of a calm text about the sea "
+    rows = [(i, secret + " ".join(f"w{i}x{j}" for j in range(60))) for i in (0, 1, 2, 3, 9, 9)]
+    names = ["changed", "_changed", "KEY", "key_", "First", "_first", "_row_key", "h1", "H2", "_key", "component"]
+    docs = make_docs(*rows).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.selectExpr("*", *[f"concat('{name}', doc_id) AS `{name}`" for name in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns and out.count() > 0
+        for row in out.collect():
+            assert [row[name] for name in names] == [f"{name}{row.doc_id}" for name in names]
+    left = stages.without_secrets(spark, docs, small).collect()
+    assert all("hunter2" not in row.text and row.n_chars == len(row.text) for row in left)
+    assert stages.near_duplicates(spark, docs, small).where("doc_id = 9").count() == 1
+
+
 def test_rows_of_one_id_and_rows_without_id_are_documents_of_their_own(spark, make_docs, small):
     a, b, c, d = (prose(50, seed) for seed in (1, 2, 3, 4))
     docs = make_docs(

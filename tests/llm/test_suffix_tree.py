@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +67,7 @@ class Tree:
     """The tree in plain Python: counts by context, states, smoothed probabilities."""
 
     def __init__(self, texts, least_count, least_gain, discount):
-        self.discount, self.least_count = discount, least_count
+        self.discount = discount
         self.next = defaultdict(Counter)
         for words in texts:
             for i, word in enumerate(words):
@@ -78,11 +79,10 @@ class Tree:
             if context and self.total[context] >= least_count:
                 suffix = context[1:]
                 gain = sum(
-                    n * math.log(n / self.total[context] / (self.next[suffix][w] / self.total[suffix]))
+                    round(256 * n * math.log(n / self.total[context] / (self.next[suffix][w] / self.total[suffix])))
                     for w, n in held.items()
                 )
-                assert abs(gain - least_gain - len(held)) > len(held) / suffix_tree.UNIT
-                if gain >= least_gain + len(held):
+                if gain >= 256 * (least_gain + len(held)):
                     self.states.add(context)
 
     def p(self, context, word):
@@ -103,9 +103,10 @@ class Tree:
 def compare(docs, least_count=4, least_gain=5.0, discount=0.75):
     rows = [(row.doc_id, row.text) for row in docs.select("doc_id", "text").collect()]
     texts = [[*(text or "").encode().translate(LOWER).split(), None] for _, text in rows]
-    tree = Tree([t for t, (i, _) in zip(texts, rows) if not held_out(i)], least_count, least_gain, discount)
+    settings = {"least_count": least_count, "least_gain": least_gain, "discount": discount}
+    tree = Tree([t for t, (i, _) in zip(texts, rows) if not held_out(i)], **settings)
     expected = sorted((i is None, i or 0, tree.score(t)) for t, (i, _) in zip(texts, rows))
-    found = check(docs, least_count=least_count, least_gain=least_gain, discount=discount)
+    found = check(docs, **settings)
     got = sorted((row.doc_id is None, row.doc_id or 0, row.score) for row in found)
     for a, b in zip(got, expected, strict=True):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9, abs=1e-9)
@@ -177,15 +178,18 @@ def test_blocks_of_numbers():
 
 
 def test_the_table_of_parts_is_not_moved_again(spark, tiny_docs):
-    """Grouping by part needs no exchange of the bucketed table."""
+    """Joining by part and grouping by it need no exchange; steps that are dropped are gone."""
     steps = Steps(spark)
     texts = tiny_docs[0].selectExpr("doc_id", "text", "false AS held_out").repartition(3)
     parts = steps.keep_by(texts.mapInArrow(suffix_tree._code, suffix_tree._PART), "part", 8)
-    other = spark.range(5).withColumnRenamed("id", "part")
-    both = parts.groupBy("part").cogroup(other.groupBy("part"))
-    plan = both.applyInArrow(lambda a, b: a, parts.schema)._jdf.queryExecution().executedPlan().toString()
-    left = plan[plan.index("FlatMapCoGroups") :]
-    assert left.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in left
-    kept = steps.keep(parts.select("part"))
-    steps.drop_earlier()
-    assert kept.count() == 3 and not spark.catalog.tableExists(steps.tables[0] if steps.tables else parts.columns[0])
+    answers = steps.keep_by(parts.selectExpr("part", "training AS answer"), "part", 8)
+    both = parts.join(answers.hint("merge"), "part")
+    found = both.groupBy("part").applyInArrow(lambda table: table, both.schema)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    kept, names = steps.keep(found.select("part", "answer")), list(steps.tables)
+    paths = [Path(path) for path, _ in steps.kept]
+    assert all(path.exists() for path in paths)
+    steps.drop_all_but(kept)
+    assert kept.count() == 3 and not any(spark.catalog.tableExists(name) for name in names)
+    assert [path.exists() for path in paths] == [False, False, True]
