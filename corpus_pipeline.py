@@ -34,4 +34,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps, docs = Steps(spark), table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = steps.keep(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        steps.drop_all_but(docs)
+    packed_docs = STAGES[-1][1](spark, docs, sf_dir)
+    # the last stage has written its pieces, which is all that its result reads
+    steps.drop_all_but()
+    return packed_docs
