@@ -2,12 +2,13 @@
 
 Method. Tokens are the words of a text, A-Z lowered, and one end. The root of the
 tree is the unigram distribution of the training tokens, with one added to each count. A
-context of one to three words that occurs ``least_count`` times in training text is a state if its next tokens diverge from those of its suffix: the sum over next tokens of
+context of one to three words that occurs ``least_count`` times in training text is a
+state if its next tokens diverge from those of its suffix: the sum over next tokens of
 count times log(share after the context / share after its suffix), in nats, must reach
-``least_gain`` plus one for each different next token (added up in whole 256ths). Distributions are smoothed by absolute
-discounting towards the suffix, so all counts of a context are kept. A token is scored in the
-longest suffix of what precedes it that is a state. The least count is absolute: more
-text gives more contexts, states and counts.
+``least_gain`` plus one for each different next token (added up in whole 256ths).
+Distributions are smoothed by absolute discounting towards the suffix, so all counts of a
+context are kept. A token is scored in the longest suffix of what precedes it that is a
+state. The least count is absolute: more text gives more contexts, states and counts.
 
 How it runs. Texts are coded once, in parts of about ``PART_BYTES``, one row a part; that table
 is bucketed by part, as are the answers below, so that no later step moves them. What the tree holds is spread by key: a
@@ -23,7 +24,8 @@ all ranges. Answers go on to the next round:
    the divergence, each pair's share of it from the first part that has the pair;
 3. the same for the longer contexts.
 
-Hashes have 64 bits, so at a trillion contexts about one in ten million meets another.
+Hashes of words have 64 bits; those of contexts have ``SPARE_BITS`` more than the number of tokens,
+so about one context in a million meets another, which then have one count, at any size.
 Then each part scores its texts. Nothing of this passes through the driver but two totals.
 
 Defined cases. Null text is empty and scored as a lone end. Rows that repeat an id
@@ -58,6 +60,7 @@ MOST_BUCKETS = 20_000
 #: Divergences are added up as whole numbers of this unit, so that sums don't depend on their order.
 UNIT = 256
 
+SPARE_BITS = 20
 _END_KEY = np.uint64(0x5BD1E995A7F3C1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -68,12 +71,12 @@ def key_of_word(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def extended(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+def extended(context: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
     """The keys of contexts with a token after them, which are also keys of longer contexts."""
     x = context * _A + token
     x = (x ^ (x >> np.uint64(30))) * _B
     x = (x ^ (x >> np.uint64(27))) * _C
-    return x ^ (x >> np.uint64(31))
+    return (x ^ (x >> np.uint64(31))) >> np.uint64(64 - bits)
 
 
 _TAIL = struct.Struct("<IB")  # bytes before compression, planes
@@ -166,6 +169,7 @@ class Settings:
     least_gain: float
     discount: float
     range_bits: int
+    key_bits: int
     tokens: int
     distinct: int = 0
 
@@ -187,18 +191,20 @@ class Part:
         inner[self.begins[:-1]] = False
         self.inner, self.after = inner, np.flatnonzero(inner)
         token_keys = self.keys[self.tokens]
-        self.pair_keys, self.pair_place = distinct(extended(token_keys[self.after - 1], token_keys[self.after]))
+        self.pair_keys, self.pair_place = distinct(
+            extended(token_keys[self.after - 1], token_keys[self.after], settings.key_bits)
+        )
         self.token_keys = token_keys
 
     def requests(self, kind: int, keys: np.ndarray, *values: np.ndarray) -> pa.Table:
         """Blocks of sorted keys and of what this part adds to them, by range of keys."""
-        # in two steps, as a shift by all 64 bits does nothing
-        shift = np.uint64(63 - self.settings.range_bits)
-        of_range = (keys >> np.uint64(1) >> shift).astype(np.int64)
+        bits = 64 if kind in (WORDS, SHORT_CONTEXTS) else self.settings.key_bits
+        shift = np.uint64(bits - self.settings.range_bits)
+        of_range = (keys >> shift).astype(np.int64) if self.settings.range_bits else np.zeros(len(keys), np.int64)
         at = np.flatnonzero(np.diff(of_range, prepend=-1))
         bounds = [*zip(at.tolist(), [*at[1:].tolist(), len(keys)])]
         # a block's first key counts from the first one of its range
-        least = of_range.astype(np.uint64) << shift << np.uint64(1)
+        least = of_range.astype(np.uint64) << shift if self.settings.range_bits else np.zeros(len(keys), np.uint64)
         blocks = [packed(np.diff(keys[a:b], prepend=least[a])) for a, b in bounds]
         amounts = [[packed(v[a:b]) for a, b in bounds] for v in values]
         gains = amounts[1] if len(values) > 1 else [None] * len(bounds)
@@ -237,11 +243,15 @@ class Part:
         second[1:] = frequent[:-1] & self.inner[1:]
         self.second = np.flatnonzero(second)
         second_keys = np.zeros(len(self.tokens), dtype=np.uint64)
-        second_keys[self.second] = extended(keys[self.second - 1], self.token_keys[self.second])
+        second_keys[self.second] = extended(
+            keys[self.second - 1], self.token_keys[self.second], self.settings.key_bits
+        )
         third = np.zeros(len(self.tokens), dtype=bool)
         third[2:] = frequent[:-2] & frequent[1:-1] & self.inner[2:]
         self.third = np.flatnonzero(third)
-        third_keys = extended(second_keys[self.third - 1], self.token_keys[self.third])
+        third_keys = extended(
+            second_keys[self.third - 1], self.token_keys[self.third], self.settings.key_bits
+        )
         self.second_context, self.second_keys = keys[self.second - 1], second_keys
         self.long_keys, self.long_place = distinct(np.concatenate([second_keys[self.second], third_keys]))
         # contexts of one word
@@ -455,7 +465,8 @@ def suffix_tree_scores(
     total = parts.agg(F.sum("training").alias("training"), F.sum("size").alias("size")).first()
     training, size = total["training"] or 0, total["size"] or 0
     ranges = (size // RANGE_TOKENS).bit_length()
-    settings = Settings(least_count, least_gain, discount, ranges, training)
+    key_bits = min(64, size.bit_length() + SPARE_BITS)
+    settings = Settings(least_count, least_gain, discount, ranges, key_bits, training)
 
     def run(number: int, schema: str) -> DataFrame:
         # a row for each part, with all answers so far
