@@ -52,7 +52,7 @@ FOLDS, HELD_FOLD = 7, 2
 LEAST_COUNT = 4
 LEAST_GAIN = 5.0
 DISCOUNT = 0.75
-PART_BYTES = 4 << 20
+PART_BYTES = 3 << 20
 #: Tokens of the corpus for each range of keys.
 RANGE_TOKENS = 1 << 22
 #: Files of a bucketed table; beyond that a task reads several parts, one after another.
