@@ -132,6 +132,11 @@ def test_small_sequences_and_a_length_that_most_share(make_docs):
     check(make_docs(*rows), capacity=16)
 
 
+def test_special_strings_have_the_ids_of_a_plain_call(make_docs):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|startoftext|>b <|endof text|>", "<|endoftext|><|endoftext|>\n"]
+    check(make_docs(*enumerate(texts)))
+
+
 def test_no_documents(no_docs):
     assert best_fit_packing(no_docs, PATH).collect() == []
 

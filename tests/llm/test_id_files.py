@@ -80,6 +80,11 @@ def test_odd_documents(odd_docs):
     check(odd_docs)
 
 
+def test_special_strings_have_the_ids_of_a_plain_call(make_docs):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|startoftext|>b <|endof text|>", "<|endoftext|><|endoftext|>\n"]
+    check(make_docs(*enumerate(texts)))
+
+
 def test_no_documents(no_docs):
     assert id_files_round_trip(no_docs, PATH).collect() == []
 
