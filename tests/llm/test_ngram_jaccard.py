@@ -87,9 +87,14 @@ def test_a_large_group_in_blocks(make_docs, block):
 
 def test_a_long_chain(spark, make_docs, monkeypatch):
     """Twenty thousand texts, each like its neighbours only: sets don't meet the whole group."""
-    n, seen = 20_000, []
-    inner = ngram_jaccard._places
-    monkeypatch.setattr(ngram_jaccard, "_places", lambda *a: seen.append(inner(*a)) or seen[-1])
+    n, seen, inner = 20_000, [], ngram_jaccard._places
+
+    def counted(*args):
+        places = inner(*args)
+        seen.append(places.selectExpr("sum(size(places)) AS sent").first()["sent"])
+        return places
+
+    monkeypatch.setattr(ngram_jaccard, "_places", counted)
     docs = spark.range(n).selectExpr(
         "id AS doc_id", "concat_ws(' ', transform(sequence(8 * id, 8 * id + 103), x -> concat('w', x))) AS text"
     )
@@ -97,8 +102,7 @@ def test_a_long_chain(spark, make_docs, monkeypatch):
     # 92 of 108 n-grams in common with the next text, 84 of 116 with the one after that
     assert len(found) == n and all(row.class_id == 0 for row in found.values())
     assert all(row.n_links == row.n_text_links == (1 if i in (0, n - 1) else 2) for i, row in found.items())
-    (places,) = seen
-    sent = places.selectExpr("sum(size(places)) AS sent").first()["sent"]
+    (sent,) = seen
     # plausible are at most some texts on each side; all blocks would make 80 for each text
     assert sent <= 10 * n
 
