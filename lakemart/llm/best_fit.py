@@ -38,6 +38,8 @@ from lakemart.llm.tokens import Pieces, encoder
 
 CAPACITY = 4096
 END_ID = 1
+#: Bytes of pieces that a worker keeps; little, as packing follows other stages in the same workers.
+KEPT_BYTES = 64 << 20
 
 #: Equal sequences: how many, and what each holds as (length, how often).
 Run = tuple[int, list[tuple[int, int]]]
@@ -191,7 +193,7 @@ def _places(runs: list[Run]) -> pd.DataFrame:
 
 def _pieces(path: str, end_id: int, capacity: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, task = encoder(Pieces, path, "<u4"), TaskContext.get().partitionId()
+        pieces, task = encoder(Pieces, path, "<u4", KEPT_BYTES), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in chunks(batches, PIECE_CHUNK):
