@@ -133,7 +133,11 @@ class Steps:
 def chunks(
     batches: Iterator[pa.RecordBatch], most: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The rows of a task in pieces of about ``most`` bytes, so that memory is bounded."""
+    """The rows of a task in pieces of about ``most`` bytes, so that memory is bounded.
+
+    At the end Arrow gives back what it holds in reserve: a worker outlives its task, and
+    the next one may come long after, in a step that needs the memory elsewhere.
+    """
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -147,6 +151,8 @@ def chunks(
                 held, size = [], 0
     if held:
         yield _merged(held)
+    del held
+    pa.default_memory_pool().release_unused()
 
 
 def _merged(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
