@@ -121,14 +121,18 @@ class Steps:
         """
         for name in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        for path, df in self.kept:
-            if not any(df is other for other in needed):
-                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                place.getFileSystem(conf).delete(place, True)
-        self.kept = [(path, df) for path, df in self.kept if any(df is other for other in needed)]
+        self.drop(*(df for _, df in self.kept if not any(df is other for other in needed)))
         self.tables = []
 
+    def drop(self, *done: DataFrame) -> None:
+        """Removes the files of steps that ``keep`` returned; what reads them must have been written by then."""
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        gone = [path for path, df in self.kept if any(df is other for other in done)]
+        for path in gone:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self.kept = [(path, df) for path, df in self.kept if path not in gone]
+
 
 def chunks(
     batches: Iterator[pa.RecordBatch], most: int = CHUNK_BYTES

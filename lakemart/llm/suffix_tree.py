@@ -18,14 +18,21 @@ them. A task a range adds up what all parts have, and answers each part block by
 Keys are hashes of a whole context and its next token, so a frequent context is spread over
 all ranges. Answers go on to the next round:
 
-1. words, and words with their next token;
-2. contexts of two and three words with their next token, where what is known of them so
+1. words; the parts are written again with the counts and with numbers for the words, which
+   take a third of the room of their hashes;
+2. words with their next token;
+3. contexts of two and three words with their next token, where what is known of them so
    far reaches the least count; and for contexts of one word the number of next tokens and
    the divergence, each pair's share of it from the first part that has the pair;
-3. the same for the longer contexts.
+4. the same for the longer contexts.
+
+What only one part has, held-out texts included, is told so. All that holds it is then only
+there too, so its counts are the part's own and it isn't asked for again. The sums of a round
+are written before they are dealt out, so that what the parts sent is gone by then.
 
 Hashes of words have 64 bits; those of contexts have ``SPARE_BITS`` more than the number of tokens,
-so about one context in a million meets another, which then have one count, at any size.
+so about one context in a million meets another, which then have one count, at any size. Two
+words are told apart by their numbers, if these take no more bits than that.
 Then each part scores its texts. Nothing of this passes through the driver but two totals.
 
 Defined cases. Null text is empty and scored as a lone end. Rows that repeat an id
@@ -38,6 +45,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +69,8 @@ MOST_BUCKETS = 20_000
 UNIT = 256
 
 SPARE_BITS = 20
+#: Rounds after that of the words.
+ROUNDS = 3
 _END_KEY = np.uint64(0x5BD1E995A7F3C1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -79,6 +89,16 @@ def extended(context: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) >> np.uint64(64 - bits)
 
 
+def paired(context: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of two numbers of ``bits`` bits each: spread evenly over twice the bits, and each pair has its own."""
+    half, mask = np.uint64(bits), np.uint64((1 << 2 * bits) - 1)
+    x = context << half | token
+    for factor in (_A, _B, _C):
+        x = x * factor & mask
+        x ^= x >> half
+    return x
+
+
 _TAIL = struct.Struct("<IB")  # bytes before compression, planes
 
 
@@ -141,7 +161,9 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner[ends] = False
         tokens[inner] = coded.indices.to_numpy(zero_copy_only=False) + 1
         keys = [int(_END_KEY), *map(key_of_word, coded.dictionary.to_pylist())]
-        order = np.argsort(-np.bincount(tokens, minlength=len(keys)), kind="stable")
+        keys = np.array(keys, dtype=np.uint64)
+        # words as frequent are in order of keys, which take less room then
+        order = np.lexsort((keys, -np.bincount(tokens, minlength=len(keys))))
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         held = batch.column("held_out").to_numpy(zero_copy_only=False)
@@ -154,7 +176,7 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "held": pa.array([packed(held)], pa.binary()),
                 "words": pa.array([packed(n)], pa.binary()),
                 "tokens": pa.array([packed(place[tokens])], pa.binary()),
-                "keys": pa.array([packed(np.array(keys, dtype=np.uint64)[order])], pa.binary()),
+                "keys": pa.array([packed(keys[order])], pa.binary()),
                 "size": pa.array([len(tokens)], pa.int64()),
                 "training": pa.array([int((n + 1)[~held].sum())], pa.int64()),
             }
@@ -172,66 +194,72 @@ class Settings:
     key_bits: int
     tokens: int
     distinct: int = 0
+    word_bits: int = 64
+
+    @property
+    def pair_bits(self) -> int:
+        return min(2 * self.word_bits, self.key_bits)
+
+    def bits(self, kind: int) -> int:
+        return {WORDS: 64, PAIRS: self.pair_bits, SHORT_CONTEXTS: self.word_bits}.get(kind, self.key_bits)
+
+
+def requests(settings: Settings, part: int, kind: int, keys: np.ndarray, *values: np.ndarray) -> pa.Table:
+    """Blocks of sorted keys and of what a part adds to them, by range of keys."""
+    shift = np.uint64(max(settings.bits(kind) - settings.range_bits, 0))
+    of_range = (keys >> shift).astype(np.int64) if settings.range_bits else np.zeros(len(keys), np.int64)
+    at = np.flatnonzero(np.diff(of_range, prepend=-1))
+    bounds = [*zip(at.tolist(), [*at[1:].tolist(), len(keys)])]
+    # a block's first key counts from the first one of its range
+    least = of_range.astype(np.uint64) << shift if settings.range_bits else np.zeros(len(keys), np.uint64)
+    blocks = [packed(np.diff(keys[a:b], prepend=least[a])) for a, b in bounds]
+    amounts = [[packed(v[a:b]) for a, b in bounds] for v in values]
+    gains = amounts[1] if len(values) > 1 else [None] * len(bounds)
+    arrays = [
+        pa.array([kind] * len(bounds), pa.int32()),
+        pa.array(of_range[at]),
+        pa.array([part] * len(bounds), pa.int64()),
+        *(pa.array(x, pa.binary()) for x in (blocks, amounts[0], gains)),
+    ]
+    return pa.table(arrays, names=["kind", "range", "part", "keys", "counts", "gains"])
 
 
 class Part:
-    """A part of the text with what is known of its words and contexts so far."""
+    """A part of the text, its words numbered and counted, with what is known of contexts so far."""
 
     def __init__(self, row: dict, settings: Settings):
-        self.number, self.doc_ids, self.settings = row["part"], row["doc_ids"], settings
+        self.doc_ids, self.settings = row["doc_ids"], settings
+        self.requests = partial(requests, settings, row["part"])
         self.n_tokens = unpacked(row["words"]).astype(np.int64) + 1
         self.held = unpacked(row["held"]).astype(bool)[: len(self.n_tokens)]
         self.tokens = unpacked(row["tokens"]).astype(np.int64)
-        self.keys = unpacked(row["keys"])
+        self.keys, self.count = unpacked(row["keys"]), unpacked(row["counts"]).astype(np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.n_tokens)])
         self.counted = np.repeat(~self.held, self.n_tokens)
-        self.word_keys, self.word_place = np.unique(self.keys, return_inverse=True)
         # tokens that come after a word of their text, and contexts of one word with a next token
         inner = np.ones(len(self.tokens), dtype=bool)
         inner[self.begins[:-1]] = False
         self.inner, self.after = inner, np.flatnonzero(inner)
-        token_keys = self.keys[self.tokens]
-        self.pair_keys, self.pair_place = distinct(
-            extended(token_keys[self.after - 1], token_keys[self.after], settings.key_bits)
-        )
-        self.token_keys = token_keys
-
-    def requests(self, kind: int, keys: np.ndarray, *values: np.ndarray) -> pa.Table:
-        """Blocks of sorted keys and of what this part adds to them, by range of keys."""
-        bits = 64 if kind in (WORDS, SHORT_CONTEXTS) else self.settings.key_bits
-        shift = np.uint64(bits - self.settings.range_bits)
-        of_range = (keys >> shift).astype(np.int64) if self.settings.range_bits else np.zeros(len(keys), np.int64)
-        at = np.flatnonzero(np.diff(of_range, prepend=-1))
-        bounds = [*zip(at.tolist(), [*at[1:].tolist(), len(keys)])]
-        # a block's first key counts from the first one of its range
-        least = of_range.astype(np.uint64) << shift if self.settings.range_bits else np.zeros(len(keys), np.uint64)
-        blocks = [packed(np.diff(keys[a:b], prepend=least[a])) for a, b in bounds]
-        amounts = [[packed(v[a:b]) for a, b in bounds] for v in values]
-        gains = amounts[1] if len(values) > 1 else [None] * len(bounds)
-        arrays = [
-            pa.array([kind] * len(bounds), pa.int32()),
-            pa.array(of_range[at]),
-            pa.array([self.number] * len(bounds), pa.int64()),
-            *(pa.array(x, pa.binary()) for x in (blocks, amounts[0], gains)),
-        ]
-        return pa.table(arrays, names=["kind", "range", "part", "keys", "counts", "gains"])
+        self.token_keys = self.keys[self.tokens]
+        context, token = self.token_keys[self.after - 1], self.token_keys[self.after]
+        self.spare = np.uint64(settings.key_bits - settings.pair_bits)
+        if settings.pair_bits == 2 * settings.word_bits:
+            keys = paired(context, token, settings.word_bits) << self.spare
+        else:
+            keys = extended(context, token, settings.key_bits)
+        self.pair_keys, self.pair_place = distinct(keys)
+        self.pairs_here = self._summed(self.pair_place, self.counted[self.after], len(self.pair_keys))
 
     def _summed(self, place: np.ndarray, amounts: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(place, weights=amounts, minlength=size).astype(np.int64)
 
     def first_requests(self) -> pa.Table:
-        counts = np.bincount(self.tokens[self.counted], minlength=len(self.keys))
-        words = self._summed(self.word_place, counts, len(self.word_keys))
-        pairs = self._summed(self.pair_place, self.counted[self.after], len(self.pair_keys))
-        return pa.concat_tables(
-            [self.requests(WORDS, self.word_keys, words), self.requests(PAIRS, self.pair_keys, pairs)]
-        )
+        return self.requests(PAIRS, self.pair_keys >> self.spare, self.pairs_here)
 
     def learn_pairs(self, answers: Answers) -> None:
-        """Takes counts of words and pairs; finds the longer contexts that may be frequent enough."""
+        """Takes counts of pairs; finds the longer contexts that may be frequent enough."""
         least = self.settings.least_count
-        self.count = answers.totals(WORDS)[self.word_place]
-        of_pair, self.pair_first = answers.totals(PAIRS), answers.flags(PAIRS, len(self.pair_keys))
+        of_pair, self.pair_first, lone = answers.sums(PAIRS, self.pairs_here)
         self.of_pair = of_pair
         self.pairs = np.zeros(len(self.tokens), dtype=np.int64)
         self.pairs[self.after] = of_pair[self.pair_place]
@@ -254,13 +282,23 @@ class Part:
         )
         self.second_context, self.second_keys = keys[self.second - 1], second_keys
         self.long_keys, self.long_place = distinct(np.concatenate([second_keys[self.second], third_keys]))
+        both = np.concatenate([self.second, self.third])
+        self.long_here = self._summed(self.long_place, self.counted[both], len(self.long_keys))
+        # with a pair that no other part has, no other part has the longer context either
+        lone_pairs = np.zeros(len(self.tokens), dtype=bool)
+        lone_pairs[self.after] = lone[self.pair_place]
+        lone_two = lone_pairs.copy()
+        lone_two[1:] |= lone_pairs[:-1]
+        lone_three = lone_two[self.third] | lone_two[self.third - 1]
+        self.asked = np.ones(len(self.long_keys), dtype=bool)
+        self.asked[self.long_place[np.concatenate([lone_two[self.second], lone_three])]] = False
         # contexts of one word
-        self.short = np.flatnonzero((self.count >= least) & (self.keys != _END_KEY))
+        worded = np.ones(len(self.keys), dtype=bool)
+        worded[self.tokens[self.begins[1:] - 1]] = False
+        self.short = np.flatnonzero((self.count >= least) & worded)
         self.short = self.short[np.argsort(self.keys[self.short])]
 
     def second_requests(self) -> pa.Table:
-        both = np.concatenate([self.second, self.third])
-        longer = self._summed(self.long_place, self.counted[both], len(self.long_keys))
         # each pair adds to its context once, from the first part that has it
         at = np.zeros(len(self.pair_keys), dtype=np.int64)
         at[self.pair_place] = self.after
@@ -272,15 +310,17 @@ class Part:
         gains = _added(context, gain, len(self.keys))[self.short]
         return pa.concat_tables(
             [
-                self.requests(LONGER, self.long_keys, longer),
+                self.requests(LONGER, self.long_keys[self.asked], self.long_here[self.asked]),
                 self.requests(SHORT_CONTEXTS, self.keys[self.short], kinds, _signed(gains)),
             ]
         )
 
     def learn_longer(self, answers: Answers) -> None:
         """Takes counts of longer contexts with next tokens, and the states of one word."""
-        of_long = answers.totals(LONGER)
-        self.long_first, self.of_long = answers.flags(LONGER, len(self.long_keys)), of_long
+        self.of_long, self.long_first = self.long_here.copy(), ~self.asked
+        found = answers.sums(LONGER, self.long_here[self.asked])
+        self.of_long[self.asked], self.long_first[self.asked] = found[:2]
+        of_long = self.of_long
         seconds = len(self.second)
         self.twos = np.zeros(len(self.tokens), dtype=np.int64)
         self.twos[self.second] = of_long[self.long_place[:seconds]]
@@ -291,9 +331,8 @@ class Part:
             np.concatenate([self.second_context, self.second_keys[self.third_alive - 1]])
         )
         self.short_kinds = np.zeros(len(self.keys), dtype=np.int64)
-        self.short_kinds[self.short] = answers.totals(SHORT_CONTEXTS)
         self.short_state = np.zeros(len(self.keys), dtype=bool)
-        self.short_state[self.short] = answers.flags(SHORT_CONTEXTS, len(self.short))
+        self.short_kinds[self.short], self.short_state[self.short] = answers.found(SHORT_CONTEXTS)
 
     def third_requests(self) -> pa.Table:
         seconds = len(self.second)
@@ -314,7 +353,7 @@ class Part:
 
     def scores(self, answers: Answers) -> pa.Table:
         settings = self.settings
-        kinds, states = answers.totals(CONTEXTS), answers.flags(CONTEXTS, len(self.context_keys))
+        kinds, states = answers.found(CONTEXTS)
         log_total = np.log10(settings.tokens + settings.distinct + 1)
         base = np.log10(self.count + 1.0) - log_total
         p = 10 ** base[self.tokens]
@@ -364,38 +403,93 @@ def _added(place: np.ndarray, amounts: np.ndarray, size: int) -> np.ndarray:
 # --- ranges of keys ---------------------------------------------------------------
 
 _REQUESTS = "kind int, range long, part long, keys binary, counts binary, gains binary"
-_ANSWERS = "kind int, range long, part long, totals binary, flags binary, different long"
+_ANSWERS = "kind int, range long, part long, totals binary, flags binary"
+_NUMBERS = "range long, part long, counts binary, places binary, words long, different long"
+_NUMBERED = "part long, doc_ids array<long>, held binary, words binary, tokens binary, keys binary, counts binary"
+
+
+def _ask_words(settings: Settings) -> Callable:
+    def ask(table: pa.Table) -> pa.Table:
+        (row,) = table.to_pylist()
+        n, keys = unpacked(row["words"]).astype(np.int64) + 1, unpacked(row["keys"])
+        counted = np.repeat(unpacked(row["held"])[: len(n)] == 0, n)
+        counts = np.bincount(unpacked(row["tokens"]).astype(np.int64)[counted], minlength=len(keys))
+        order = np.argsort(keys)
+        return requests(settings, row["part"], WORDS, keys[order], counts[order])
+
+    return ask
+
+
+def _add_words(block: pa.Table) -> pa.Table:
+    """The counts of words over all parts, and their places among the words of the range."""
+    keys = [np.cumsum(unpacked(x)) for x in block.column("keys").to_pylist()]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+    counts = np.concatenate([unpacked(x) for x in block.column("counts").to_pylist()]).astype(np.int64)
+    held, place = np.unique(np.concatenate(keys), return_inverse=True)
+    totals = _added(place, counts, len(held))
+    pairs = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+    rest = [0] * (len(pairs) - 1)
+    return pa.table(
+        {
+            **{name: block.column(name) for name in ("range", "part")},
+            "counts": pa.array([packed(totals[place[a:b]]) for a, b in pairs], pa.binary()),
+            "places": pa.array([packed(np.diff(place[a:b], prepend=0)) for a, b in pairs], pa.binary()),
+            "words": pa.array([len(held), *rest], pa.int64()),
+            "different": pa.array([int((totals > 0).sum()), *rest], pa.int64()),
+        }
+    )
+
+
+def _number(range_bits: int) -> Callable:
+    def number(table: pa.Table) -> pa.Table:
+        """A part with the numbers of its words instead of their keys, and their counts."""
+        (row,) = table.to_pylist()
+        order = np.argsort(unpacked(row["keys"]))
+        found = sorted(row["numbers"], key=lambda x: x["range"])
+        numbers, counts = np.zeros((2, len(order)), dtype=np.uint64)
+        numbers[order] = np.concatenate(
+            [np.cumsum(unpacked(x["places"])) << np.uint64(range_bits) | np.uint64(x["range"]) for x in found]
+        )
+        counts[order] = np.concatenate([unpacked(x["counts"]) for x in found])
+        schema = table.select(["part", "doc_ids", "held", "words", "tokens"])
+        return schema.append_column("keys", pa.array([packed(numbers)], pa.binary())).append_column(
+            "counts", pa.array([packed(counts)], pa.binary())
+        )
+
+    return number
 
 
 def _range(least_gain: float) -> Callable:
     def add_up(block: pa.Table) -> pa.Table:
         """The sums over all parts, for each block the parts sent.
 
-        Flags tell for words and pairs whether a part is the first that has them, for
-        contexts whether they are states.
+        Of contexts a part gets the sum and whether they are states. Of all else it gets 0 if no
+        other part has it, or else 1 and what the others have of it, and whether it is the first
+        of them.
         """
         block = block.sort_by("part")
+        kind = block.column("kind")[0].as_py()
         # all blocks are of one range, so keys may count from its first one
         keys = [np.cumsum(unpacked(x)) for x in block.column("keys").to_pylist()]
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
         counts = np.concatenate([unpacked(x) for x in block.column("counts").to_pylist()]).astype(np.int64)
         held, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         totals = _added(place, counts, len(held))
-        if block.column("kind")[0].as_py() in (SHORT_CONTEXTS, CONTEXTS):
+        if kind in (SHORT_CONTEXTS, CONTEXTS):
             gains = np.concatenate([_unsigned(unpacked(x)) for x in block.column("gains").to_pylist()])
             flags = (_added(place, gains, len(held)) >= (least_gain + totals) * UNIT)[place]
+            sums = totals[place]
         else:
+            several = np.bincount(place, minlength=len(held)) > 1
             flags = np.zeros(len(place), dtype=bool)
-            flags[first] = True
-        different = int((totals > 0).sum()) if block.column("kind")[0].as_py() == WORDS else 0
-        totals = totals[place]
+            flags[first[several]] = True
+            sums = np.where(several[place], totals[place] - counts + 1, 0)
         pairs = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
         return pa.table(
             {
                 **{name: block.column(name) for name in ("kind", "range", "part")},
-                "totals": pa.array([packed(totals[a:b]) for a, b in pairs], pa.binary()),
-                "flags": pa.array([np.packbits(flags[a:b]).tobytes() for a, b in pairs], pa.binary()),
-                "different": pa.array([different] + [0] * (len(pairs) - 1), pa.int64()),
+                "totals": pa.array([packed(sums[a:b]) for a, b in pairs], pa.binary()),
+                "flags": pa.array([packed(np.packbits(flags[a:b])) for a, b in pairs], pa.binary()),
             }
         )
 
@@ -411,29 +505,30 @@ class Answers:
             totals = unpacked(row["totals"]).astype(np.int64)
             self.rows.setdefault(row["kind"], []).append((totals, row["flags"]))
 
-    def totals(self, kind: int) -> np.ndarray:
-        held = [totals for totals, _ in self.rows.get(kind, [])]
-        return np.concatenate(held) if held else np.zeros(0, dtype=np.int64)
+    def found(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers and flags of all keys asked for."""
+        held = self.rows.get(kind, [])
+        if not held:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+        flags = [np.unpackbits(unpacked(flags).astype(np.uint8), count=len(totals)) for totals, flags in held]
+        return np.concatenate([totals for totals, _ in held]), np.concatenate(flags).astype(bool)
 
-    def flags(self, kind: int, size: int) -> np.ndarray:
-        held = [
-            np.unpackbits(np.frombuffer(flags, np.uint8), count=len(totals))
-            for totals, flags in self.rows.get(kind, [])
-        ]
-        return np.concatenate(held).astype(bool) if held else np.zeros(size, dtype=bool)
+    def sums(self, kind: int, here: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts over all parts, given the part's own; whether it is the first to have a key, and the only one."""
+        others, first = self.found(kind)
+        lone = others == 0
+        return here + np.maximum(others - 1, 0), first | lone, lone
 
 
 def _round(settings: Settings, number: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         (row,) = table.to_pylist()
         part = Part(row, settings)
-        if number == 1:
-            return part.first_requests()
-        part.learn_pairs(Answers(row["answers1"]))
-        if number == 2:
-            return part.second_requests()
-        part.learn_longer(Answers(row["answers2"]))
-        return part.third_requests() if number == 3 else part.scores(Answers(row["answers3"]))
+        ask = (part.first_requests, part.second_requests, part.third_requests)
+        learn = (part.learn_pairs, part.learn_longer)
+        for k, take in enumerate(learn[: number - 1], 1):
+            take(Answers(row[f"answers{k}"]))
+        return ask[number - 1]() if number <= ROUNDS else part.scores(Answers(row[f"answers{ROUNDS}"]))
 
     return run
 
@@ -468,19 +563,33 @@ def suffix_tree_scores(
     key_bits = min(64, size.bit_length() + SPARE_BITS)
     settings = Settings(least_count, least_gain, discount, ranges, key_bits, training)
 
+    def dealt(sums: DataFrame, name: str, *columns: str) -> DataFrame:
+        """Answers by part. The sums are written first: the shuffle files of the requests go before these come."""
+        sums = steps.keep(sums)
+        held = F.collect_list(F.struct(*columns)).alias(name)
+        answers = steps.keep_by(sums.groupBy("part").agg(held), "part", buckets)
+        if name == "numbers":
+            most, settings.distinct = sums.agg(F.max("words"), F.sum("different")).first()
+            settings.word_bits = ranges + max((most or 0) - 1, 1).bit_length()
+            settings.distinct = settings.distinct or 0
+        steps.drop(sums)
+        return answers
+
+    asked = parts.groupBy("part").applyInArrow(_ask_words(settings), _REQUESTS)
+    numbers = dealt(asked.groupBy("range").applyInArrow(_add_words, _NUMBERS), "numbers", "range", "counts", "places")
+    numbered = parts.join(numbers.hint("merge"), "part").groupBy("part").applyInArrow(_number(ranges), _NUMBERED)
+    coded, parts = parts, steps.keep_by(numbered, "part", buckets)
+    steps.drop(coded, numbers)
+
     def run(number: int, schema: str) -> DataFrame:
         # a row for each part, with all answers so far
         return parts.groupBy("part").applyInArrow(_round(settings, number), schema)
 
-    for number in (1, 2, 3):
+    for number in range(1, ROUNDS + 1):
         sums = run(number, _REQUESTS).groupBy("kind", "range").applyInArrow(_range(least_gain), _ANSWERS)
-        held = F.collect_list(F.struct("kind", "range", "totals", "flags")).alias(f"answers{number}")
-        found = sums.groupBy("part").agg(held, F.sum("different").alias("different"))
-        answers = steps.keep_by(found, "part", buckets)
-        if number == 1:
-            settings.distinct = answers.agg(F.sum("different")).first()[0] or 0
+        answers = dealt(sums, f"answers{number}", "kind", "range", "totals", "flags")
         # a part of which nothing was asked has no answers
-        parts = parts.join(answers.drop("different").hint("merge"), "part", "left")
-    scored = steps.keep(run(4, _SCORES))
+        parts = parts.join(answers.hint("merge"), "part", "left")
+    scored = steps.keep(run(ROUNDS + 1, _SCORES))
     steps.drop_all_but(scored)
     return scored
