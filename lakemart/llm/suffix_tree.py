@@ -21,10 +21,11 @@ all ranges. Answers go on to the next round:
 1. words; the parts are written again with the counts and with numbers for the words, which
    take a third of the room of their hashes;
 2. words with their next token;
-3. contexts of two and three words with their next token, where what is known of them so
-   far reaches the least count; and for contexts of one word the number of next tokens and
-   the divergence, each pair's share of it from the first part that has the pair;
-4. the same for the longer contexts.
+3. contexts of two words, which occur ``least_count`` times, with their next token; and for contexts
+   of one word the number of next tokens and the divergence, each pair's share of it from the first
+   part that has the pair;
+4. the same for contexts of three words with their next token, and for contexts of two;
+5. the same for contexts of three words.
 
 What only one part has, held-out texts included, is told so. All that holds it is then only
 there too, so its counts are the part's own and it isn't asked for again. The sums of a round
@@ -70,11 +71,11 @@ UNIT = 256
 
 SPARE_BITS = 20
 #: Rounds after that of the words.
-ROUNDS = 3
+ROUNDS = 4
 _END_KEY = np.uint64(0x5BD1E995A7F3C1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
-WORDS, PAIRS, LONGER, SHORT_CONTEXTS, CONTEXTS = range(5)
+WORDS, PAIRS, TRIPLES, QUADS, SHORT_CONTEXTS, PAIR_CONTEXTS, TRIPLE_CONTEXTS = range(7)
 
 
 def key_of_word(word: str) -> int:
@@ -99,27 +100,36 @@ def paired(context: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
     return x
 
 
-_TAIL = struct.Struct("<IB")  # bytes before compression, planes
+_TAIL = struct.Struct("<IIB")  # numbers, bytes of the highest plane, planes
 
 
 # --- blocks of numbers --------------------------------------------------------
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Whole numbers from 0 on, as planes of bytes, without planes of zeros above, compressed."""
+    """Whole numbers from 0 on, as planes of bytes, without planes of zeros above.
+
+    The highest plane is compressed by itself: below it, those of a short block are mostly noise.
+    """
     values = np.ascontiguousarray(values, dtype=np.uint64)
     top = int(values.max()) if len(values) else 0
     width = max(1, (top.bit_length() + 7) // 8)
-    raw = values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-    return pa.Codec("zstd", 1).compress(raw, asbytes=True) + _TAIL.pack(len(raw), width)
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
+    codec = pa.Codec("zstd", 1)
+    high = codec.compress(planes[-1].tobytes(), asbytes=True)
+    low = codec.compress(planes[:-1].tobytes(), asbytes=True) if width > 1 else b""
+    return low + high + _TAIL.pack(len(values), len(high), width)
 
 
 def unpacked(block: bytes) -> np.ndarray:
-    size, width = _TAIL.unpack_from(block, len(block) - _TAIL.size)
-    raw = pa.Codec("zstd").decompress(memoryview(block)[: -_TAIL.size], size, asbytes=True)
-    planes = np.frombuffer(raw, np.uint8).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
-    out[:, :width] = planes.T
+    size, high, width = _TAIL.unpack_from(block, len(block) - _TAIL.size)
+    codec, held = pa.Codec("zstd"), memoryview(block)[: -_TAIL.size]
+    cut = len(held) - high
+    out = np.zeros((size, 8), dtype=np.uint8)
+    out[:, width - 1] = np.frombuffer(codec.decompress(held[cut:], size, asbytes=True), np.uint8)
+    if width > 1:
+        low = codec.decompress(held[:cut], size * (width - 1), asbytes=True)
+        out[:, : width - 1] = np.frombuffer(low, np.uint8).reshape(width - 1, -1).T
     return out.view(np.uint64).ravel()
 
 
@@ -257,7 +267,7 @@ class Part:
         return self.requests(PAIRS, self.pair_keys >> self.spare, self.pairs_here)
 
     def learn_pairs(self, answers: Answers) -> None:
-        """Takes counts of pairs; finds the longer contexts that may be frequent enough."""
+        """Takes counts of pairs; finds the contexts of two words that are frequent enough."""
         least = self.settings.least_count
         of_pair, self.pair_first, lone = answers.sums(PAIRS, self.pairs_here)
         self.of_pair = of_pair
@@ -265,33 +275,9 @@ class Part:
         self.pairs[self.after] = of_pair[self.pair_place]
         keys = np.zeros(len(self.tokens), dtype=np.uint64)
         keys[self.after] = self.pair_keys[self.pair_place]
-        # contexts of two words, then of three: the words before them and after them are pairs as frequent
-        frequent = self.pairs >= least
-        second = np.zeros(len(self.tokens), dtype=bool)
-        second[1:] = frequent[:-1] & self.inner[1:]
-        self.second = np.flatnonzero(second)
-        second_keys = np.zeros(len(self.tokens), dtype=np.uint64)
-        second_keys[self.second] = extended(
-            keys[self.second - 1], self.token_keys[self.second], self.settings.key_bits
-        )
-        third = np.zeros(len(self.tokens), dtype=bool)
-        third[2:] = frequent[:-2] & frequent[1:-1] & self.inner[2:]
-        self.third = np.flatnonzero(third)
-        third_keys = extended(
-            second_keys[self.third - 1], self.token_keys[self.third], self.settings.key_bits
-        )
-        self.second_context, self.second_keys = keys[self.second - 1], second_keys
-        self.long_keys, self.long_place = distinct(np.concatenate([second_keys[self.second], third_keys]))
-        both = np.concatenate([self.second, self.third])
-        self.long_here = self._summed(self.long_place, self.counted[both], len(self.long_keys))
-        # with a pair that no other part has, no other part has the longer context either
         lone_pairs = np.zeros(len(self.tokens), dtype=bool)
         lone_pairs[self.after] = lone[self.pair_place]
-        lone_two = lone_pairs.copy()
-        lone_two[1:] |= lone_pairs[:-1]
-        lone_three = lone_two[self.third] | lone_two[self.third - 1]
-        self.asked = np.ones(len(self.long_keys), dtype=bool)
-        self.asked[self.long_place[np.concatenate([lone_two[self.second], lone_three])]] = False
+        self.triples = self.longer(self.pairs, keys, lone_pairs)
         # contexts of one word
         worded = np.ones(len(self.keys), dtype=bool)
         worded[self.tokens[self.begins[1:] - 1]] = False
@@ -310,50 +296,47 @@ class Part:
         gains = _added(context, gain, len(self.keys))[self.short]
         return pa.concat_tables(
             [
-                self.requests(LONGER, self.long_keys[self.asked], self.long_here[self.asked]),
+                self.triples.requests(TRIPLES),
                 self.requests(SHORT_CONTEXTS, self.keys[self.short], kinds, _signed(gains)),
             ]
         )
 
-    def learn_longer(self, answers: Answers) -> None:
-        """Takes counts of longer contexts with next tokens, and the states of one word."""
-        self.of_long, self.long_first = self.long_here.copy(), ~self.asked
-        found = answers.sums(LONGER, self.long_here[self.asked])
-        self.of_long[self.asked], self.long_first[self.asked] = found[:2]
-        of_long = self.of_long
-        seconds = len(self.second)
-        self.twos = np.zeros(len(self.tokens), dtype=np.int64)
-        self.twos[self.second] = of_long[self.long_place[:seconds]]
-        threes = of_long[self.long_place[seconds:]]
-        self.alive = self.twos[self.third - 1] >= self.settings.least_count
-        self.threes, self.third_alive = threes[self.alive], self.third[self.alive]
-        self.context_keys, self.context_place = distinct(
-            np.concatenate([self.second_context, self.second_keys[self.third_alive - 1]])
-        )
+    def longer(self, n: np.ndarray, keys: np.ndarray, lone: np.ndarray) -> Longer:
+        """The tokens after contexts that are counted ``n`` where these end, and frequent enough."""
+        at = np.flatnonzero((n[:-1] >= self.settings.least_count) & self.inner[1:]) + 1
+        found, place = distinct(extended(keys[at - 1], self.token_keys[at], self.settings.key_bits))
+        here = self._summed(place, self.counted[at], len(found))
+        # what begins or ends with something that only this part has is only here as well
+        asked = np.ones(len(found), dtype=bool)
+        asked[place[lone[at - 1] | lone[at]]] = False
+        contexts, context_place = distinct(keys[at - 1])
+        return Longer(self, at, found, place, here, asked, contexts, context_place)
+
+    def learn_triples(self, answers: Answers) -> None:
+        """Takes counts of triples, and the states of one word; finds frequent contexts of three words."""
+        self.twos, keys, lone = self.triples.learn(answers, TRIPLES)
+        self.quads = self.longer(self.twos, keys, lone)
         self.short_kinds = np.zeros(len(self.keys), dtype=np.int64)
         self.short_state = np.zeros(len(self.keys), dtype=bool)
         self.short_kinds[self.short], self.short_state[self.short] = answers.found(SHORT_CONTEXTS)
 
     def third_requests(self) -> pa.Table:
-        seconds = len(self.second)
-        at = np.full(len(self.long_keys), -1, dtype=np.int64)
-        known = np.concatenate([np.ones(seconds, dtype=bool), self.alive])
-        at[self.long_place[known]] = np.arange(len(self.context_place))
-        some = self.long_first & (self.of_long > 0) & (at >= 0)
-        at, n = at[some], self.of_long[some]
-        context = self.context_place[at]
-        token = np.concatenate([self.second, self.third_alive])[at]
-        two = at < seconds
-        of_context = np.where(two, self.pairs[token - 1], self.twos[token - 1])
-        below = np.where(two, self.pairs[token], self.twos[token])
-        of_suffix = np.where(two, self.count[self.tokens[token - 1]], self.pairs[token - 1])
-        gains = _added(context, _gain(n, of_context, below, of_suffix), len(self.context_keys))
-        kinds = np.bincount(context, minlength=len(self.context_keys))
-        return self.requests(CONTEXTS, self.context_keys, kinds, _signed(gains))
+        of_words = self.count[self.tokens]
+        return pa.concat_tables(
+            [self.quads.requests(QUADS), self.triples.context_requests(PAIR_CONTEXTS, self.pairs, of_words)]
+        )
+
+    def learn_quads(self, answers: Answers) -> None:
+        """Takes counts of quads, and the states of two words."""
+        self.threes, _, _ = self.quads.learn(answers, QUADS)
+        self.pair_kinds, self.pair_state = answers.found(PAIR_CONTEXTS)
+
+    def fourth_requests(self) -> pa.Table:
+        return self.quads.context_requests(TRIPLE_CONTEXTS, self.twos, self.pairs)
 
     def scores(self, answers: Answers) -> pa.Table:
         settings = self.settings
-        kinds, states = answers.found(CONTEXTS)
+        kinds, states = answers.found(TRIPLE_CONTEXTS)
         log_total = np.log10(settings.tokens + settings.distinct + 1)
         base = np.log10(self.count + 1.0) - log_total
         p = 10 ** base[self.tokens]
@@ -368,12 +351,12 @@ class Part:
         some = self.count[context] >= settings.least_count
         at, context = self.after[some], context[some]
         level(at, self.pairs[at], self.count[context], self.short_kinds[context], self.short_state[context])
-        seconds = len(self.second)
-        for at, n, of_context, place in (
-            (self.second, self.twos[self.second], self.pairs[self.second - 1], self.context_place[:seconds]),
-            (self.third_alive, self.threes, self.twos[self.third_alive - 1], self.context_place[seconds:]),
+        for longer, n, of_contexts, kinds, states in (
+            (self.triples, self.twos, self.pairs, self.pair_kinds, self.pair_state),
+            (self.quads, self.threes, self.twos, kinds, states),
         ):
-            level(at, n, of_context, kinds[place], states[place])
+            at, place = longer.at, longer.context_place
+            level(at, n[at], of_contexts[at - 1], kinds[place], states[place])
         starts = self.begins[:-1]
         return pa.table(
             {
@@ -388,6 +371,44 @@ class Part:
         )
 
 
+@dataclass
+class Longer:
+    """Contexts of two or three words with their next tokens, by the places of these."""
+
+    part: Part
+    at: np.ndarray
+    keys: np.ndarray
+    place: np.ndarray
+    here: np.ndarray
+    asked: np.ndarray
+    contexts: np.ndarray
+    context_place: np.ndarray
+
+    def requests(self, kind: int) -> pa.Table:
+        return self.part.requests(kind, self.keys[self.asked], self.here[self.asked])
+
+    def learn(self, answers: Answers, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Takes the counts; by token: its count, its key, and whether only this part has it."""
+        self.n, self.first, lone = self.here.copy(), ~self.asked, ~self.asked
+        found = answers.sums(kind, self.here[self.asked])
+        self.n[self.asked], self.first[self.asked], lone[self.asked] = found
+        out = [np.zeros(len(self.part.tokens), dtype=x.dtype) for x in (self.n, self.keys, lone)]
+        for held, values in zip(out, (self.n, self.keys, lone)):
+            held[self.at] = values[self.place]
+        return tuple(out)
+
+    def context_requests(self, kind: int, n: np.ndarray, n_suffix: np.ndarray) -> pa.Table:
+        """Next tokens and divergences, given the counts of the contexts and of their suffixes where they end."""
+        at = np.zeros(len(self.keys), dtype=np.int64)
+        at[self.place] = np.arange(len(self.at))
+        some = self.first & (self.n > 0)
+        at = at[some]
+        context, token = self.context_place[at], self.at[at]
+        gain = _gain(self.n[some], n[token - 1], n[token], n_suffix[token - 1])
+        kinds = np.bincount(context, minlength=len(self.contexts))
+        return self.part.requests(kind, self.contexts, kinds, _signed(_added(context, gain, len(self.contexts))))
+
+
 def _gain(n: np.ndarray, of_context, below: np.ndarray, of_suffix) -> np.ndarray:
     """What a next token adds to the divergence of a context from its suffix, in units."""
     ratio = np.log(n / of_context) - np.log(below / of_suffix)
@@ -475,7 +496,7 @@ def _range(least_gain: float) -> Callable:
         counts = np.concatenate([unpacked(x) for x in block.column("counts").to_pylist()]).astype(np.int64)
         held, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         totals = _added(place, counts, len(held))
-        if kind in (SHORT_CONTEXTS, CONTEXTS):
+        if kind in (SHORT_CONTEXTS, PAIR_CONTEXTS, TRIPLE_CONTEXTS):
             gains = np.concatenate([_unsigned(unpacked(x)) for x in block.column("gains").to_pylist()])
             flags = (_added(place, gains, len(held)) >= (least_gain + totals) * UNIT)[place]
             sums = totals[place]
@@ -524,8 +545,8 @@ def _round(settings: Settings, number: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         (row,) = table.to_pylist()
         part = Part(row, settings)
-        ask = (part.first_requests, part.second_requests, part.third_requests)
-        learn = (part.learn_pairs, part.learn_longer)
+        ask = (part.first_requests, part.second_requests, part.third_requests, part.fourth_requests)
+        learn = (part.learn_pairs, part.learn_triples, part.learn_quads)
         for k, take in enumerate(learn[: number - 1], 1):
             take(Answers(row[f"answers{k}"]))
         return ask[number - 1]() if number <= ROUNDS else part.scores(Answers(row[f"answers{ROUNDS}"]))

@@ -193,3 +193,57 @@ def test_the_table_of_parts_is_not_moved_again(spark, tiny_docs):
     steps.drop_all_but(kept)
     assert kept.count() == 3 and not any(spark.catalog.tableExists(name) for name in names)
     assert [path.exists() for path in paths] == [False, False, True]
+
+
+def test_pairs_of_numbers_have_keys_of_their_own():
+    a, b = (x.ravel().astype(np.uint64) for x in np.meshgrid(np.arange(128), np.arange(128)))
+    keys = suffix_tree.paired(a, b, 7)
+    assert sorted(keys.tolist()) == list(range(1 << 14))
+    # those of one frequent word go to all ranges
+    assert len(set((suffix_tree.paired(a[:1] + b, b, 10) >> np.uint64(16)).tolist())) == 16
+    wide = np.array([0, 1, 2**32 - 1], dtype=np.uint64)
+    assert len(set(suffix_tree.paired(wide, wide[::-1], 32).tolist())) == 3
+
+
+def test_what_one_part_has_is_not_asked_for_again(monkeypatch):
+    """Both parts have "a b c" often, only the first has the words after it."""
+    monkeypatch.setattr(suffix_tree.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    rows = []
+    for number, text in enumerate(["a b c d e f g h " * 6, "a b c " * 6]):
+        docs = {"doc_id": pa.array([number]), "text": pa.array([text]), "held_out": pa.array([False])}
+        (batch,) = suffix_tree._code(iter([pa.record_batch(docs)]))
+        rows.append(batch.to_pylist()[0] | {"part": number})
+    settings = suffix_tree.Settings(4, 5.0, 0.75, 0, 40, sum(row["training"] for row in rows))
+    asked = pa.concat_tables([suffix_tree._ask_words(settings)(pa.Table.from_pylist([row])) for row in rows])
+    found = suffix_tree._add_words(asked).to_pylist()
+    settings.distinct, settings.word_bits = 9, 4
+    parts = []
+    for row in rows:
+        row["numbers"] = [x for x in found if x["part"] == row["part"]]
+        parts += suffix_tree._number(0)(pa.Table.from_pylist([row])).to_pylist()
+    sent = {}
+    for number in range(1, suffix_tree.ROUNDS + 1):
+        tables = [suffix_tree._round(settings, number)(pa.Table.from_pylist([row])) for row in parts]
+        for row, table in zip(parts, tables):
+            for x in table.to_pylist():
+                sent[row["part"], x["kind"]] = len(suffix_tree.unpacked(x["keys"]))
+        whole = pa.concat_tables(tables)
+        answers = []
+        for kind in set(whole.column("kind").to_pylist()):
+            of_kind = whole.filter(pa.array([k == kind for k in whole.column("kind").to_pylist()]))
+            answers += suffix_tree._range(settings.least_gain)(of_kind).to_pylist()
+        for row in parts:
+            row[f"answers{number}"] = [x for x in answers if x["part"] == row["part"]]
+    # of all triples only "a b c" has no pair of one part alone; no quad is in both parts
+    assert (sent[0, suffix_tree.PAIRS], sent[1, suffix_tree.PAIRS]) == (9, 4)
+    assert sent[0, suffix_tree.TRIPLES] == sent[1, suffix_tree.TRIPLES] == 1
+    assert not {(0, suffix_tree.QUADS), (1, suffix_tree.QUADS)} & {*sent}
+
+
+def test_a_step_is_dropped_by_itself(spark):
+    steps = Steps(spark)
+    first, second = steps.keep(spark.range(3)), steps.keep(spark.range(4))
+    (gone, _), (held, _) = steps.kept
+    steps.drop(first)
+    assert not Path(gone).exists() and Path(held).exists() and second.count() == 4
+    assert [path for path, _ in steps.kept] == [held]
